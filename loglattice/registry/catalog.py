@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loglattice.registry import correlation
+from loglattice.registry import correlation, parsing
 from loglattice.registry.shared import Query
 
-CATALOG: dict[str, tuple[Query, str | None]] = {**correlation.QUERIES}
+CATALOG: dict[str, tuple[Query, str | None]] = {**correlation.QUERIES, **parsing.QUERIES}

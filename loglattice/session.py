@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Distinct-value sets are kept in a hash map instead of falling back to a sort after 128 groups.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # HotSpot does not compile methods beyond this size; larger stages are generated in smaller pieces instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Sessions are merged before the shuffle, so a busy key arrives as a few sessions.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -40,6 +42,7 @@ def local_session(cpus: int | str = 8, app: str = "loglattice", memory: str = "1
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
     spark = builder.getOrCreate()
