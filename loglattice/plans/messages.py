@@ -14,6 +14,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglattice.functions.fence import computed_once
 from loglattice.functions.ip import IPV4
 
 _SEP = "\u0001"
@@ -260,13 +261,15 @@ def parse_messages(
             "values": F.when(has_pairs, F.concat("parts", _pair_values(F.col("found")))),
         }
     )
-    staged = staged.withColumn(
-        "kv",
-        F.when(has_pairs, _first_per_key(F.col("keys"), F.col("values"))).when(
-            F.col("parts").isNotNull(), F.map_from_arrays("names", "parts")
-        ),
+    fields = F.when(has_pairs, _first_per_key(F.col("keys"), F.col("values"))).when(
+        F.col("parts").isNotNull(), F.map_from_arrays("names", "parts")
+    )
+    staged = computed_once(
+        staged.select(*[F.col(f"`{c}`") for c in df.columns], "envelope", "kind", fields.alias("kv")),
+        {"envelope": F.col("envelope"), "kind": F.col("kind"), "kv": F.col("kv")},
     )
-    kv, body = F.col("kv"), F.col("body")
+    env, kind, kv = F.col("envelope"), F.col("kind"), F.col("kv")
+    body = kv["body"]
 
     def any_of(*keys: str) -> Column:
         return F.coalesce(*[kv[k] for k in keys])
@@ -278,7 +281,7 @@ def parse_messages(
     stamp = F.when(kind == "otel_span", _nano_ts(nano)).when(kind.isin(*JSON_KINDS), json_stamp)
     for form in dict.fromkeys(s.stamp for s in SHAPES.values()):
         same = kind.isin(*[k for k, s in SHAPES.items() if s.stamp == form])
-        text = F.get("parts", F.array_position("names", "ts").cast("int") - 1)
+        text = kv["ts"]
         value = yearless_ts(text, as_of_col, year) if form is None else F.try_to_timestamp(text, F.lit(form))
         stamp = stamp.when(same, value)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglattice.functions.fence import computed_once
+
 _COMMA = "date_format(ms_ts, 'yyyy-MM-dd HH:mm:ss,SSS')"
 _DOT = "date_format(ms_ts, 'yyyy-MM-dd HH:mm:ss.SSS')"
 _ISO = "date_format(ms_ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\")"
@@ -123,7 +125,7 @@ def messages(facts: DataFrame, kind: str, *keep: str) -> DataFrame:
     text = message(kind)
     if kind in DOCUMENTS and kind != "audit_event":
         text = F.when(F.col("n12") == 7, message(kind, pretty=True)).otherwise(text)
-    return facts.select(*keep, text.alias("message"))
+    return computed_once(facts, {"message": text}).select(*keep, "message")
 
 
 def mixed(facts: DataFrame, *keep: str) -> DataFrame:
@@ -133,7 +135,7 @@ def mixed(facts: DataFrame, *keep: str) -> DataFrame:
     for number, kind in enumerate(KINDS):
         out = out.when(slot == number, message(kind))
     text = out.when(slot == len(KINDS), F.lit("{ broken")).otherwise(F.concat(F.lit("no format "), F.col("id")))
-    return facts.select(*keep, text.alias("message"))
+    return computed_once(facts, {"message": text}).select(*keep, "message")
 
 
 ORDER = """named_struct('order_id', concat('ORDER-', lpad(k, 8, '0')),
@@ -170,4 +172,5 @@ ORDER = """named_struct('order_id', concat('ORDER-', lpad(k, 8, '0')),
 
 def orders(facts: DataFrame, *keep: str) -> DataFrame:
     """One commerce order document per fact."""
-    return facts.select(*keep, F.to_json(F.expr(ORDER), {"ignoreNullFields": "false"}).alias("message"))
+    text = F.to_json(F.expr(ORDER), {"ignoreNullFields": "false"})
+    return computed_once(facts, {"message": text}).select(*keep, "message")
