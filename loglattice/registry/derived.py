@@ -138,7 +138,29 @@ SELECT event_id AS id, user_id, event_type, value,
 FROM {events}
 """
 
+# A roster with the stated departments, some of its rows damaged.
+_STAFF = """
+SELECT CASE WHEN c_custkey % 211 = 3 THEN 'not-an-ip'
+            ELSE concat('10.31.', CAST(CAST(floor(c_custkey / 256) AS INT) AS STRING), '.',
+                        CAST(c_custkey % 256 AS STRING)) END AS ip_address,
+  concat('F', CAST(c_custkey % 97 AS STRING)) AS first_name, concat('L', CAST(c_custkey % 89 AS STRING)) AS last_name,
+  CASE WHEN c_custkey % 223 = 5 THEN 'unknown' WHEN c_custkey % 100 < 35 THEN 'sales'
+       WHEN c_custkey % 100 < 55 THEN 'engineering' WHEN c_custkey % 100 < 70 THEN 'marketing'
+       WHEN c_custkey % 100 < 85 THEN 'support' WHEN c_custkey % 100 < 93 THEN 'finance'
+       WHEN c_custkey % 100 < 97 THEN 'legal' ELSE 'leadership' END AS department,
+  CASE WHEN c_custkey % 100 < 35 THEN 'sdr' WHEN c_custkey % 100 < 55 THEN 'engineer'
+       WHEN c_custkey % 100 < 70 THEN CASE c_nationkey % 3 WHEN 0 THEN 'webinars' WHEN 1 THEN 'trade-shows' ELSE 'other' END
+       WHEN c_custkey % 100 < 85 THEN CASE WHEN c_nationkey % 5 = 0 THEN 'support_manager' ELSE 'support_engineer' END
+       WHEN c_custkey % 100 < 93 THEN 'order-ops' WHEN c_custkey % 100 < 97 THEN 'compliance' ELSE 'executive' END
+    AS sub_department,
+  CASE WHEN c_custkey % 227 = 7 THEN '2031-01-01' ELSE concat(CAST(2012 + c_custkey % 14 AS STRING), '-03-15') END
+    AS start_date,
+  c_custkey
+FROM {customer}
+"""
+
 _TEXTS = {
+    "staff": _STAFF,
     "logs": _LOGS,
     "hr": _HR,
     "alerts": _ALERTS,
