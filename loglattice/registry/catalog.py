@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loglattice.registry import business, correlation, parsing
+from loglattice.registry import business, correlation, detection, parsing
 from loglattice.registry.shared import Query
 
-CATALOG: dict[str, tuple[Query, str | None]] = {**correlation.QUERIES, **parsing.QUERIES, **business.QUERIES}
+CATALOG: dict[str, tuple[Query, str | None]] = {**correlation.QUERIES, **parsing.QUERIES, **business.QUERIES, **detection.QUERIES}

@@ -170,16 +170,17 @@ _TEXTS = {
 }
 
 
-def _expand(name: str) -> str:
+def expanded(name: str) -> str:
+    """The text of ``name`` with other derivations spelled out and ``{table}`` left in place."""
     text = _TEXTS[name].strip()
     for other in _TEXTS:
-        text = text.replace("{" + other + "}", _expand(other)) if "{" + other + "}" in text else text
+        text = text.replace("{" + other + "}", expanded(other)) if "{" + other + "}" in text else text
     return text
 
 
 def sql(name: str) -> str:
     """The derivation as DuckDB text over the registered tables."""
-    text = re.sub(r"\{(\w+)\}", r"\1", _expand(name))
+    text = re.sub(r"\{(\w+)\}", r"\1", expanded(name))
     return f"({text})"
 
 
@@ -190,6 +191,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The derivation as a Spark DataFrame."""
-    text = _expand(name)
+    text = expanded(name)
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
