@@ -186,7 +186,7 @@ def classify(message: Column | str) -> Column:
     return F.when(_is_json(message), _json_kind(doc)).otherwise(_line_kind(message))
 
 
-_PAIR = r'[A-Za-z][\w.]*=(?:"[^"]*"|\S+)'
+_PAIR = r'\b[A-Za-z][\w.]*+=(?:"[^"]*+"|\S++)'
 
 
 def pairs(text: Column) -> Column:
@@ -226,8 +226,11 @@ def yearless_ts(stamp: Column, as_of: Column, year: int | None = None) -> Column
 
     if year is not None:
         return at(F.lit(year))
-    this = at(F.year(as_of))
-    return F.coalesce(F.when(this <= as_of, this), at(F.year(as_of) - 1))
+    # The one-element transform reads the text once; 29 February may need the year before to be valid at all.
+    moved = F.transform(
+        F.array(at(F.year(as_of))), lambda t: F.when(t > as_of, t - F.make_ym_interval(F.lit(1))).otherwise(t)
+    )
+    return F.coalesce(moved[0], at(F.year(as_of) - 1))
 
 
 def parse_messages(

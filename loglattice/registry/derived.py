@@ -10,7 +10,10 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglattice.session import configure
+from loglattice.session import configure, spread
+
+#: Derivations whose rows are costly to process, with the table that sets their parallelism.
+SPREAD = {"line_facts": "events", "order_facts": "orders", "transactions": "lineitem"}
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -193,4 +196,6 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The derivation as a Spark DataFrame."""
     text = expanded(name)
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
+    if name in SPREAD:
+        used[SPREAD[name]] = spread(used[SPREAD[name]])
     return spark.sql(text, **used)
