@@ -94,7 +94,7 @@ def id_ok(value: Column | str, shape: str) -> Column:
 
 def parse_id_list(value: Column | str) -> Column:
     """Comma-separated text as an array of trimmed, non-empty ids."""
-    parts = F.transform(F.split(value, ","), F.trim)
+    parts = F.transform(F.split(value, ","), lambda p: F.trim(p))
     return F.filter(parts, lambda p: p != "")
 
 

@@ -83,9 +83,12 @@ def iso_ts(text: Column) -> Column:
 
 
 def parsed(df: DataFrame, ddl: str, message: str = "message") -> DataFrame:
-    """The input columns except the text, plus the parsed ``doc``; rows that are no JSON object are left out."""
-    out = computed_once(df, {"doc": F.from_json(message, ddl)})
-    return out.where(F.col("doc").isNotNull()).drop(message)
+    """The input columns except the text, plus the parsed ``doc``.
+
+    Text that does not start as a JSON object is left out; a broken object stays as a document of nulls.
+    """
+    objects = df.where(F.col(message).rlike(r"^\s*\{"))
+    return computed_once(objects, {"doc": F.from_json(message, ddl)}).drop(message)
 
 
 def _keep(df: DataFrame) -> list[Column]:
