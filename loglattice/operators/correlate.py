@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from loglattice.functions.ip import to_ip
 from loglattice.functions.scalars import case
+from loglattice.operators.lookup import lookup_join
+from loglattice.session import fits_broadcast
 
 #: Document ids per output row; a group with more ids continues on further rows (``part`` 1, 2, ...).
 PART_SIZE = 100_000
@@ -31,6 +33,7 @@ def correlate(
     ids: Mapping[str, str] | None = None,
     having: Column | None = None,
     part_size: int = PART_SIZE,
+    bounded_by: DataFrame | None = None,
 ) -> DataFrame:
     """Correlate ``datasets`` by ``key``.
 
@@ -40,15 +43,19 @@ def correlate(
     ``ids``     like ``values`` for columns with one value per document. These lists grow with the data, so they are
                 split by hash into rows of about ``part_size`` ids; no id is dropped.
     ``having``  kept groups; by default every count must be above zero.
+    ``bounded_by`` a dataset every kept key must occur in; when its measured size allows, the kept groups are broadcast
+                to the document rows.
     """
-    columns = list(dict.fromkeys([key, *(c for d in datasets for c in d.columns)]))
+    schemas = [d.schema for d in datasets]
+    types = {f.name: f.dataType for schema in reversed(schemas) for f in schema.fields}
+    columns = list(dict.fromkeys([key, *(c for schema in schemas for c in schema.names)]))
     label = case([(predicate, F.lit(name)) for name, predicate in tags], F.lit("Other"))
 
     partials = []
-    for data in datasets:
-        held = set(data.columns)
+    for data, schema in zip(datasets, schemas):
+        held = set(schema.names)
         filled = data.select(
-            *[F.col(c) if c in held else F.lit(None).cast(_type_of(datasets, c)).alias(c) for c in columns]
+            *[F.col(c) if c in held else F.lit(None).cast(types[c]).alias(c) for c in columns]
         ).withColumn("data_type", label)
         aggs = [
             F.count_if(F.col("data_type").isin(*labels) if labels is not None else F.col("data_type").isNotNull())
@@ -79,29 +86,26 @@ def correlate(
     if not ids:
         return kept.drop("rows_seen")
 
-    # Document ids: every surviving key gets as many parts as its row count asks for.
-    plan = kept.select(key, F.ceil(F.col("rows_seen") / part_size).alias("parts"))
-    sources = [d for d in datasets if set(ids.values()) & set(d.columns)]
+    # Document ids: every surviving key gets as many parts as its row count asks for. The groups ride along, so the
+    # finished parts need no further join, and each group adds one row without ids to have a part in any case.
+    sources = [d for d, schema in zip(datasets, schemas) if set(ids.values()) <= set(schema.names)]
     id_rows = reduce(DataFrame.unionByName, [d.select(key, *ids.values()) for d in sources])
-    spread = F.pmod(F.xxhash64(*ids.values()), F.col("parts")).alias("part")
-    lists = (
-        id_rows.join(plan, key)
-        .groupBy(key, spread)
-        .agg(*[F.array_sort(F.collect_set(column)).alias(name) for name, column in ids.items()])
+    groups = kept.select(
+        key, F.struct(*[c for c in kept.columns if c not in (key, "rows_seen")]).alias("group"),
+        F.ceil(F.col("rows_seen") / part_size).alias("parts"),
     )
-    return (
-        kept.drop("rows_seen")
-        .join(lists, key, "left")
-        .withColumn("part", F.coalesce(F.col("part"), F.lit(0)))
+    fits = bounded_by is not None and fits_broadcast(bounded_by)
+    placed = lookup_join(id_rows, groups, [key], "inner", fits=fits).withColumn(
+        "part", F.pmod(F.xxhash64(*ids.values()), F.col("parts"))
+    )
+    bare = groups.select(key, "group", F.lit(0).cast("bigint").alias("part"))
+    rows = placed.drop("parts").unionByName(bare, allowMissingColumns=True)
+    lists = rows.groupBy(key, "part").agg(
+        F.any_value("group").alias("group"), *[F.collect_set(column).alias(name) for name, column in ids.items()]
+    )
+    return lists.select(
+        key, "group.*", *[F.when(F.size(n) > 0, F.array_sort(n)).alias(n) for n in ids], "part"
     )
-
-
-def _type_of(datasets: Sequence[DataFrame], column: str):
-    for data in datasets:
-        for field in data.schema.fields:
-            if field.name == column:
-                return field.dataType
-    raise ValueError(f"no dataset has a column {column}")
 
 
 def roster_by_ip(roster: DataFrame) -> DataFrame:
@@ -179,6 +183,7 @@ def document_roster(logs: DataFrame, roster: DataFrame, part_size: int = PART_SI
         {**{c: c for c in ROSTER_ATTRIBUTES}, "dataset": "event_module", "index": "_index"},
         ids={"doc_id": "_id"},
         part_size=part_size,
+        bounded_by=roster,
     )
 
 
@@ -200,6 +205,7 @@ def lookup_exact(logs: DataFrame, roster: DataFrame, ip: str, part_size: int = P
         {**{c: c for c in ROSTER_ATTRIBUTES}, "index": "_index"},
         ids={"doc_id": "_id"},
         part_size=part_size,
+        bounded_by=roster,
     )
 
 
@@ -223,6 +229,7 @@ def lookup_v5_exact(logs: DataFrame, roster: DataFrame, ip: str, part_size: int
         {**{c: c for c in ROSTER_ATTRIBUTES}, "dataset": "event_module", "index": "_index"},
         ids={"doc_id": "_id"},
         part_size=part_size,
+        bounded_by=roster,
     )
 
 
@@ -237,4 +244,5 @@ def lookup_any_ip(logs: DataFrame, roster: DataFrame, ip: str, part_size: int =
         {**{c: c for c in ROSTER_ATTRIBUTES}, "dataset": "event_module", "index": "_index"},
         ids={"doc_id": "_id"},
         part_size=part_size,
+        bounded_by=roster,
     )

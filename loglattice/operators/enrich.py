@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loglattice.functions.ip import ip_to_long, to_ip
 from loglattice.functions.scalars import full_name, parse_id_list
+from loglattice.operators.lookup import lookup_join
 from loglattice.session import BROADCAST_BYTES, fits_broadcast
 
 DOC_KEY = ("_index", "_id")
@@ -51,8 +52,8 @@ def _drop_hits(docs: DataFrame, ip_cols: Sequence[str]) -> DataFrame:
 
 def _legs(docs: DataFrame, ip_cols: Sequence[str], doc_key: Sequence[str]) -> DataFrame:
     """Narrow (document key, rank, address) rows, one per distinct valid address."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("rank"), to_ip(c).alias("ip")) for i, c in enumerate(ip_cols, 1)])
-    return docs.select(*doc_key, F.inline(pairs)).where(F.col("ip").isNotNull())
+    pairs = F.array(*[F.struct(F.lit(i).alias("rank"), to_ip(c).alias("hr_ip")) for i, c in enumerate(ip_cols, 1)])
+    return docs.select(*doc_key, F.inline(pairs)).where(F.col("hr_ip").isNotNull())
 
 
 def ranked_lookup(
@@ -66,8 +67,8 @@ def ranked_lookup(
 ) -> DataFrame:
     """All documents plus ``match_rank`` and ``person`` of the first address column that has a roster row.
 
-    A roster whose measured size allows it is broadcast and probed once per column. Beyond that the narrow legs are
-    equi-joined and reduced per document, and only then meet the wide documents again.
+    A roster whose measured size allows it is broadcast and probed once per column. Beyond that the narrow legs go
+    through ``lookup_join`` and are reduced per document, and only then meet the wide documents again.
     """
     people = one_person_per_ip(roster, tie_cols)
     if _use_broadcast(roster, strategy, max_bytes):
@@ -77,8 +78,7 @@ def ranked_lookup(
         person = F.coalesce(*[F.col(f"__person{i}") for i in n])
         return _drop_hits(found.withColumns({"match_rank": rank, "person": person}), ip_cols)
     best = (
-        _legs(docs, ip_cols, doc_key)
-        .join(people, F.col("ip") == F.col("hr_ip"))
+        lookup_join(_legs(docs, ip_cols, doc_key), people, ["hr_ip"], "inner", fits=False)
         .groupBy(*doc_key)
         .agg(F.min(F.struct("rank", "person")).alias("best"))
         .select(*doc_key, F.col("best.rank").alias("match_rank"), F.col("best.person").alias("person"))
@@ -119,8 +119,7 @@ def any_match(
         out = _drop_hits(found.withColumn("__best", F.when(inside, best)), ip_cols)
     else:
         best = (
-            _legs(docs.where(inside), ip_cols, doc_key)
-            .join(people, F.col("ip") == F.col("hr_ip"))
+            lookup_join(_legs(docs.where(inside), ip_cols, doc_key), people, ["hr_ip"], "inner", fits=False)
             .groupBy(*doc_key)
             .agg(F.min("person").alias("__best"))
         )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loglattice.functions.ip import to_ip
 from loglattice.operators.enrich import HR_FIELDS, one_person_per_ip
+from loglattice.operators.lookup import lookup_join
 from loglattice.session import small_side
 
 #: More intervals than this are joined pairwise instead of being looked up in broadcast lists.
@@ -62,7 +63,7 @@ def tag_intervals(
 def events_to_persons(events: DataFrame, roster: DataFrame, ip: str = "client_ip", ts: str = "ts") -> DataFrame:
     """Events of employees with their roster row and tenure in days at the time of the event."""
     people = one_person_per_ip(roster)
-    joined = events.join(small_side(people), to_ip(ip) == F.col("hr_ip"))
+    joined = lookup_join(events.withColumn("hr_ip", to_ip(ip)), people, ["hr_ip"], "inner")
     hired = F.try_to_date("start_date", "yyyy-MM-dd")
     return joined.select(*events.columns, *[F.col(f"person.{c}").alias(c) for c in HR_FIELDS]).withColumn(
         "tenure_days", F.datediff(F.col(ts), hired)
@@ -95,9 +96,8 @@ def dim_enrich(facts: DataFrame, dims: Mapping[str, tuple[DataFrame, str, Sequen
     """Left look-ups into dimension tables: foreign key to (table, key, columns). Repeated keys never multiply facts."""
     out = facts
     for foreign, (table, key, columns) in dims.items():
-        one = table.groupBy(F.col(key).alias(f"__{foreign}")).agg(F.min(F.struct(*columns)).alias("__dim"))
-        one = one.select(f"__{foreign}", *[F.col(f"__dim.{c}").alias(c) for c in columns])
-        out = out.join(small_side(one), F.col(foreign) == F.col(f"__{foreign}"), "left").drop(f"__{foreign}")
+        one = table.groupBy(F.col(key).alias(foreign)).agg(F.min(F.struct(*columns)).alias("__dim"))
+        out = lookup_join(out, one.select(foreign, *[F.col(f"__dim.{c}").alias(c) for c in columns]), [foreign])
     return out
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglattice.functions.fence import computed_once
+from loglattice.operators.lookup import lookup_join
 
 SPAN_DDL = """
 resource STRUCT<attributes: STRUCT<`service.name`: STRING, `service.version`: STRING, `deployment.environment`: STRING,
@@ -150,16 +151,16 @@ def explode_links(docs: DataFrame) -> DataFrame:
 
 def span_tree(spans: DataFrame) -> DataFrame:
     """Every span with its parent's service and duration where the parent is present."""
-    parents = spans.select(
-        F.col("trace_id").alias("__trace"), F.col("span_id").alias("__span"), F.col("service").alias("parent_service"),
-        F.col("duration_ms").alias("parent_duration_ms"),
-    )
     # Ids are unique by contract; a repeated span document must not multiply its children.
-    parents = parents.groupBy("__trace", "__span").agg(
-        F.min("parent_service").alias("parent_service"), F.max("parent_duration_ms").alias("parent_duration_ms")
+    parents = (
+        spans.where(F.col("span_id").isNotNull())
+        .groupBy("trace_id", F.col("span_id").alias("parent_span_id"))
+        .agg(F.min("service").alias("parent_service"), F.max("duration_ms").alias("parent_duration_ms"))
+    )
+    # The parents grow with the spans, so they are never broadcast.
+    return lookup_join(spans, parents, ["trace_id", "parent_span_id"], "left", fits=False).select(
+        *spans.columns, "parent_service", "parent_duration_ms"
     )
-    match = (F.col("trace_id") == F.col("__trace")) & (F.col("parent_span_id") == F.col("__span"))
-    return spans.join(parents, match, "left").drop("__trace", "__span")
 
 
 def flatten_audit(docs: DataFrame) -> DataFrame:
