@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from loglattice.functions.ip import to_ip
 from loglattice.operators.enrich import HR_FIELDS, one_person_per_ip
 from loglattice.operators.lookup import lookup_join
-from loglattice.session import small_side
 
 #: More intervals than this are joined pairwise instead of being looked up in broadcast lists.
 MAX_LISTED_INTERVALS = 10_000
@@ -43,7 +42,7 @@ def tag_intervals(
     if intervals.count() <= max_listed:
         lists = pieces.groupBy("__bucket").agg(F.array_sort(F.collect_list("i")).alias("__list"))
         hit = F.filter("__list", lambda i: F.col(ts).between(i["start_ts"], i["end_ts"]))
-        found = placed.join(small_side(lists), "__bucket", "left").withColumn("__hit", F.get(hit, F.lit(0)))
+        found = lookup_join(placed, lists, ["__bucket"]).withColumn("__hit", F.get(hit, F.lit(0)))
         return found.select(
             *events.columns, F.col("__hit.phase").alias("phase"), F.col("__hit").isNotNull().alias("in_any")
         )

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from loglattice.functions.scalars import business_hour
 from loglattice.operators.enrich import HR_FIELDS, one_person_per_ip
-from loglattice.session import small_side
+from loglattice.operators.lookup import lookup_join
 
 # Request and agent patterns per probe rule.
 PROBES = {
@@ -257,7 +257,7 @@ def ip_risk_summary(events: DataFrame, roster: DataFrame, exact: bool = False) -
         )
     )
     people = one_person_per_ip(roster)
-    joined = daily.join(small_side(people), F.col("client_ip") == F.col("hr_ip"), "left")
+    joined = lookup_join(daily.withColumn("hr_ip", F.col("client_ip")), people, ["hr_ip"])
     return joined.select(*daily.columns, *[F.col(f"person.{c}").alias(c) for c in HR_FIELDS])
 
 

@@ -87,7 +87,7 @@ def log_account(spark, sf):
         F.col("accountID").cast("bigint").alias("account_id"), F.col("timestamp").alias("ts"),
         F.col("event_amount").alias("amount"),
     )
-    return joins.account_activity(logs, moves, days=20)
+    return joins.account_activity(logs, moves, days=20).withColumn("day", F.col("day").cast("string"))
 
 
 def dim_enrich(spark, sf):
@@ -269,7 +269,7 @@ FROM {LINES} AS f JOIN people AS p ON f.ip = p.hr_ip""",
         f"""WITH l AS (SELECT account AS account_id, CAST(ms_ts - INTERVAL 26 YEAR AS DATE) AS day, count(*) AS log_events
   FROM {LINES} AS f GROUP BY ALL), t AS (SELECT CAST(accountID AS BIGINT) AS account_id, CAST(timestamp AS DATE) AS day,
   count(*) AS n, sum({_DEC}) AS total FROM {TX} AS t GROUP BY ALL)
-SELECT l.account_id AS account_id, l.day AS day, log_events, CAST(coalesce(sum(n), 0) AS BIGINT) AS transactions,
+SELECT l.account_id AS account_id, CAST(l.day AS VARCHAR) AS day, log_events, CAST(coalesce(sum(n), 0) AS BIGINT) AS transactions,
   coalesce(CAST(sum(total) AS DOUBLE), 0) AS amount
 FROM l LEFT JOIN t ON l.account_id = t.account_id AND t.day BETWEEN l.day - 20 AND l.day + 20
 GROUP BY l.account_id, l.day, log_events""",

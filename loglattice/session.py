@@ -69,11 +69,6 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (size or 0) <= max_bytes
 
 
-def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast when its measured size allows it, else left to Spark's own choice."""
-    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Rows of a small scan over all cores; a scan that already has enough splits is left as it is.
 
