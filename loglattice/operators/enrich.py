@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from loglattice.functions.ip import ip_to_long, to_ip
 from loglattice.functions.scalars import full_name, parse_id_list
@@ -31,7 +32,13 @@ def one_person_per_ip(roster: DataFrame, tie_cols: Sequence[str] = TIE_COLUMNS)
     return best.select("hr_ip", F.struct(*[F.col(f"person.{c}").alias(c) for c in HR_FIELDS]).alias("person"))
 
 
-def _use_broadcast(roster: DataFrame, strategy: str, max_bytes: int) -> bool:
+def _is_list(docs: DataFrame, column: str) -> bool:
+    return isinstance(docs.schema[column].dataType, ArrayType)
+
+
+def _use_broadcast(docs: DataFrame, ip_cols: Sequence[str], roster: DataFrame, strategy: str, max_bytes: int) -> bool:
+    if any(_is_list(docs, c) for c in ip_cols):
+        return False  # several addresses per field are legs of their own
     if strategy == "auto":
         return fits_broadcast(roster, max_bytes)
     return strategy == "broadcast"
@@ -51,9 +58,19 @@ def _drop_hits(docs: DataFrame, ip_cols: Sequence[str]) -> DataFrame:
 
 
 def _legs(docs: DataFrame, ip_cols: Sequence[str], doc_key: Sequence[str]) -> DataFrame:
-    """Narrow (document key, rank, address) rows, one per distinct valid address."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("rank"), to_ip(c).alias("hr_ip")) for i, c in enumerate(ip_cols, 1)])
-    return docs.select(*doc_key, F.inline(pairs)).where(F.col("hr_ip").isNotNull())
+    """Narrow (document key, rank, address) rows, one per valid address; a field may hold a list of addresses."""
+
+    def leg(rank: int) -> Callable[[Column], Column]:
+        return lambda address: F.struct(F.lit(rank).alias("rank"), to_ip(address).alias("hr_ip"))
+
+    lists = []
+    for rank, column in enumerate(ip_cols, 1):
+        if _is_list(docs, column):
+            found = F.coalesce(F.col(column), F.array().cast("array<string>"))
+            lists.append(F.transform(found, leg(rank)))
+        else:
+            lists.append(F.array(leg(rank)(F.col(column))))
+    return docs.select(*doc_key, F.inline(F.concat(*lists))).where(F.col("hr_ip").isNotNull())
 
 
 def ranked_lookup(
@@ -71,7 +88,7 @@ def ranked_lookup(
     through ``lookup_join`` and are reduced per document, and only then meet the wide documents again.
     """
     people = one_person_per_ip(roster, tie_cols)
-    if _use_broadcast(roster, strategy, max_bytes):
+    if _use_broadcast(docs, ip_cols, roster, strategy, max_bytes):
         found = _hits(docs, people, ip_cols)
         n = range(1, len(ip_cols) + 1)
         rank = F.coalesce(*[F.when(F.col(f"__ip{i}").isNotNull(), F.lit(i)) for i in n])
@@ -112,7 +129,7 @@ def any_match(
         "hr_ip", F.struct(ip_to_long("hr_ip").alias("ip_num"), "hr_ip", "person").alias("person")
     )
     inside = F.col(ts).between(F.lit(start), F.lit(end))
-    if _use_broadcast(roster, strategy, max_bytes):
+    if _use_broadcast(docs, ip_cols, roster, strategy, max_bytes):
         found = _hits(docs, people, ip_cols)
         persons = [F.col(f"__person{i}") for i in range(1, len(ip_cols) + 1)]
         best = F.least(*persons) if len(persons) > 1 else persons[0]

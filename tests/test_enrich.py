@@ -109,3 +109,13 @@ def test_select_docs_order_and_guard(spark):
 def test_untouched(spark, people):
     data = docs(spark, ("10.0.0.1", None, None), ("10.7.7.7", None, None))
     assert [r._id for r in E.untouched_docs(data, people).collect()] == ["1"]
+
+
+def test_fields_with_several_addresses(spark, people):
+    schema = "_id string, _index string, client_ip array<string>, source_ip string, host_ip string, event_ts timestamp"
+    rows = [("a", "ix", ["10.9.9.9", "10.9.9.8", "10.0.0.2"], "10.0.0.1", None, T0), ("b", "ix", None, "10.0.0.1", None, T0), ("c", "ix", [], None, None, T0)]
+    data = spark.createDataFrame(rows, schema)
+    out = {r._id: (r.match_rank, r.person and r.person.last_name) for r in E.ranked_lookup(data, people).collect()}
+    assert out == {"a": (1, "AA"), "b": (2, "A"), "c": (None, None)}
+    bulk = {r._id: r.hr and r.hr.ip_address for r in E.any_match(data, people, T0, T0, as_of=T0).collect()}
+    assert bulk == {"a": "10.0.0.1", "b": "10.0.0.1", "c": None}
