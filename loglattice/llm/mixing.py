@@ -65,13 +65,12 @@ def pour(children: DataFrame, parent: list[str], name: str) -> DataFrame:
     return filled.withColumn("budget", F.when(F.col("full"), F.col("capacity")).otherwise(rest)).select(*parent, name, "weight", "capacity", "budget")
 
 
-def leaf_budgets(leaves: DataFrame, budget: Column, max_epochs: int) -> DataFrame:
-    """``leaves(domain, language, origin, tokens)`` with ``budget`` in tokens; ``budget`` is an aggregate over ``tokens``."""
+def leaf_budgets(leaves: DataFrame, budget: int, max_epochs: int) -> DataFrame:
+    """``leaves(domain, language, origin, tokens)`` with their parts of ``budget``, in tokens."""
     sized = leaves.withColumn("capacity", F.col("tokens") * max_epochs)
     languages = sized.groupBy("domain", "language").agg(F.sum("capacity").alias("capacity"))
     domains = languages.groupBy("domain").agg(F.sum("capacity").alias("capacity"))
-    total = leaves.agg(budget.cast("long").alias("given"))
-    top = domains.crossJoin(F.broadcast(total)).withColumn("root", F.lit(1))  # one row: the scalar total
+    top = domains.withColumn("given", F.lit(budget).cast("long")).withColumn("root", F.lit(1))
     top = pour(top.withColumn("weight", _weight(F.col("domain"), DOMAIN_WEIGHTS)), ["root"], "domain")
     middle = languages.withColumn("weight", _weight(F.col("language"), LANGUAGE_WEIGHTS)).join(top.select("domain", F.col("budget").alias("given")), "domain")
     middle = pour(middle, ["domain"], "language")
@@ -92,8 +91,8 @@ def mixing_plan(slim: DataFrame, budget_percent: int, max_epochs: int, seed: int
     """``slim(domain, language, origin, doc_id, n_tokens)`` to, per leaf, the whole epochs and the last hash of the partial one."""
     leaf = ["domain", "language", "origin"]
     leaves = materialise(slim.groupBy(*leaf).agg(F.sum("n_tokens").alias("tokens")), "leaves")
-    budget = F.expr(f"coalesce(sum(tokens), 0) * {int(budget_percent)} div 100")
-    plan = leaf_budgets(leaves, budget, max_epochs).selectExpr(*leaf, "budget div tokens AS epochs", "budget % tokens AS rest")
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0
+    plan = leaf_budgets(leaves, total * budget_percent // 100, max_epochs).selectExpr(*leaf, "budget div tokens AS epochs", "budget % tokens AS rest")
     plan = materialise(plan, "epochs")
     placed = slim.join(_small(plan.where("rest > 0")), leaf).withColumn("place", _order(F.col("epochs"), F.col("doc_id"), seed))
     placed = placed.withColumn("range", F.substring("place", 1, RANGE_DIGITS))
