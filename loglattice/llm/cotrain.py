@@ -29,7 +29,8 @@ MAX_LABELLED, MAX_POOL = 12_000, 12_000
 ROUNDS, PER_ROUND, MIN_CONFIDENCE = 4, 0.05, 0.9
 #: One labelled row in so many is kept aside to calibrate and combine the views.
 ASIDE = 5
-RIDGE = 1.0
+#: Penalty on the views' weights; calibration has one or two weights and few rows, and needs next to none.
+RIDGE, CALIBRATION_RIDGE = 1.0, 0.01
 META_BUCKETS = 64
 THRESHOLD = 0.5
 
@@ -124,9 +125,9 @@ def co_train(views: tuple[np.ndarray, np.ndarray], label: np.ndarray, pool: tupl
                 grown[learner] = [np.concatenate([grown[learner][0], pool[learner][sure]]), np.concatenate([grown[learner][1], np.full(len(sure), value)])]
         sets, models = grown, [fit(*s) for s in grown]
     logits = [m.logit(v[aside]) for m, v in zip(models, views, strict=True)]
-    calibrated = [fit(z[:, None], label[aside]) for z in logits]
+    calibrated = [fit(z[:, None], label[aside], CALIBRATION_RIDGE) for z in logits]
     both = np.column_stack([c.logit(z[:, None]) for c, z in zip(calibrated, logits, strict=True)])
-    return Model(*models, *calibrated, fit(both, label[aside]))
+    return Model(*models, *calibrated, fit(both, label[aside], CALIBRATION_RIDGE))
 
 
 def _views(batch: pa.RecordBatch, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
