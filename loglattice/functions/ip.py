@@ -6,7 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-IPV4 = f"^{_OCTET}([.]{_OCTET}){{3}}$"
+IPV4 = rf"\A{_OCTET}([.]{_OCTET}){{3}}\z"
+_GROUP = "[0-9A-Fa-f]{1,4}"
+#: Eight groups; or fewer around one ``::``, counted by a look-ahead over the colons.
+IPV6 = rf"\A({_GROUP}(:{_GROUP}){{7}}|(?=(:?[^:]*:){{2,8}}[^:]*\z)({_GROUP}(:{_GROUP})*)?::({_GROUP}(:{_GROUP})*)?)\z"
 
 # The inclusive client address range.
 CLIENT_RANGE = ("10.30.255.0", "10.50.255.0")
@@ -21,7 +24,7 @@ def to_ip(value: Column | str, allow_ipv6: bool = False) -> Column:
     text = _col(value)
     valid = text.rlike(IPV4)
     if allow_ipv6:
-        valid = valid | (text.contains(":") & text.rlike("^[0-9A-Fa-f:.]+$"))
+        valid = valid | (text.rlike(IPV6))
     return F.when(valid, text)
 
 
@@ -34,9 +37,8 @@ def ip_to_long(value: Column | str) -> Column:
 
 def long_to_ip(value: Column | str) -> Column:
     number = _col(value).cast("bigint")
-    return F.concat_ws(
-        ".", *[F.shiftright(number, s).bitwiseAND(F.lit(255)).cast("string") for s in (24, 16, 8, 0)]
-    )
+    octets = [F.shiftright(number, s).bitwiseAND(F.lit(255)).cast("string") for s in (24, 16, 8, 0)]
+    return F.when(number.between(0, 4294967295), F.concat_ws(".", *octets))
 
 
 def _bound(text: str) -> int:

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 # Currencies without minor units, identifier shapes, season factors per month.
 WHOLE_CURRENCIES = ("JPY", "KRW")
 ID_SHAPES = {
-    "order": "^ORDER-[0-9]{8}$",
-    "trade": "^TRD-[0-9]{12}$",
+    "order": "^ORDER-[0-9]{8,}$",
+    "trade": "^TRD-[0-9]{12,}$",
     "customer": "^CUST-[0-9]+$",
-    "rma": "^RMA-[0-9]{7}$",
-    "journal": "^JRN-[0-9]{8}$",
-    "authorization": "^AUTH-[0-9A-F]{12}$",
+    "rma": "^RMA-[0-9]{7,}$",
+    "journal": "^JRN-[0-9]{8,}$",
+    "authorization": "^AUTH-[0-9A-F]{12,}$",
 }
 SEASON_FACTORS = {11: 1.9, 12: 1.9, 10: 1.25, 6: 0.85, 7: 0.85}
 

@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 
 from loglattice.functions.ip import to_ip
 from loglattice.functions.scalars import case
-from loglattice.operators.lookup import lookup_join
-from loglattice.session import fits_broadcast
-
-#: Document ids per output row; a group with more ids continues on further rows (``part`` 1, 2, ...).
-PART_SIZE = 100_000
 
 ROSTER_ATTRIBUTES = ("first_name", "last_name", "department", "sub_department", "start_date")
 
@@ -30,21 +25,16 @@ def correlate(
     tags: Sequence[tuple[str, Column]],
     counts: Mapping[str, Sequence[str] | None],
     values: Mapping[str, str],
-    ids: Mapping[str, str] | None = None,
     having: Column | None = None,
-    part_size: int = PART_SIZE,
-    bounded_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Correlate ``datasets`` by ``key``.
+    """Correlate ``datasets`` by ``key``: one row per kept key.
 
     ``tags``    ordered (label, predicate); the first true one names the row, else ``Other``.
     ``counts``  output name to the labels it counts; ``None`` counts every row.
     ``values``  output name to the column whose distinct values are listed (attributes with few values per key).
-    ``ids``     like ``values`` for columns with one value per document. These lists grow with the data, so they are
-                split by hash into rows of about ``part_size`` ids; no id is dropped.
     ``having``  kept groups; by default every count must be above zero.
-    ``bounded_by`` a dataset every kept key must occur in; when its measured size allows, the kept groups are broadcast
-                to the document rows.
+
+    Columns with one value per document are not listed; ``documents_of`` gives them as rows.
     """
     schemas = [d.schema for d in datasets]
     types = {f.name: f.dataType for schema in reversed(schemas) for f in schema.fields}
@@ -66,48 +56,26 @@ def correlate(
             (F.collect_set(column) if column in held else F.lit(None).cast("array<string>")).alias(name)
             for name, column in values.items()
         ]
-        aggs.append(F.count(F.lit(1)).alias("rows_seen"))
         partials.append(filled.groupBy(key).agg(*aggs))
 
     united = reduce(DataFrame.unionByName, partials)
     merged = united.groupBy(key).agg(
         *[F.sum(name).alias(name) for name in counts],
         *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name) for name in values],
-        F.sum("rows_seen").alias("rows_seen"),
     )
     if having is None:
         having = reduce(Column.__and__, [F.col(name) > 0 for name in counts])
-    kept = merged.where(having).select(
-        key,
-        *counts,
-        *[F.when(F.size(name) > 0, F.col(name)).alias(name) for name in values],
-        "rows_seen",
-    )
-    if not ids:
-        return kept.drop("rows_seen")
-
-    # Document ids: every surviving key gets as many parts as its row count asks for. The groups ride along, so the
-    # finished parts need no further join, and each group adds one row without ids to have a part in any case.
-    sources = [d for d, schema in zip(datasets, schemas) if set(ids.values()) <= set(schema.names)]
-    id_rows = reduce(DataFrame.unionByName, [d.select(key, *ids.values()) for d in sources])
-    groups = kept.select(
-        key, F.struct(*[c for c in kept.columns if c not in (key, "rows_seen")]).alias("group"),
-        F.ceil(F.col("rows_seen") / part_size).alias("parts"),
-    )
-    fits = bounded_by is not None and fits_broadcast(bounded_by)
-    placed = lookup_join(id_rows, groups, [key], "inner", fits=fits).withColumn(
-        "part", F.pmod(F.xxhash64(*ids.values()), F.col("parts"))
-    )
-    bare = groups.select(key, "group", F.lit(0).cast("bigint").alias("part"))
-    rows = placed.drop("parts").unionByName(bare, allowMissingColumns=True)
-    lists = rows.groupBy(key, "part").agg(
-        F.any_value("group").alias("group"), *[F.collect_set(column).alias(name) for name, column in ids.items()]
-    )
-    return lists.select(
-        key, "group.*", *[F.when(F.size(n) > 0, F.array_sort(n)).alias(n) for n in ids], "part"
+    return merged.where(having).select(
+        key, *counts, *[F.when(F.size(name) > 0, F.col(name)).alias(name) for name in values]
     )
 
 
+def documents_of(groups: DataFrame, documents: DataFrame, key: str = "client_ip", doc_id: str = "_id") -> DataFrame:
+    """``(key, doc_id)`` of the documents of the kept ``groups``, one row per distinct id however many there are."""
+    rows = documents.where(F.col(doc_id).isNotNull()).select(key, doc_id)
+    return rows.join(groups.select(key), key, "left_semi").distinct()
+
+
 def roster_by_ip(roster: DataFrame) -> DataFrame:
     """Roster rows keyed by the canonical client address."""
     return roster.where(F.col("ip_address").isNotNull()).select(
@@ -173,17 +141,14 @@ def five_module_roster(logs: DataFrame, roster: DataFrame, ip: str | None = None
     return out if ip is None else out.where(F.col("client_ip") == ip)
 
 
-def document_roster(logs: DataFrame, roster: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Per employee address: datasets, document ids and indices; only rows with a module are counted."""
+def document_roster(logs: DataFrame, roster: DataFrame) -> DataFrame:
+    """Per employee address: datasets and indices; only rows with a module are counted."""
     return correlate(
         [_with_client(logs, "event_module", "_id", "_index"), _keyed(roster)],
         "client_ip",
         _document_tags(),
         {"log_events": ["Dataset"], "hr_matches": ["HR"]},
         {**{c: c for c in ROSTER_ATTRIBUTES}, "dataset": "event_module", "index": "_index"},
-        ids={"doc_id": "_id"},
-        part_size=part_size,
-        bounded_by=roster,
     )
 
 
@@ -192,7 +157,7 @@ def _roster_text_match(roster: DataFrame, ip: str) -> DataFrame:
     return roster_by_ip(roster.where(F.col("ip_address") == ip))
 
 
-def lookup_exact(logs: DataFrame, roster: DataFrame, ip: str, part_size: int = PART_SIZE) -> DataFrame:
+def lookup_exact(logs: DataFrame, roster: DataFrame, ip: str) -> DataFrame:
     """One address: every row counts as an event, roster rows included."""
     return correlate(
         [
@@ -203,9 +168,6 @@ def lookup_exact(logs: DataFrame, roster: DataFrame, ip: str, part_size: int = P
         [("Datasets", F.col("event_module").isNotNull()), _hr_tag()],
         {"log_events": None, "hr_matches": ["HR"]},
         {**{c: c for c in ROSTER_ATTRIBUTES}, "index": "_index"},
-        ids={"doc_id": "_id"},
-        part_size=part_size,
-        bounded_by=roster,
     )
 
 
@@ -216,7 +178,7 @@ def _any_field(logs: DataFrame, ip: str) -> DataFrame:
     return logs.where(to_ip(F.lit(ip)).isin(*[F.col(c) for c in _ADDRESS_FIELDS]))
 
 
-def lookup_v5_exact(logs: DataFrame, roster: DataFrame, ip: str, part_size: int = PART_SIZE) -> DataFrame:
+def lookup_v5_exact(logs: DataFrame, roster: DataFrame, ip: str) -> DataFrame:
     """Logs are matched on any of four address fields but grouped by client address.
 
     A log matched through another field therefore lands in a group without a roster row and is dropped.
@@ -227,22 +189,20 @@ def lookup_v5_exact(logs: DataFrame, roster: DataFrame, ip: str, part_size: int
         _document_tags(),
         {"log_events": None, "hr_matches": ["HR"]},
         {**{c: c for c in ROSTER_ATTRIBUTES}, "dataset": "event_module", "index": "_index"},
-        ids={"doc_id": "_id"},
-        part_size=part_size,
-        bounded_by=roster,
     )
 
 
-def lookup_any_ip(logs: DataFrame, roster: DataFrame, ip: str, part_size: int = PART_SIZE) -> DataFrame:
+def documents_at(logs: DataFrame, ip: str) -> DataFrame:
+    """Documents with the address in any of four fields, keyed by the address itself."""
+    return _any_field(logs, ip).select(to_ip(F.lit(ip)).alias("client_ip"), "event_module", "_id", "_index")
+
+
+def lookup_any_ip(logs: DataFrame, roster: DataFrame, ip: str) -> DataFrame:
     """As ``lookup_v5_exact`` but grouped by the requested address, so all four fields count."""
-    matched = _any_field(logs, ip).select(to_ip(F.lit(ip)).alias("client_ip"), "event_module", "_id", "_index")
     return correlate(
-        [matched, _roster_text_match(roster, ip)],
+        [documents_at(logs, ip), _roster_text_match(roster, ip)],
         "client_ip",
         _document_tags(),
         {"log_events": None, "hr_matches": ["HR"]},
         {**{c: c for c in ROSTER_ATTRIBUTES}, "dataset": "event_module", "index": "_index"},
-        ids={"doc_id": "_id"},
-        part_size=part_size,
-        bounded_by=roster,
     )

@@ -208,11 +208,17 @@ def replace_struct(docs: DataFrame, field: str, update: Column, keys: Sequence[s
 
 
 def update_by_id(
-    docs: DataFrame, updates: DataFrame, field: str, mode: str = "merge", doc_key: Sequence[str] = DOC_KEY
+    docs: DataFrame, updates: DataFrame, field: str, mode: str = "merge", doc_key: Sequence[str] = DOC_KEY,
+    order: str | None = None,
 ) -> DataFrame:
-    """Apply (document key, ``update`` struct) rows; documents without a row stay untouched."""
+    """Apply (document key, ``update`` struct) rows; documents without a row stay untouched.
+
+    Of several updates for one key the last by ``order`` counts, or the greatest struct where no order is given.
+    """
     names = [f.name for f in updates.schema["update"].dataType.fields]
-    joined = docs.join(updates.select(*doc_key, F.col("update").alias("__update")), list(doc_key), "left")
+    last = F.max("update") if order is None else F.max_by("update", F.struct(order, "update"))
+    latest = updates.groupBy(*doc_key).agg(last.alias("__update"))
+    joined = docs.join(latest, list(doc_key), "left")
     apply = merge_struct if mode == "merge" else replace_struct
     out = apply(joined, field, F.col("__update"), names).drop("__update")
     columns = docs.columns if field in docs.columns else [*docs.columns, field]

@@ -124,7 +124,9 @@ def order_rules(as_of: datetime) -> dict[str, Column]:
     out_of_order = (
         F.coalesce(c("paid_at") < c("placed_at"), F.lit(False))
         | F.coalesce(c("shipped_at") < c("placed_at"), F.lit(False))
+        | F.coalesce(c("shipped_at") < c("paid_at"), F.lit(False))
         | F.coalesce(c("delivered_at") < c("shipped_at"), F.lit(False))
+        | F.coalesce(c("delivered_at") < c("placed_at"), F.lit(False))
     )
     usd = c("total_amount") * c("fx_rate_to_usd")
     fee = c("restocking_fee")
@@ -187,11 +189,8 @@ def transaction_rules() -> dict[str, Column]:
         "zero_inquiry": F.when(event.isin("inquiry", "status_check"), c("event_amount") != 0),
         "address": F.when(c("accountID") <= 35000, ~c("addressId").eqNullSafe(c("accountID"))),
         "date_text": c("transaction_date") != iso_millis("timestamp"),
-        "settlement": F.when(
-            traded,
-            c("settlement_date").isNull()
-            | ~F.datediff(F.try_to_date("settlement_date", "yyyy-MM-dd"), F.to_date("timestamp")).isin(1, 2),
-        ),
+        "settlement": (traded != c("settlement_date").isNotNull())
+        | F.coalesce(~F.datediff(F.try_to_date("settlement_date", "yyyy-MM-dd"), F.to_date("timestamp")).isin(1, 2), c("settlement_date").isNotNull()),
         "partition": (c("year") != F.year("timestamp")) | (c("month") != F.month("timestamp")),
         "known_event": ~event.isin(*EVENT_DIRECTION),
     }

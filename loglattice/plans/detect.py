@@ -21,13 +21,28 @@ from loglattice.operators.lookup import lookup_join
 # Request and agent patterns per probe rule.
 PROBES = {
     "path_traversal": r"(?i)\.\./|%2f\.\.|etc/passwd",
-    "sql_injection": r"(?i)union\s+select|' or '|drop table|sleep\(|%27%20or",
+    "sql_injection": r"(?i)union\s+select|' or '|'\s*--|drop table|sleep\(|%27%20or",
     "hidden_file": r"/\.(env|git)\b",
     "admin_surface": r"(?i)wp-login|phpmyadmin|/actuator/(env|heapdump)|/admin\b",
     "scanner_agent": r"(?i)sqlmap|nmap|hydra|python-requests|go-http-client",
 }
 
 
+def _addressed(events: DataFrame) -> DataFrame:
+    """Events with an address; those without one are nobody's."""
+    return events.where(F.col("client_ip").isNotNull())
+
+
+def auth_failed() -> Column:
+    """Whether an event reports a refused log-in: by status, by reason or outcome, or in the words of its body."""
+    kv, words = F.col("kv"), r"(?i)failed (login|password)|authentication (failed|failure)|excessive authentication failures"
+    said = [F.lower(kv["reason"]) == "bad_credentials", (F.col("kind") == "cef") & (F.lower(kv["outcome"]) == "failure"), kv["body"].rlike(words), kv["name"].rlike(words)]
+    out = F.coalesce(F.col("http_status") == 401, F.lit(False))
+    for one in said:
+        out = out | F.coalesce(one, F.lit(False))
+    return out
+
+
 def _distinct(column: str, exact: bool) -> Column:
     return F.count_distinct(column) if exact else F.approx_count_distinct(column)
 
@@ -42,7 +57,7 @@ def top_talkers(events: DataFrame, k: int) -> DataFrame:
     """The ``k`` busiest addresses with their share of all events."""
     from loglattice.operators.shares import share_of_total
 
-    counts = share_of_total(events.where(F.col("client_ip").isNotNull()), "client_ip")
+    counts = share_of_total(_addressed(events), "client_ip")
     return counts.orderBy(F.desc("n"), "client_ip").limit(k)
 
 
@@ -51,14 +66,16 @@ def status_burst(
     statuses: Sequence[int] = (401, 403, 429),
 ) -> DataFrame:
     """Windows in which an address collects at least ``threshold`` refused requests."""
-    refused = events.where(F.col("http_status").isin(*statuses))
+    refused = _addressed(events).where(F.col("http_status").isin(*statuses))
     out = _windowed(refused, ["client_ip"], size, slide, F.count(F.lit(1)).alias("n"))
     return out.where(F.col("n") >= threshold)
 
 
-def stuffing(events: DataFrame, min_failures: int, min_users: int, size: str = "1 hour", exact: bool = False) -> DataFrame:
-    """Addresses failing to log in as many different users."""
-    failed = events.where(F.col("http_status") == 401)
+def stuffing(
+    events: DataFrame, min_failures: int, min_users: int, size: str = "1 hour", exact: bool = False, failed: Column | None = None
+) -> DataFrame:
+    """Addresses failing to log in as many different users; ``failed`` is by default any refused log-in of ``auth_failed``."""
+    failed = _addressed(events).where(auth_failed() if failed is None else failed)
     out = _windowed(
         failed, ["client_ip"], size, None, F.count(F.lit(1)).alias("failures"),
         _distinct("user_name", exact).alias("users"),
@@ -68,22 +85,27 @@ def stuffing(events: DataFrame, min_failures: int, min_users: int, size: str = "
 
 def enumeration(events: DataFrame, min_accounts: int, size: str = "1 hour", exact: bool = False) -> DataFrame:
     """Addresses touching many different accounts."""
-    touched = events.where(F.col("account_id").isNotNull())
+    touched = _addressed(events).where(F.col("account_id").isNotNull())
     out = _windowed(touched, ["client_ip"], size, None, _distinct("account_id", exact).alias("accounts"))
     return out.where(F.col("accounts") >= min_accounts)
 
 
-def probe_tags(url: Column, agent: Column) -> Column:
-    """Names of the probe rules a request matches."""
-    text = F.concat_ws(" ", url, agent)
+def probe_tags(url: Column, agent: Column, *more: Column) -> Column:
+    """Names of the probe rules a request matches; ``more`` are further texts, such as a firewall's payload."""
+    text = F.concat_ws(" ", url, agent, *more)
     return F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(n)) for n, p in PROBES.items()]))
 
 
+def _probe_tags() -> Column:
+    kv = F.col("kv")
+    return probe_tags(F.col("url_path"), kv["agent"], kv["user_agent"], kv["data"])
+
+
 def probe_hits(events: DataFrame) -> DataFrame:
-    """Matches per address and probe rule."""
-    tags = probe_tags(F.col("url_path"), F.col("kv")["agent"])
+    """Matches per address and probe rule, in urls, agents and firewall payloads."""
+    tags = _probe_tags()
     return (
-        events.select("client_ip", F.explode(tags).alias("rule"))
+        _addressed(events).select("client_ip", F.explode(tags).alias("rule"))
         .groupBy("client_ip", "rule")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -91,13 +113,13 @@ def probe_hits(events: DataFrame) -> DataFrame:
 
 def waf_hits(events: DataFrame) -> DataFrame:
     """Firewall blocks per address and rule."""
-    blocked = events.where(F.col("kind") == "waf")
+    blocked = _addressed(events).where(F.col("kind") == "waf")
     return blocked.groupBy("client_ip", F.col("kv")["rule_id"].alias("rule_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def off_hours(events: DataFrame, z: float) -> DataFrame:
     """Days on which the off-hours share of an address departs from its own history."""
-    days = events.groupBy("client_ip", F.to_date("ts").alias("day")).agg(
+    days = _addressed(events).groupBy("client_ip", F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~business_hour("ts")).alias("off")
     ).withColumn("ratio", F.col("off") / F.col("n"))
     history = Window.partitionBy("client_ip")
@@ -106,13 +128,14 @@ def off_hours(events: DataFrame, z: float) -> DataFrame:
     return scored.where(F.col("z") >= z)
 
 
-def exfil(events: DataFrame, min_bytes: int, size: str = "1 day") -> DataFrame:
+def exfil(events: DataFrame, min_bytes: int, size: str = "1 day", min_rows: int | None = None) -> DataFrame:
     """Addresses that move many bytes, or export many rows, within a window."""
     rows = F.col("kv")["rows"].try_cast("bigint")
     out = _windowed(
-        events, ["client_ip"], size, None, F.sum("bytes").alias("bytes"), F.sum(rows).alias("exported_rows")
+        _addressed(events), ["client_ip"], size, None, F.sum("bytes").alias("bytes"), F.sum(rows).alias("exported_rows")
     )
-    return out.where(F.col("bytes") >= min_bytes)
+    many = F.lit(False) if min_rows is None else F.coalesce(F.col("exported_rows") >= min_rows, F.lit(False))
+    return out.where(F.coalesce(F.col("bytes") >= min_bytes, F.lit(False)) | many)
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -163,13 +186,33 @@ def rate_series(events: DataFrame, keys: Sequence[str], bucket_seconds: int) ->
     return events.groupBy(*keys, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _with_silence(series: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The series with a zero after every bucket that the next one does not follow, and the bounds of each series."""
+    after = series.select(*keys, (F.col("bucket") + 1).alias("bucket"), F.lit(0).cast("bigint").alias("n"))
+    filled = series.unionByName(after).groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
+    bounds = Window.partitionBy(*keys)
+    end = F.max(F.when(F.col("n") > 0, F.col("bucket"))).over(bounds)
+    return filled.withColumns({"start": F.min("bucket").over(bounds), "end": end}).where(F.col("bucket") <= F.col("end"))
+
+
 def rate_spikes(events: DataFrame, keys: Sequence[str], bucket_seconds: int, lookback: int, z: float) -> DataFrame:
-    """Buckets whose rate lies ``z`` deviations above the ``lookback`` buckets before."""
+    """Buckets whose rate lies ``z`` deviations above the ``lookback`` buckets before; a bucket without events counts as zero.
+
+    The history of a series begins with its first event.
+    """
     series = rate_series(events, keys, bucket_seconds)
-    before = Window.partitionBy(*keys).orderBy("bucket").rangeBetween(-lookback, -1)
-    scored = series.withColumns({"mean": F.avg("n").over(before), "spread": F.stddev_samp("n").over(before)})
+    order = Window.partitionBy(*keys).orderBy("bucket")
+    before = order.rangeBetween(-lookback, -1)
+    first = F.min("bucket").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    scored = series.withColumns({
+        "total": F.coalesce(F.sum("n").over(before), F.lit(0)), "squares": F.coalesce(F.sum(F.col("n") * F.col("n")).over(before), F.lit(0)),
+        "seen": F.least(F.lit(lookback), F.col("bucket") - first),
+    })
+    mean = F.col("total") / F.col("seen")
+    spread = F.sqrt((F.col("squares") - F.col("total") * mean) / (F.col("seen") - 1))
+    scored = scored.where(F.col("seen") > 1).withColumns({"mean": mean, "spread": spread})
     scored = scored.withColumn("z", F.when(F.col("spread") > 0, (F.col("n") - F.col("mean")) / F.col("spread")))
-    return scored.where(F.col("z") >= z)
+    return scored.where(F.col("z") >= z).drop("total", "squares", "seen")
 
 
 def pool_saturation(events: DataFrame, bucket_seconds: int, min_active: float = 0.9) -> DataFrame:
@@ -188,17 +231,19 @@ def pool_saturation(events: DataFrame, bucket_seconds: int, min_active: float =
 
 
 def change_points(events: DataFrame, keys: Sequence[str], bucket_seconds: int, width: int) -> DataFrame:
-    """Per series the bucket where the mean rate before and after differs most."""
-    series = rate_series(events, keys, bucket_seconds)
+    """Per series the bucket where the mean rate before and after differs most; a bucket without events counts as zero.
+
+    Buckets with events, and the first silent one behind each, are candidates.
+    """
+    series = _with_silence(rate_series(events, keys, bucket_seconds), keys)
     order = Window.partitionBy(*keys).orderBy("bucket")
-    before, after = order.rowsBetween(-width, -1), order.rowsBetween(0, width - 1)
-    gaps = series.withColumns(
-        {
-            "before": F.avg("n").over(before), "after": F.avg("n").over(after),
-            "seen": F.count("n").over(before), "left": F.count("n").over(after),
-        }
-    ).where((F.col("seen") == width) & (F.col("left") == width))
-    gap = F.round(F.abs(F.col("after") - F.col("before")), 9)
+    sums = {
+        "before": F.coalesce(F.sum("n").over(order.rangeBetween(-width, -1)), F.lit(0)),
+        "after": F.coalesce(F.sum("n").over(order.rangeBetween(0, width - 1)), F.lit(0)),
+    }
+    whole = (F.col("bucket") - F.col("start") >= width) & (F.col("end") - F.col("bucket") >= width - 1)
+    gaps = series.withColumns(sums).where(whole)
+    gap = F.round(F.abs(F.col("after") - F.col("before")) / width, 9)
     best = gaps.groupBy(*keys).agg(F.max(F.struct(gap.alias("gap"), (-F.col("bucket")).alias("at"))).alias("best"))
     return best.select(*keys, (-F.col("best.at")).alias("bucket"), F.col("best.gap").alias("gap"))
 
@@ -242,9 +287,9 @@ def symbol_baseline(tx: DataFrame, z: float) -> DataFrame:
 
 def ip_risk_summary(events: DataFrame, roster: DataFrame, exact: bool = False) -> DataFrame:
     """Per address and day: volume, refusals, probes, users, accounts and bytes, with the person behind it."""
-    probed = F.size(probe_tags(F.col("url_path"), F.col("kv")["agent"])) > 0
+    probed = F.size(_probe_tags()) > 0
     daily = (
-        events.where(F.col("client_ip").isNotNull())
+        _addressed(events)
         .groupBy("client_ip", F.to_date("ts").alias("day"))
         .agg(
             F.count(F.lit(1)).alias("events"),

@@ -226,11 +226,11 @@ def yearless_ts(stamp: Column, as_of: Column, year: int | None = None) -> Column
 
     if year is not None:
         return at(F.lit(year))
-    # The one-element transform reads the text once; 29 February may need the year before to be valid at all.
-    moved = F.transform(
-        F.array(at(F.year(as_of))), lambda t: F.when(t > as_of, t - F.make_ym_interval(F.lit(1))).otherwise(t)
-    )
-    return F.coalesce(moved[0], at(F.year(as_of) - 1))
+    # The newest year in which the text is a date not after ``as_of``; 29 February may be up to eight years back.
+    years = F.array(*[F.year(as_of) - back for back in range(9)])
+    valid = F.filter(F.transform(years, at), lambda t: t <= as_of)
+    recent = F.transform(F.array(at(F.year(as_of)), at(F.year(as_of) - 1)), lambda t: F.when(t <= as_of, t))
+    return F.when(text.startswith("Feb 29 "), F.get(valid, F.lit(0))).otherwise(F.coalesce(recent[0], recent[1]))
 
 
 def parse_messages(

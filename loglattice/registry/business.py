@@ -69,20 +69,26 @@ def profile_tx(spark, sf):
     return text_ts(out, "first_ts", "last_ts")
 
 
+#: Columns that some inquiries carry although only other events may, and their value.
+_FILLERS = {"posID": 1, "txbankId": 1, "intbankID": 1, "to_account": 1, "wire_direction": "inbound"}
+
+
 def _damaged_tx(spark, sf):
     (tx,) = load(spark, sf, "transactions")
     k = F.col("k")
-    traded = F.col("account_event").isin("buy", "sell")
+    traded, idle = F.col("account_event").isin("buy", "sell"), F.col("account_event") == "inquiry"
     return tx.withColumns(
         {
             "transaction_date": F.when(k % 53 == 0, F.lit("1970-01-01T00:00:00.000Z")).otherwise(iso_millis("timestamp")),
             "settlement_date": F.when(
-                traded, F.date_format(F.date_add("timestamp", F.when(k % 59 == 0, 5).otherwise(2)), "yyyy-MM-dd")
+                traded | ((F.col("account_event") == "inquiry") & (k % 59 == 0)),
+                F.date_format(F.date_add("timestamp", F.when(k % 59 == 0, 5).otherwise(2)), "yyyy-MM-dd"),
             ),
+            **{c: F.when(idle & (k % 101 == 0), F.lit(filler)).otherwise(F.col(c)) for c, filler in _FILLERS.items()},
             "quantity": F.col("quantity") + F.when(k % 61 == 0, 1).otherwise(0),
             "addressId": F.when(k % 67 != 0, F.col("addressId")),
             "year": F.col("year") + F.when(k % 71 == 0, 1).otherwise(0),
-            "tradeID": F.when(k % 73 != 0, F.col("tradeID")),
+            "tradeID": F.when(k % 73 != 0, F.when(k % 97 == 0, F.concat(F.lit("X"), "tradeID")).otherwise(F.col("tradeID"))),
             "deposit_type": F.when(k % 79 == 0, F.lit("cash")).otherwise(F.col("deposit_type")),
             "event_type": F.when(k % 83 == 0, F.lit("credit")).otherwise(F.col("event_type")),
             "event_amount": F.col("event_amount")
@@ -108,23 +114,24 @@ def _rule_sql(source: str, rules: dict[str, tuple[str, str]]) -> str:
 
 
 _TRADED = "account_event IN ('buy', 'sell')"
+_IDLE = "account_event = 'inquiry'"
 _TX_RULES = {
     "trade_quantity": (_TRADED, "k % 61 = 0"),
     "trade_fields": ("TRUE", f"{_TRADED} AND k % 73 = 0"),
-    "trade_id": (f"{_TRADED} AND k % 73 <> 0", "FALSE"),
+    "trade_id": (f"{_TRADED} AND k % 73 <> 0", "k % 97 = 0"),
     "direction": ("TRUE", "k % 83 = 0 AND account_event IN ('purchase', 'withdrawal', 'fee', 'buy', 'inquiry')"),
     "zero_inquiry": ("account_event = 'inquiry'", "k % 89 = 0"),
     "address": ("accountID <= 35000", "k % 67 = 0"),
     "date_text": ("TRUE", "k % 53 = 0"),
-    "settlement": (_TRADED, "k % 59 = 0"),
+    "settlement": ("TRUE", f"k % 59 = 0 AND ({_TRADED} OR {_IDLE})"),
     "partition": ("TRUE", "k % 71 = 0"),
     "known_event": ("TRUE", "FALSE"),
-    "only_posID": ("posID IS NOT NULL", "FALSE"),
+    "only_posID": (f"posID IS NOT NULL OR ({_IDLE} AND k % 101 = 0)", _IDLE),
     "only_deposit_type": ("account_event = 'deposit' OR k % 79 = 0", "account_event <> 'deposit'"),
-    "only_txbankId": ("txbankId IS NOT NULL", "FALSE"),
-    "only_wire_direction": ("wire_direction IS NOT NULL", "FALSE"),
-    "only_intbankID": ("intbankID IS NOT NULL", "FALSE"),
-    "only_to_account": ("to_account IS NOT NULL", "FALSE"),
+    "only_txbankId": (f"txbankId IS NOT NULL OR ({_IDLE} AND k % 101 = 0)", _IDLE),
+    "only_wire_direction": (f"wire_direction IS NOT NULL OR ({_IDLE} AND k % 101 = 0)", _IDLE),
+    "only_intbankID": (f"intbankID IS NOT NULL OR ({_IDLE} AND k % 101 = 0)", _IDLE),
+    "only_to_account": (f"to_account IS NOT NULL OR ({_IDLE} AND k % 101 = 0)", _IDLE),
     "only_security_symbol": ("security_symbol IS NOT NULL", "FALSE"),
     "only_tradeID": (f"{_TRADED} AND k % 73 <> 0", "FALSE"),
 }
@@ -184,10 +191,10 @@ _ORDER_RULES = {
     "total": ("TRUE", "k % 101 = 0"),
     "currency_by_country": ("TRUE", "k % 127 = 0"),
     "carrier_by_country": ("TRUE", "k % 131 = 0"),
-    "city_by_country": ("TRUE", "FALSE"),
+    "city_by_country": ("TRUE", "k % 151 = 0"),
     "usd": ("TRUE", "k % 103 = 0"),
     "whole_currency": (_JPY, "(total_c + CASE WHEN k % 101 = 0 THEN 300 ELSE 0 END) % 100 <> 0"),
-    "time_order": ("TRUE", "k % 107 = 0 AND status <> 'cancelled'"),
+    "time_order": ("TRUE", "(k % 107 = 0 OR k % 167 = 0) AND status <> 'cancelled'"),
     "return_after_delivery": (_RET, "status <> 'returned'"),
     "status_by_age": ("TRUE", "FALSE"),
     "payment_status": ("TRUE", "k % 109 = 0"),
@@ -195,9 +202,9 @@ _ORDER_RULES = {
     "cross_border": ("TRUE", "k % 137 = 0"),
     "refund_amount": (_RET, "k % 101 = 0 OR k % 149 = 0"),
     "restocking_fee": (_RET, f"k % 2 = 1 AND k % 101 = 0 AND NOT ({_JPY})"),
-    "order_id": ("TRUE", "FALSE"),
-    "customer_id": ("TRUE", "FALSE"),
-    "rma": (_RET, "FALSE"),
+    "order_id": ("TRUE", "k % 157 = 0"),
+    "customer_id": ("TRUE", "k % 163 = 0"),
+    "rma": (_RET, "k % 173 = 0"),
 }
 _USD = (
     "round((total_c + CASE WHEN k % 101 = 0 THEN 300 ELSE 0 END) / 100 * fx, 2) "

@@ -32,7 +32,22 @@ def five_modules_all(spark, sf):
 
 def documents(spark, sf):
     logs, hr = load(spark, sf, "logs", "hr")
-    return joined(C.document_roster(logs, hr), [*ATTRS, "dataset", "index", "doc_id"])
+    return joined(C.document_roster(logs, hr), [*ATTRS, "dataset", "index"])
+
+
+def document_ids(spark, sf):
+    logs, hr = load(spark, sf, "logs", "hr")
+    return C.documents_of(C.document_roster(logs, hr), logs)
+
+
+def lookup_ids(spark, sf):
+    logs, hr = load(spark, sf, "logs", "hr")
+    return C.documents_of(C.lookup_exact(logs, hr, IP), logs.where(F.col("client_ip") == IP))
+
+
+def any_ip_ids(spark, sf):
+    logs, hr = load(spark, sf, "logs", "hr")
+    return C.documents_of(C.lookup_any_ip(logs, hr, IP), C.documents_at(logs, IP))
 
 
 def _lookup(operator, lists):
@@ -46,7 +61,6 @@ def _lookup(operator, lists):
 def _grouped(log_side: str, hr_where: str, tag: str, counts: dict[str, str], lists: dict[str, str], having: str) -> str:
     outs = ", ".join([f"count(*) FILTER (WHERE {c}) AS {n}" for n, c in counts.items()])
     vals = ", ".join(listed(f'"{src}"', f'"{out}"') for out, src in lists.items())
-    part = ", CAST(0 AS BIGINT) AS part" if "doc_id" in lists else ""
     nulls = ", ".join(f"CAST(NULL AS VARCHAR) AS {a}" for a in ATTRS)
     return f"""
 WITH u AS (
@@ -54,7 +68,7 @@ WITH u AS (
   UNION ALL
   SELECT {valid_ip("ip_address")}, NULL, NULL, NULL, {", ".join(ATTRS)} FROM {HR} AS h WHERE {hr_where}
 ), t AS (SELECT *, CASE {tag} ELSE 'Other' END AS data_type FROM u)
-SELECT client_ip, {outs}, {vals}{part} FROM t GROUP BY client_ip HAVING {having}
+SELECT client_ip, {outs}, {vals} FROM t GROUP BY client_ip HAVING {having}
 """
 
 
@@ -69,7 +83,7 @@ _FIVE_TAG = (
 _FIVE = "data_type IN ('Netflow', 'Proxy', 'Email', 'Threat-Intel', 'Windows')"
 _BOTH = "log_events > 0 AND hr_matches > 0"
 _NAMES = {a: a for a in ATTRS}
-_DOC_LISTS = {**_NAMES, "dataset": "event_module", "index": "_index", "doc_id": "_id"}
+_DOC_LISTS = {**_NAMES, "dataset": "event_module", "index": "_index"}
 _ANY = " OR ".join(f"{c} = '{IP}'" for c in ("client_ip", "host_ip", "destination_ip", "source_ip"))
 _BY_PARAMETER = f"(SELECT * REPLACE ('{IP}' AS client_ip) FROM {LOGS} AS l WHERE {_ANY}) AS m"
 
@@ -196,20 +210,33 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
         _grouped(_ALL, "TRUE", _DOC_TAG, {"log_events": "data_type = 'Dataset'", "hr_matches": "data_type = 'HR'"},
                  _DOC_LISTS, _BOTH),
     ),
+    "good_asof_ids": (
+        document_ids,
+        f"SELECT DISTINCT client_ip, _id FROM {_ALL} AND client_ip IN (SELECT client_ip FROM {LOGS} AS m WHERE event_module IS NOT NULL) "
+        f"AND client_ip IN (SELECT {valid_ip('ip_address')} FROM {HR} AS h WHERE department IS NOT NULL)",
+    ),
+    "hr_lookup_ids": (
+        lookup_ids,
+        f"SELECT DISTINCT client_ip, _id FROM {LOGS} AS l WHERE client_ip = '{IP}' AND '{IP}' IN (SELECT ip_address FROM {HR} AS h WHERE department IS NOT NULL)",
+    ),
+    "lookup_any_ip_ids": (
+        any_ip_ids,
+        f"SELECT DISTINCT '{IP}' AS client_ip, _id FROM {LOGS} AS l WHERE ({_ANY}) AND '{IP}' IN (SELECT ip_address FROM {HR} AS h WHERE department IS NOT NULL)",
+    ),
     "hr_lookup": (
-        _lookup(C.lookup_exact, [*ATTRS, "index", "doc_id"]),
+        _lookup(C.lookup_exact, [*ATTRS, "index"]),
         _grouped(f"{LOGS} AS l WHERE client_ip = '{IP}'", f"ip_address = '{IP}'",
                  f"WHEN event_module IS NOT NULL THEN 'Datasets' {_HR_TAG}",
                  {"log_events": "data_type IS NOT NULL", "hr_matches": "data_type = 'HR'"},
-                 {**_NAMES, "index": "_index", "doc_id": "_id"}, _BOTH),
+                 {**_NAMES, "index": "_index"}, _BOTH),
     ),
     "lookup_v5_exact": (
-        _lookup(C.lookup_v5_exact, [*ATTRS, "dataset", "index", "doc_id"]),
+        _lookup(C.lookup_v5_exact, [*ATTRS, "dataset", "index"]),
         _grouped(f"{LOGS} AS l WHERE {_ANY}", f"ip_address = '{IP}'", _DOC_TAG,
                  {"log_events": "data_type IS NOT NULL", "hr_matches": "data_type = 'HR'"}, _DOC_LISTS, _BOTH),
     ),
     "lookup_any_ip": (
-        _lookup(C.lookup_any_ip, [*ATTRS, "dataset", "index", "doc_id"]),
+        _lookup(C.lookup_any_ip, [*ATTRS, "dataset", "index"]),
         _grouped(_BY_PARAMETER, f"ip_address = '{IP}'", _DOC_TAG,
                  {"log_events": "data_type IS NOT NULL", "hr_matches": "data_type = 'HR'"}, _DOC_LISTS, _BOTH),
     ),

@@ -18,17 +18,17 @@ from loglattice.streaming import windows
 
 
 def _events(spark, sf):
-    """Typed events straight from the facts, one per event."""
+    """Typed events straight from the facts, one per event; some have no address."""
     (facts,) = load(spark, sf, "line_facts")
     return facts.select(
-        "id", F.col("ms_ts").alias("ts"), F.col("ip").alias("client_ip"), F.col("usr").alias("user_name"),
+        "id", F.col("ms_ts").alias("ts"), F.when(F.col("id") % 17 != 0, F.col("ip")).alias("client_ip"), F.col("usr").alias("user_name"),
         (F.col("account") + F.col("n3")).alias("account_id"), F.col("status").alias("http_status"),
         F.col("path").alias("url_path"), F.col("size").alias("bytes"), F.col("lvl").alias("level"),
         F.col("event_type").alias("kind"), F.create_map(F.lit("rows"), F.col("ms").cast("string")).alias("kv"),
     )
 
 
-_E = f"""(SELECT id, ms_ts AS ts, ip AS client_ip, usr AS user_name, account + n3 AS account_id, status AS http_status,
+_E = f"""(SELECT id, ms_ts AS ts, CASE WHEN id % 17 <> 0 THEN ip END AS client_ip, usr AS user_name, account + n3 AS account_id, status AS http_status,
   path AS url_path, size AS bytes, lvl AS level, event_type AS kind, ms AS export_rows FROM {LINES} AS f) AS e"""
 
 
@@ -41,6 +41,7 @@ def _days(df):
     return text_ts(df, "window_start", "window_end")
 
 
+_A = f"(SELECT * FROM {_E} WHERE client_ip IS NOT NULL) AS a"
 _DAY_COLS = (
     f"{sql_ts('date_trunc(' + chr(39) + 'day' + chr(39) + ', ts)')} AS window_start, "
     f"{sql_ts('date_trunc(' + chr(39) + 'day' + chr(39) + ', ts) + INTERVAL 1 DAY')} AS window_end"
@@ -140,7 +141,7 @@ def status_burst_sliding(spark, sf):
 
 def stuffing(spark, sf):
     events = _events(spark, sf).withColumn("user_name", F.concat("user_name", F.col("level")))
-    return _days(detect.stuffing(events, 2, 2, "1 day", exact=True))
+    return _days(detect.stuffing(events, 2, 2, "1 day", exact=True, failed=F.col("http_status") == 401))
 
 
 def enumeration(spark, sf):
@@ -166,7 +167,7 @@ def off_hours(spark, sf):
 
 
 def exfil(spark, sf):
-    return _days(detect.exfil(_events(spark, sf), 90_000, "1 day"))
+    return _days(detect.exfil(_events(spark, sf), 90_000, "1 day", min_rows=900))
 
 
 def travel(spark, sf):
@@ -299,36 +300,36 @@ UNION ALL SELECT ip, 'silent' FROM h WHERE ip IS NOT NULL AND ip NOT IN (SELECT
     ),
     "top_talkers": (
         top_talkers,
-        f"""SELECT client_ip, count(*) AS n, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM events), 9) AS share
-FROM {_E} GROUP BY client_ip ORDER BY n DESC, client_ip LIMIT 20""",
+        f"""SELECT client_ip, count(*) AS n, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM {_A}), 9) AS share
+FROM {_A} GROUP BY client_ip ORDER BY n DESC, client_ip LIMIT 20""",
     ),
     "status_burst": (
         status_burst,
-        f"""SELECT client_ip, count(*) AS n, {_DAY_COLS} FROM {_E} WHERE http_status IN (401, 403, 429)
+        f"""SELECT client_ip, count(*) AS n, {_DAY_COLS} FROM {_A} WHERE http_status IN (401, 403, 429)
 GROUP BY client_ip, date_trunc('day', ts) HAVING count(*) >= 3""",
     ),
     "status_burst_sliding": (
         status_burst_sliding,
         f"""SELECT client_ip, count(*) AS n, {sql_ts("w")} AS window_start, {sql_ts("w + INTERVAL 2 DAY")} AS window_end
-FROM (SELECT client_ip, date_trunc('day', ts) - to_days(CAST(unnest([0, 1]) AS INTEGER)) AS w FROM {_E}
+FROM (SELECT client_ip, date_trunc('day', ts) - to_days(CAST(unnest([0, 1]) AS INTEGER)) AS w FROM {_A}
   WHERE http_status IN (401, 403, 429)) AS x
 GROUP BY client_ip, w HAVING count(*) >= 4""",
     ),
     "stuffing": (
         stuffing,
-        f"""SELECT client_ip, count(*) AS failures, count(DISTINCT user_name || level) AS users, {_DAY_COLS} FROM {_E}
+        f"""SELECT client_ip, count(*) AS failures, count(DISTINCT user_name || level) AS users, {_DAY_COLS} FROM {_A}
 WHERE http_status = 401 GROUP BY client_ip, date_trunc('day', ts)
 HAVING count(*) >= 2 AND count(DISTINCT user_name || level) >= 2""",
     ),
     "enumeration": (
         enumeration,
-        f"""SELECT client_ip, count(DISTINCT account_id) AS accounts, {_DAY_COLS} FROM {_E}
+        f"""SELECT client_ip, count(DISTINCT account_id) AS accounts, {_DAY_COLS} FROM {_A}
 GROUP BY client_ip, date_trunc('day', ts) HAVING count(DISTINCT account_id) >= 3""",
     ),
     "probe_hits": (
         probe_hits,
-        f"""SELECT client_ip, 'path_traversal' AS rule, count(*) AS n FROM {_E} WHERE url_path LIKE '%etc/passwd%'
-GROUP BY client_ip""",
+        f"""SELECT ip AS client_ip, 'path_traversal' AS rule, count(*) AS n FROM {LINES} AS f WHERE path LIKE '%etc/passwd%'
+GROUP BY ip""",
     ),
     "waf_hits": (
         waf_hits,
@@ -343,7 +344,7 @@ GROUP BY client_ip""",
     "off_hours": (
         off_hours,
         f"""WITH d AS (SELECT client_ip, CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER (WHERE {_OFF}) AS off
-  FROM {_E} GROUP BY ALL), s AS (SELECT *, CAST(off AS DOUBLE) / n AS ratio FROM d), z AS (
+  FROM {_A} GROUP BY ALL), s AS (SELECT *, CAST(off AS DOUBLE) / n AS ratio FROM d), z AS (
   SELECT *, avg(ratio) OVER p AS m, stddev_samp(ratio) OVER p AS sd FROM s WINDOW p AS (PARTITION BY client_ip))
 SELECT client_ip, CAST(day AS VARCHAR) AS day, n, off, round((ratio - m) / sd, 4) AS z FROM z
 WHERE sd > 0 AND (ratio - m) / sd >= 1.2345""",
@@ -351,7 +352,7 @@ WHERE sd > 0 AND (ratio - m) / sd >= 1.2345""",
     "exfil": (
         exfil,
         f"""SELECT client_ip, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(export_rows) AS BIGINT) AS exported_rows,
-  {_DAY_COLS} FROM {_E} GROUP BY client_ip, date_trunc('day', ts) HAVING sum(bytes) >= 90000""",
+  {_DAY_COLS} FROM {_A} GROUP BY client_ip, date_trunc('day', ts) HAVING sum(bytes) >= 90000 OR sum(export_rows) >= 900""",
     ),
     "travel": (
         travel,
@@ -368,19 +369,23 @@ SELECT client_ip, {sql_ts("pts")} AS from_ts, {sql_ts("ts")} AS to_ts, round(km,
     "rate_spikes": (
         rate_spikes,
         f"""WITH c AS (SELECT kind, {_BUCKET.format(w=3600)} AS bucket, count(*) AS n FROM {_E} GROUP BY ALL), w AS (
-  SELECT *, avg(n) OVER p AS m, stddev_samp(n) OVER p AS sd FROM c
-  WINDOW p AS (PARTITION BY kind ORDER BY bucket RANGE BETWEEN 24 PRECEDING AND 1 PRECEDING))
-SELECT kind, bucket, n, round((n - m) / sd, 4) AS z FROM w WHERE sd > 0 AND (n - m) / sd >= 2.0001""",
+  SELECT *, coalesce(sum(n) OVER p, 0) AS t, coalesce(sum(n * n) OVER p, 0) AS q, least(24, bucket - min(bucket) OVER (PARTITION BY kind)) AS seen FROM c
+  WINDOW p AS (PARTITION BY kind ORDER BY bucket RANGE BETWEEN 24 PRECEDING AND 1 PRECEDING)),
+  z AS (SELECT *, t::DOUBLE / seen AS m, sqrt((q - t * (t::DOUBLE / seen)) / (seen - 1)) AS sd FROM w WHERE seen > 1)
+SELECT kind, bucket, n, round((n - m) / sd, 4) AS z FROM z WHERE sd > 0 AND (n - m) / sd >= 2.0001""",
     ),
     "change_points": (
         change_points,
-        f"""WITH c AS (SELECT kind, level, {_BUCKET.format(w=86400)} AS bucket, count(*) AS n FROM {_E} GROUP BY ALL), w AS (
-  SELECT *, avg(n) OVER a AS b, avg(n) OVER z AS f, count(*) OVER a AS bn, count(*) OVER z AS fn FROM c
+        f"""WITH c AS (SELECT kind, level, {_BUCKET.format(w=86400)} AS bucket, count(*) AS n FROM {_E} GROUP BY ALL),
+  b AS (SELECT kind, level, min(bucket) AS lo, max(bucket) AS hi FROM c GROUP BY ALL),
+  f AS (SELECT kind, level, x.bucket AS bucket, coalesce(n, 0) AS n, lo, hi FROM (SELECT *, unnest(generate_series(lo, hi)) AS bucket FROM b) AS x
+    LEFT JOIN c USING (kind, level, bucket)), w AS (
+  SELECT *, sum(n) OVER a AS s, sum(n) OVER z AS e, lag(n) OVER (PARTITION BY kind, level ORDER BY bucket) AS p FROM f
   WINDOW a AS (PARTITION BY kind, level ORDER BY bucket ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING),
          z AS (PARTITION BY kind, level ORDER BY bucket ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
-  r AS (SELECT *, row_number() OVER (PARTITION BY kind, level ORDER BY round(abs(f - b), 9) DESC, bucket) AS rn FROM w
-    WHERE bn = 5 AND fn = 5)
-SELECT kind, level, bucket, round(abs(f - b), 6) AS gap FROM r WHERE rn = 1""",
+  r AS (SELECT *, row_number() OVER (PARTITION BY kind, level ORDER BY abs(e - s) DESC, bucket) AS rn FROM w
+    WHERE bucket >= lo + 5 AND bucket <= hi - 4 AND (n > 0 OR p > 0))
+SELECT kind, level, bucket, round(abs(e - s) / 5, 6) AS gap FROM r WHERE rn = 1""",
     ),
     "account_baseline": (
         account_baseline,

@@ -86,7 +86,7 @@ DOCUMENTS = {
     "payment_auth": f"""named_struct('@timestamp', concat({_ISO}, 'Z'),
       'event', named_struct('dataset', 'banking.authorization', 'type', array('access'),
         'outcome', if((n12 < 9) = (id % 89 <> 0), 'success', 'failure')),
-      'transaction', named_struct('id', concat('AUTH-', lpad(hex(id), 12, '0')), 'accountId', account,
+      'transaction', named_struct('id', concat('AUTH-', format_string('%012X', id)), 'accountId', account,
         'amount', named_struct('value', value, 'currency', 'USD'), 'channel', event_type, 'entry_mode', 'chip',
         'decision', if(n12 < 9, 'approved', 'declined')),
       'card', named_struct('brand', if(n3 = 0, 'visa', 'amex'), 'last4', '1234', 'bin', named_struct('number', '411111', 'country', 'US')),
@@ -98,7 +98,7 @@ DOCUMENTS = {
                      named_struct('code', 'R204', 'name', 'geo', 'score', 0.5D, 'action', 'monitor')) end,
         'reason_codes', case n3 when 0 then array() when 1 then array(if(id % 79 = 0, 'other', 'velocity')) else array('velocity', 'geo') end),
       'ledger', named_struct('posting', named_struct('status', if((n12 < 9) = (id % 73 <> 0), 'pending', 'void'),
-        'journalId', concat('JRN-', lpad(id, 8, '0')))))""",
+        'journalId', concat('JRN-', format_string('%08d', id)))))""",
 }
 # Mixed-type ``from`` and ``to`` cannot be one struct field, so the changes are spliced in as text.
 _CHANGES = (
@@ -116,7 +116,7 @@ def message(kind: str, pretty: bool = False) -> Column:
     doc = F.to_json(F.expr(DOCUMENTS[kind]), {"pretty": "true"} if pretty else {"ignoreNullFields": "false"})
     if kind == "audit_event":
         changes = F.when(F.col("n3") == 1, F.lit("{" + _CHANGES + ",")).otherwise(F.lit('{"changes":[],'))
-        doc = F.concat(changes, F.substring(doc, 2, 100_000))
+        doc = F.concat(changes, F.substr(doc, F.lit(2)))
     return doc
 
 
@@ -138,7 +138,7 @@ def mixed(facts: DataFrame, *keep: str) -> DataFrame:
     return computed_once(facts, {"message": text}).select(*keep, "message")
 
 
-ORDER = """named_struct('order_id', concat('ORDER-', lpad(k, 8, '0')),
+ORDER = """named_struct('order_id', concat(if(k % 157 = 0, 'ORD-', 'ORDER-'), format_string('%08d', k)),
   'order_date', date_format(placed, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), 'status', status, 'channel', channel,
   'currency', if(k % 127 = 0, 'XXX', currency), 'fx_rate_to_usd', fx, 'quantity', quantity,
   'unit_price', subtotal_c / 100 / quantity, 'subtotal', subtotal_c / 100,
@@ -146,7 +146,7 @@ ORDER = """named_struct('order_id', concat('ORDER-', lpad(k, 8, '0')),
   'tax', named_struct('rate', tax_pct / 100, 'amount', tax_c / 100),
   'total_amount', (total_c + if(k % 101 = 0, 300, 0)) / 100,
   'amount_usd', round((total_c + if(k % 101 = 0, 300, 0)) / 100 * fx, 2) + if(k % 103 = 0, 900, 0),
-  'customer', named_struct('id', concat('CUST-', cust), 'country', country, 'city', city, 'tier', tier,
+  'customer', named_struct('id', concat(if(k % 163 = 0, 'C-', 'CUST-'), cust), 'country', country, 'city', if(k % 151 = 0, 'Nowhere', city), 'tier', tier,
     'address', named_struct('city', city, 'state', if(country = 'Japan', null, 'S1'), 'prefecture', if(country = 'Japan', 'Tokyo', null))),
   'product', named_struct('name', concat('P', k % 50), 'category', category,
     'tags', case n_tags when 0 then array() when 1 then array('new') else array('eco', 'new') end),
@@ -161,13 +161,13 @@ ORDER = """named_struct('order_id', concat('ORDER-', lpad(k, 8, '0')),
                'location', named_struct('city', city, 'country', country))))),
   'payment', named_struct('method', method, 'status', case when k % 109 = 0 then 'open' when status = 'returned' then 'refunded'
        when status = 'cancelled' then 'voided' else 'captured' end,
-    'authorized_at', date_format(placed + interval 1 minute, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"),
+    'authorized_at', date_format(placed + if(k % 167 = 0, interval '2' day, interval '1' minute), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"),
     'card', if((method in ('credit_card', 'debit_card')) = (k % 113 <> 0), named_struct('brand', 'visa', 'last4', '1234'), null)),
   'fulfillment', named_struct('warehouse', named_struct('code', 'W1', 'country', wh_country),
     'cross_border', (wh_country <> country) = (k % 137 <> 0)),
   'return', if(status = 'returned' or k % 139 = 0, named_struct('reason', 'defective',
     'refund', named_struct('amount', (total_c + if(k % 149 = 0, 500, 0)) / 100, 'currency', currency,
-      'restocking_fee', if(k % 2 = 0, 0D, round(total_c / 1000, 2))), 'rma', concat('RMA-', lpad(k, 7, '0'))), null))"""
+      'restocking_fee', if(k % 2 = 0, 0D, round(total_c / 1000, 2))), 'rma', concat(if(k % 173 = 0, 'R-', 'RMA-'), format_string('%07d', k))), null))"""
 
 
 def orders(facts: DataFrame, *keep: str) -> DataFrame:

@@ -18,8 +18,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Distinct-value sets are kept in a hash map instead of falling back to a sort after 128 groups.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     # HotSpot does not compile methods beyond this size; larger stages are generated in smaller pieces instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Sessions are merged before the shuffle, so a busy key arrives as a few sessions.
@@ -69,10 +67,14 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (size or 0) <= max_bytes
 
 
+#: Largest scan, in bytes by its own statistics, that ``spread`` deals out again.
+SPREAD_BYTES = 256 * 1024 * 1024
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small scan over all cores; a scan that already has enough splits is left as it is.
+    """Rows of a small scan over all cores, for work that is costly per row on an input too small to be split by size.
 
-    For work that is costly per row, such as parsing, on an input too small to be split by size.
+    A larger scan has splits of its own and is never shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if int(size) <= SPREAD_BYTES else df

@@ -34,26 +34,25 @@ def test_five_modules_counts_and_filters(spark):
     assert C.five_module_roster(logs(spark, *rows), hr).count() == 2
 
 
-def test_document_lists_hold_uncounted_rows(spark):
-    out = C.document_roster(
-        logs(spark, ("a", "10.0.0.1", "email"), ("b", "10.0.0.1", None)), roster(spark, "10.0.0.1")
-    ).first()
-    assert out.log_events == 1 and out.doc_id == ["a", "b"] and out.dataset == ["email"] and out["index"] == ["logs-a"]
+def test_document_ids_hold_uncounted_rows(spark):
+    data, hr = logs(spark, ("a", "10.0.0.1", "email"), ("b", "10.0.0.1", None), ("b", "10.0.0.1", None), ("c", "10.0.0.3", "email")), roster(spark, "10.0.0.1")
+    groups = C.document_roster(data, hr)
+    out = groups.first()
+    assert out.log_events == 1 and out.dataset == ["email"] and out["index"] == ["logs-a"]
+    assert sorted(map(tuple, C.documents_of(groups, data).collect())) == [("10.0.0.1", "a"), ("10.0.0.1", "b")]
 
 
-def test_busy_address_spreads_its_ids_over_parts(spark):
+def test_a_busy_address_is_one_row(spark):
     rows = [(f"d{i}", "10.0.0.1", "email") for i in range(200)] + [("x", "10.0.0.2", "email")]
-    out = C.document_roster(logs(spark, *rows), roster(spark, "10.0.0.1", "10.0.0.2"), part_size=20).collect()
-    hot = [r for r in out if r.client_ip == "10.0.0.1"]
-    assert len(hot) > 5 and max(len(r.doc_id) for r in hot) < 60
-    assert sorted(i for r in hot for i in r.doc_id) == sorted(f"d{i}" for i in range(200))
-    assert {r.log_events for r in hot} == {200}
-    assert [r.part for r in out if r.client_ip == "10.0.0.2"] == [0]
+    data, hr = logs(spark, *rows), roster(spark, "10.0.0.1", "10.0.0.2")
+    groups = C.document_roster(data, hr)
+    assert sorted((r.client_ip, r.log_events) for r in groups.collect()) == [("10.0.0.1", 200), ("10.0.0.2", 1)]
+    assert sorted(r._id for r in C.documents_of(groups, data).collect()) == sorted(r[0] for r in rows)
 
 
 def test_lookup_counts_roster_rows_as_events(spark):
     out = C.lookup_exact(logs(spark, ("a", "10.0.0.9", "email")), roster(spark, "10.0.0.1"), "10.0.0.1").collect()
-    assert [(r.client_ip, r.log_events, r.hr_matches, r.doc_id, r.part) for r in out] == [("10.0.0.1", 1, 1, None, 0)]
+    assert [(r.client_ip, r.log_events, r.hr_matches) for r in out] == [("10.0.0.1", 1, 1)]
 
 
 def test_lookup_of_invalid_text_keeps_a_null_key(spark):
@@ -65,9 +64,10 @@ def test_other_fields_match_only_in_the_wider_lookup(spark):
     data = logs(spark, ("a", "10.0.0.9", "email", "10.0.0.1"), ("b", None, "email", "10.0.0.1"))
     hr = roster(spark, "10.0.0.1")
     exact = C.lookup_v5_exact(data, hr, "10.0.0.1").collect()
-    assert [(r.client_ip, r.log_events, r.doc_id) for r in exact] == [("10.0.0.1", 1, None)]
-    wide = C.lookup_any_ip(data, hr, "10.0.0.1").collect()
-    assert [(r.client_ip, r.log_events, r.doc_id) for r in wide] == [("10.0.0.1", 3, ["a", "b"])]
+    assert [(r.client_ip, r.log_events) for r in exact] == [("10.0.0.1", 1)]
+    wide = C.lookup_any_ip(data, hr, "10.0.0.1")
+    assert [(r.client_ip, r.log_events) for r in wide.collect()] == [("10.0.0.1", 3)]
+    assert sorted(r._id for r in C.documents_of(wide, C.documents_at(data, "10.0.0.1")).collect()) == ["a", "b"]
 
 
 def test_repeated_roster_rows_do_not_multiply_events(spark):

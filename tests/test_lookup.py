@@ -2,7 +2,6 @@ import pytest
 from conftest import plan_text
 from pyspark.sql import functions as F
 
-from loglattice.operators import correlate as C
 from loglattice.operators.lookup import hot_keys, lookup_join
 
 
@@ -26,16 +25,3 @@ def test_large_keys_never_reach_the_shuffle(spark):
     right = spark.range(5000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
     text = plan_text(lookup_join(left, right, ["k"], "inner", fits=False))
     assert "NestedLoop" not in text and "Cartesian" not in text
-
-
-def test_document_lists_without_a_size_bound(spark):
-    rows = [(f"d{i}", "10.0.0.1" if i % 3 else "10.0.0.2", "email") for i in range(300)]
-    logs = spark.createDataFrame(rows, "_id string, client_ip string, event_module string")
-    hr = spark.createDataFrame([("10.0.0.1", "sales"), ("10.0.0.2", "legal")], "client_ip string, department string")
-    tags = [("Dataset", F.col("event_module").isNotNull()), ("HR", F.col("department").isNotNull())]
-    args = ([logs, hr], "client_ip", tags, {"log_events": ["Dataset"], "hr_matches": ["HR"]}, {"department": "department"})
-    out = C.correlate(*args, ids={"doc_id": "_id"}, part_size=50).collect()
-    assert sorted(i for r in out for i in r.doc_id) == sorted(r[0] for r in rows)
-    assert {(r.client_ip, r.log_events, tuple(r.department)) for r in out} == {
-        ("10.0.0.1", 200, ("sales",)), ("10.0.0.2", 100, ("legal",))
-    }
