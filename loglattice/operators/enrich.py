@@ -57,8 +57,14 @@ def _drop_hits(docs: DataFrame, ip_cols: Sequence[str]) -> DataFrame:
     return docs.drop(*[f"__ip{i}" for i in n], *[f"__person{i}" for i in n])
 
 
-def _legs(docs: DataFrame, ip_cols: Sequence[str], doc_key: Sequence[str]) -> DataFrame:
-    """Narrow (document key, rank, address) rows, one per valid address; a field may hold a list of addresses."""
+#: The struct of a document's address fields. All that a look-up finds follows from it, so it is the look-up's key: equal or
+#: missing document ids make no difference.
+_ADDRESSES = "__addresses"
+
+
+def _legs(docs: DataFrame, ip_cols: Sequence[str]) -> DataFrame:
+    """Narrow (addresses, rank, address) rows, one per valid address of each distinct combination; a field may hold a list."""
+    docs = docs.select(F.struct(*ip_cols).alias(_ADDRESSES)).distinct().select(_ADDRESSES, f"{_ADDRESSES}.*")
 
     def leg(rank: int) -> Callable[[Column], Column]:
         return lambda address: F.struct(F.lit(rank).alias("rank"), to_ip(address).alias("hr_ip"))
@@ -70,7 +76,7 @@ def _legs(docs: DataFrame, ip_cols: Sequence[str], doc_key: Sequence[str]) -> Da
             lists.append(F.transform(found, leg(rank)))
         else:
             lists.append(F.array(leg(rank)(F.col(column))))
-    return docs.select(*doc_key, F.inline(F.concat(*lists))).where(F.col("hr_ip").isNotNull())
+    return docs.select(_ADDRESSES, F.inline(F.concat(*lists))).where(F.col("hr_ip").isNotNull())
 
 
 def ranked_lookup(
@@ -95,12 +101,13 @@ def ranked_lookup(
         person = F.coalesce(*[F.col(f"__person{i}") for i in n])
         return _drop_hits(found.withColumns({"match_rank": rank, "person": person}), ip_cols)
     best = (
-        lookup_join(_legs(docs, ip_cols, doc_key), people, ["hr_ip"], "inner", fits=False)
-        .groupBy(*doc_key)
+        lookup_join(_legs(docs, ip_cols), people, ["hr_ip"], "inner", fits=False)
+        .groupBy(_ADDRESSES)
         .agg(F.min(F.struct("rank", "person")).alias("best"))
-        .select(*doc_key, F.col("best.rank").alias("match_rank"), F.col("best.person").alias("person"))
+        .select(_ADDRESSES, F.col("best.rank").alias("match_rank"), F.col("best.person").alias("person"))
     )
-    return docs.join(best, list(doc_key), "left").select(*docs.columns, "match_rank", "person")
+    placed = docs.withColumn(_ADDRESSES, F.struct(*ip_cols))
+    return placed.join(best, _ADDRESSES, "left").select(*docs.columns, "match_rank", "person")
 
 
 def any_match(
@@ -113,18 +120,15 @@ def any_match(
     tie_cols: Sequence[str] = TIE_COLUMNS,
     doc_key: Sequence[str] = DOC_KEY,
     ts: str = "event_ts",
-    roster_limit: int | None = None,
     strategy: str = "auto",
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """All documents plus ``hr``, set where any address column has a roster row and the time is in range.
 
     Several employees may match one document; the lowest address wins. The bounds are inclusive and default to the
-    24 hours before ``as_of``. ``roster_limit`` restricts the roster by address order; by default it is used whole.
+    24 hours before ``as_of``.
     """
     start, end = start or as_of - timedelta(hours=24), end or as_of
-    if roster_limit is not None:
-        roster = roster.orderBy(ip_to_long("ip_address"), *tie_cols).limit(roster_limit)
     people = one_person_per_ip(roster, tie_cols).select(
         "hr_ip", F.struct(ip_to_long("hr_ip").alias("ip_num"), "hr_ip", "person").alias("person")
     )
@@ -136,11 +140,12 @@ def any_match(
         out = _drop_hits(found.withColumn("__best", F.when(inside, best)), ip_cols)
     else:
         best = (
-            lookup_join(_legs(docs.where(inside), ip_cols, doc_key), people, ["hr_ip"], "inner", fits=False)
-            .groupBy(*doc_key)
-            .agg(F.min("person").alias("__best"))
+            lookup_join(_legs(docs.where(inside), ip_cols), people, ["hr_ip"], "inner", fits=False)
+            .groupBy(_ADDRESSES)
+            .agg(F.min("person").alias("__found"))
         )
-        out = docs.join(best, list(doc_key), "left").select(*docs.columns, "__best")
+        placed = docs.withColumn(_ADDRESSES, F.struct(*ip_cols)).join(best, _ADDRESSES, "left")
+        out = placed.select(*docs.columns, F.when(inside, F.col("__found")).alias("__best"))
     person = F.col("__best.person")
     hr = F.struct(
         F.col("__best.hr_ip").alias("ip_address"),

@@ -28,7 +28,7 @@ def tag_intervals(
 
     ``intervals`` has ``seq, start_ts, end_ts, phase``; both bounds are inclusive. Time buckets turn the range condition
     into an equality. A short table becomes one list per bucket, looked up without a shuffle of the events. A long one
-    is joined on the bucket and reduced to one row per event ``key``.
+    is joined on the bucket for every distinct time. The tag follows from the time alone, so event keys play no part.
     """
 
     def bucket(column: Column) -> Column:
@@ -48,13 +48,14 @@ def tag_intervals(
         )
     inside = F.col(ts).between(F.col("i.start_ts"), F.col("i.end_ts"))
     best = (
-        placed.select(*key, ts, "__bucket")
+        placed.select(ts, "__bucket")
+        .distinct()
         .join(pieces, "__bucket")
         .where(inside)
-        .groupBy(*key)
+        .groupBy(ts)
         .agg(F.min(F.struct("i.seq", "i.phase")).alias("__hit"))
     )
-    return events.join(best, list(key), "left").select(
+    return events.join(best, ts, "left").select(
         *events.columns, F.col("__hit.phase").alias("phase"), F.col("__hit").isNotNull().alias("in_any")
     )
 

@@ -74,8 +74,13 @@ def status_burst(
 def stuffing(
     events: DataFrame, min_failures: int, min_users: int, size: str = "1 hour", exact: bool = False, failed: Column | None = None
 ) -> DataFrame:
-    """Addresses failing to log in as many different users; ``failed`` is by default any refused log-in of ``auth_failed``."""
-    failed = _addressed(events).where(auth_failed() if failed is None else failed)
+    """Addresses failing to log in as many different users.
+
+    ``failed`` is by default any refused log-in of ``auth_failed``, or the status alone where events have no pairs.
+    """
+    if failed is None:
+        failed = auth_failed() if "kv" in events.columns else F.col("http_status") == 401
+    failed = _addressed(events).where(failed)
     out = _windowed(
         failed, ["client_ip"], size, None, F.count(F.lit(1)).alias("failures"),
         _distinct("user_name", exact).alias("users"),

@@ -129,6 +129,18 @@ def ranked_logs_shuffled(spark, sf):
     return _flat(E.enrich_logs(logs, hr, strategy="join"), "enriched", _HR_FLAT, "_index", "_id", "match_rank")
 
 
+def ranked_dupes(spark, sf):
+    """Documents with repeated and missing ids, by both look-up plans; ``plan`` says which."""
+    logs, hr = load(spark, sf, "logs", "hr")
+    n = F.regexp_extract("_id", "([0-9]+)$", 1).cast("bigint")
+    docs = logs.withColumn("_id", F.when(n % 5 != 0, F.concat(F.lit("d"), n % 50)))
+    both = [
+        _flat(E.enrich_logs(docs, hr, strategy=way), "enriched", _HR_FLAT, "_id", "client_ip", "source_ip", "host_ip", "match_rank").withColumn("plan", F.lit(way))
+        for way in ("broadcast", "join")
+    ]
+    return both[0].unionByName(both[1])
+
+
 def ranked_alerts(spark, sf):
     alerts, hr = load(spark, sf, "alerts", "hr")
     old = F.struct(F.lit("old").alias("note"), F.lit("none").alias("department"))
@@ -242,6 +254,15 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     ),
     "ranked_enrich_logs": (ranked_logs, _ranked_sql(LOGS, _ENRICH_COLS)),
     "ranked_enrich_logs_large_roster": (ranked_logs_shuffled, _ranked_sql(LOGS, _ENRICH_COLS)),
+    "ranked_enrich_dupes": (
+        ranked_dupes,
+        f"""WITH {_PEOPLE}, d AS (SELECT *, CAST(regexp_extract(_id, '([0-9]+)$', 1) AS BIGINT) AS n FROM {LOGS} AS l)
+SELECT CASE WHEN n % 5 <> 0 THEN 'd' || (n % 50) END AS _id, client_ip, source_ip, host_ip, plan,
+  CAST(CASE WHEN c.hr_ip IS NOT NULL THEN 1 WHEN s.hr_ip IS NOT NULL THEN 2 WHEN h.hr_ip IS NOT NULL THEN 3 END AS INTEGER) AS match_rank,
+  {", ".join(f"CASE WHEN c.hr_ip IS NOT NULL THEN c.{x} WHEN s.hr_ip IS NOT NULL THEN s.{x} ELSE h.{x} END AS {x}" for x in _HR_FLAT)}
+FROM d LEFT JOIN people AS c ON d.client_ip = c.hr_ip LEFT JOIN people AS s ON d.source_ip = s.hr_ip LEFT JOIN people AS h ON d.host_ip = h.hr_ip,
+  (VALUES ('broadcast'), ('join')) AS w(plan)""",
+    ),
     "ranked_enrich_alerts": (
         ranked_alerts,
         _ranked_sql(

@@ -239,15 +239,18 @@ def _run_windows(spark, folder, counted):
 def windowed_counts(spark, sf):
     folder = scratch_dir(spark, "windows")
     source = _stream(spark, sf, "logs").withColumnRenamed("event_ts", "ts")
-    out = _run_windows(spark, folder, windows.windowed_counts(source, ["event_module"], "10 minutes", "6 hours", "3 hours"))
-    return _days(out)
+    count = lambda rows: windows.windowed_counts(rows, ["event_module"], "10 minutes", "6 hours", "3 hours")
+    batch = load(spark, sf, "logs")[0].withColumnRenamed("event_ts", "ts")
+    return _days(windows.with_open_windows(_run_windows(spark, folder, count(source)), count(batch)))
 
 
 def session_counts(spark, sf):
     folder = scratch_dir(spark, "sessions")
     source = _stream(spark, sf, "logs").where("client_ip is not null").withColumnRenamed("event_ts", "ts")
-    out = _run_windows(spark, folder, windows.sessions(source, ["client_ip"], "3 hours", "10 minutes"))
-    return text_ts(out, "session_start", "session_end")
+    batch = load(spark, sf, "logs")[0].where("client_ip is not null").withColumnRenamed("event_ts", "ts")
+    stored = _run_windows(spark, folder, windows.sessions(source, ["client_ip"], "3 hours", "10 minutes"))
+    counted = windows.sessions(batch, ["client_ip"], "3 hours", None)
+    return text_ts(windows.with_open_windows(stored, counted), "session_start", "session_end")
 
 
 _OFF = "NOT (hour(ts) BETWEEN 13 AND 23)"
@@ -423,8 +426,7 @@ SELECT client_ip, CAST(day AS VARCHAR) AS day, events, refused, probes, off_hour
         windowed_counts,
         f"""WITH w AS (SELECT event_module, time_bucket(INTERVAL 3 HOUR, event_ts, TIMESTAMP '2024-01-01')
     - to_hours(CAST(unnest([0, 3]) AS INTEGER)) AS s FROM {LOGS} AS l)
-SELECT event_module, {sql_ts("s")} AS window_start, {sql_ts("s + INTERVAL 6 HOUR")} AS window_end, count(*) AS n FROM w
-WHERE s + INTERVAL 6 HOUR <= (SELECT max(event_ts) - INTERVAL 10 MINUTE FROM {LOGS} AS l) GROUP BY event_module, s""",
+SELECT event_module, {sql_ts("s")} AS window_start, {sql_ts("s + INTERVAL 6 HOUR")} AS window_end, count(*) AS n FROM w GROUP BY event_module, s""",
     ),
     "sessions": (
         session_counts,
@@ -433,7 +435,6 @@ WHERE s + INTERVAL 6 HOUR <= (SELECT max(event_ts) - INTERVAL 10 MINUTE FROM {LO
   SELECT client_ip, ts, sum(CASE WHEN p IS NULL OR ts >= p + INTERVAL 3 HOUR THEN 1 ELSE 0 END)
     OVER (PARTITION BY client_ip ORDER BY ts) AS s FROM e)
 SELECT client_ip, {sql_ts("min(ts)")} AS session_start, {sql_ts("max(ts) + INTERVAL 3 HOUR")} AS session_end,
-  count(*) AS n FROM g GROUP BY client_ip, s
-HAVING max(ts) + INTERVAL 3 HOUR <= (SELECT max(event_ts) - INTERVAL 10 MINUTE FROM {LOGS} AS l WHERE client_ip IS NOT NULL)""",
+  count(*) AS n FROM g GROUP BY client_ip, s""",
     ),
 }

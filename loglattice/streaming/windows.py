@@ -32,3 +32,13 @@ def store(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
     """Append finished windows to Parquet."""
     writer = df.writeStream.format("parquet").outputMode("append").option("path", path)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def with_open_windows(stored: DataFrame, counted: DataFrame, count: str = "n") -> DataFrame:
+    """The stored windows of a bounded stream, and those still open when it ended, ``counted`` from the same input as a batch.
+
+    A grouping tells them apart: filters and anti joins on a window would be pushed below the merging of sessions.
+    """
+    names = [c for c in stored.columns if c != count]
+    both = stored.withColumn("__open", F.lit(1)).unionByName(counted.withColumn("__open", F.lit(2)))
+    return both.groupBy(*names).agg(F.min_by(count, "__open").alias(count)).select(*stored.columns)

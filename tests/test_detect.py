@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loglattice.operators import joins
 from loglattice.plans import audits, detect
+from loglattice.plans.messages import parse_messages
 
 T0 = datetime(2024, 1, 5, tzinfo=timezone.utc)
 HR = "ip_address string, first_name string, last_name string, department string, sub_department string, start_date string"
@@ -103,6 +104,32 @@ def test_bursts_and_rates(spark):
     assert change.gap == 50.0 and change.bucket == int(at(hours=6).timestamp()) // 3600
 
 
+def test_silence_counts_as_zero(spark):
+    quiet = [("k", at(hours=0))] + [("k", at(hours=19, seconds=i)) for i in range(500)]
+    series = spark.createDataFrame(quiet, "kind string, ts timestamp")
+    assert [r.n for r in detect.rate_spikes(series, ["kind"], 3600, 24, 3.0).collect()] == [500]
+    ended = [("k", at(hours=h, seconds=i)) for h in range(6) for i in range(30)] + [("k", at(hours=12))]
+    change = detect.change_points(spark.createDataFrame(ended, "kind string, ts timestamp"), ["kind"], 3600, 3).first()
+    assert change.gap == 30.0 and change.bucket == int(at(hours=6).timestamp()) // 3600
+
+
+def test_campaign_lines_are_seen_in_every_shape(spark):
+    lines = [
+        "2024-01-05 10:11:12,345 WARN  [exec-1] c.x.Auth - Authentication failed user=u1 clientIp=10.0.0.7 reason=BAD_CREDENTIALS",
+        "Jan  5 10:11:13 siem CEF:0|Vendor|Core|4.2|101|Failed Login|7|src=10.0.0.7 suser=u2 outcome=failure",
+        "Jan  5 10:11:14 app-01 sshd[200]: Failed password for invalid user u3 from 10.0.0.7 port 30001 ssh2",
+        "2024-01-05 10:11:15,345 WARN  [exec-1] c.x.Auth - Authentication failed user=u4 reason=BAD_CREDENTIALS",
+        '2024/01/05 10:11:16 [error] 12#0: *1 ModSecurity: Access denied with code 403 (phase 2). [id "942100"] [msg "SQL"] [severity "CRITICAL"] '
+        '[data "1 UNION SELECT x"], client: 10.0.0.8, server: api, request: "GET /a HTTP/1.1"',
+    ]
+    events = parse_messages(spark.createDataFrame([(x,) for x in lines], "message string"), datetime(2024, 2, 1, tzinfo=timezone.utc))
+    assert [(r.client_ip, r.failures, r.users) for r in detect.stuffing(events, 3, 3, "1 day", exact=True).collect()] == [("10.0.0.7", 3, 3)]
+    assert [(r.client_ip, r.rule) for r in detect.probe_hits(events).collect()] == [("10.0.0.8", "sql_injection")]
+    rows = [("10.0.0.9", at(hours=1), 1800, {"rows": "1800000"}), (None, at(hours=1), 10**9, {"rows": "1"}), ("10.0.0.9", at(hours=30), None, {"rows": "2000000"})]
+    moved = spark.createDataFrame(rows, "client_ip string, ts timestamp, bytes bigint, kv map<string,string>")
+    assert [r.exported_rows for r in detect.exfil(moved, 10**6, min_rows=10**6).orderBy("window_start").collect()] == [1800000, 2000000]
+
+
 def test_baselines(spark):
     hist = spark.createDataFrame([(1, float(v)) for v in range(90, 111)] + [(2, 5.0)], "account_id int, amount double")
     now = spark.createDataFrame([(1, 500.0), (2, 5.0), (3, 1.0)], "account_id int, amount double")

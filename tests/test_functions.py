@@ -84,3 +84,13 @@ def test_time_and_money(spark):
 def test_mean_score(spark):
     df = spark.createDataFrame([([(0.2,), (0.5,)],), ([],)], "rules array<struct<score: double>>")
     assert [r[0] for r in df.select(scalars.mean_score(F.col("rules"), "score")).collect()] == [0.35, 0.0]
+
+
+def test_address_edges(spark):
+    texts = [("10.0.0.1\n",), ("10.0.0.1",), ("::1",), ("fe80::a:1",), ("a:b",), ("1:2:3:4:5:6:7:8",), ("1:2:3:4:5:6:7",), (":::",), ("1::2::3",)]
+    df = spark.createDataFrame(texts, "t string")
+    got = {r.t: (r.a, r.b) for r in df.select("t", ip.to_ip("t").alias("a"), ip.to_ip("t", allow_ipv6=True).alias("b")).collect()}
+    assert [t for (t,) in texts if got[t][0]] == ["10.0.0.1"]
+    assert [t for (t,) in texts if got[t][1]] == ["10.0.0.1", "::1", "fe80::a:1", "1:2:3:4:5:6:7:8"]
+    numbers = spark.createDataFrame([(None,), (2**32 - 1,), (2**32,), (-1,)], "n long").select(ip.long_to_ip("n").alias("t"))
+    assert [r.t for r in numbers.collect()] == [None, "255.255.255.255", None, None]

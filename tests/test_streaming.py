@@ -67,3 +67,5 @@ def test_sessions_close_after_the_gap(spark, tmp_path):
     assert sorted(r.n for r in out.collect()) == [1, 3]
     batch = windows.sessions(spark.createDataFrame(rows, "k string, ts timestamp"), ["k"], "30 minutes", None)
     assert sorted(r.n for r in batch.collect()) == [1, 1, 3]
+    whole = windows.with_open_windows(out, batch)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, batch.collect()))
