@@ -16,6 +16,7 @@ from loglattice.session import scratch_dir
 CHUNK_BYTES = 4_000_000
 #: The characters that separate words, as a Java and RE2 character class.
 SPACES = r"\x20\x09-\x0D"
+SPACE_CHARS = " \t\n\v\f\r"
 WORD = rf"[^{SPACES}]+"
 
 

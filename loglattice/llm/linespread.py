@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglattice.llm.common import SPACES, column, free_name, materialise, row_key
+from loglattice.llm.common import SPACE_CHARS, column, free_name, materialise, row_key
 
 #: Sites that a line must reach to be boilerplate.
 MIN_SITES = 8
@@ -25,7 +25,7 @@ BAND = 0.25
 
 
 def trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, rf"^[{SPACES}]+|[{SPACES}]+$", "")
+    return F.btrim(line, F.lit(SPACE_CHARS))
 
 
 def line_hash(line: Column) -> Column:
