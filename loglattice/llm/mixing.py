@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglattice.llm.common import SPACES, column, free_name, materialise
+from loglattice.llm.common import SPACE_CHARS, SPACES, column, free_name, materialise
 from loglattice.session import fits_broadcast
 
 #: Target weights. A language or source that is not listed weighs 1.
@@ -28,6 +28,8 @@ DOMAIN_DIGITS = {"web": "0123", "books": "456", "news": "78"}
 BUDGET_PERCENT, MAX_EPOCHS, SEED = 60, 2, 17
 #: Hex digits of the seeded hash that make a range.
 RANGE_DIGITS = 3
+#: Fineness of the grid on which the water level is sought.
+BUCKETS_PER_OCTAVE = 32
 
 
 def domain_of(source: Column) -> Column:
@@ -39,9 +41,8 @@ def domain_of(source: Column) -> Column:
 
 def token_count(text: Column) -> Column:
     """Words of the text; 0 for null."""
-    body = F.regexp_replace(text, rf"^[{SPACES}]+", "")
-    pieces = F.size(F.split(body, rf"[{SPACES}]+")) - F.when(body.rlike(rf"[{SPACES}]$"), 1).otherwise(0)
-    return F.when(F.coalesce(body, F.lit("")) == "", 0).otherwise(pieces).cast("long")
+    body = F.btrim(text, F.lit(SPACE_CHARS))
+    return F.when(F.coalesce(body, F.lit("")) == "", 0).otherwise(F.size(F.split(body, rf"[{SPACES}]+"))).cast("long")
 
 
 def _weight(name: Column, weights: dict[str, int]) -> Column:
@@ -51,18 +52,60 @@ def _weight(name: Column, weights: dict[str, int]) -> Column:
     return out.cast("long")
 
 
+def _takes_all(capacity: Column, weight: Column, spare: Column, weight_left: Column) -> Column:
+    """Whether a child's part of ``spare`` covers its capacity; products of two longs need decimals."""
+    whole = lambda c: c.cast("decimal(19,0)")
+    return whole(capacity) * whole(weight_left) <= whole(weight) * whole(F.greatest(F.lit(0), spare))
+
+
+def water_level(children: DataFrame, parent: list[str]) -> DataFrame:
+    """Per parent whose children cannot all be full: the least ratio of capacity to weight that stays open, and what its children share.
+
+    A parent may have any number of children. They are summed per ratio and ratios per bucket of a logarithmic grid; running sums over the
+    buckets, a few thousand at most, name the one in which filling ends, and only that bucket's ratios are put in order.
+    """
+    parts = children.groupBy(*parent, _ratio().alias("ratio")).agg(
+        F.sum("capacity").alias("capacity"), F.sum("weight").alias("weight"), F.max("given").alias("given")
+    )
+    parts = parts.withColumn("bucket", F.when(F.col("ratio") > 0, F.floor(F.log2("ratio") * BUCKETS_PER_OCTAVE)))
+    parts = materialise(parts.withColumn("bucket", F.coalesce("bucket", F.lit(-(1 << 40)))), "ratios")
+    grid = parts.groupBy(*parent, "bucket").agg(
+        F.sum("capacity").alias("capacity"), F.sum("weight").alias("weight"), F.max("given").alias("given"),
+        F.max_by(F.struct("capacity", "weight"), "ratio").alias("top"),
+    )
+    up = Window.partitionBy(*parent).orderBy("bucket")
+    earlier, later = up.rowsBetween(Window.unboundedPreceding, -1), up.rowsBetween(0, Window.unboundedFollowing)
+    grid = grid.withColumns({
+        "before": F.coalesce(F.sum("capacity").over(earlier), F.lit(0)), "weight_left": F.sum("weight").over(later),
+    })
+    lower = F.col("capacity") - F.col("top.capacity")
+    full = _takes_all(
+        F.col("top.capacity"), F.col("top.weight"), F.col("given") - F.col("before") - lower,
+        F.col("weight_left") - F.col("weight") + F.col("top.weight"),
+    )
+    edge = grid.where(~full).groupBy(*parent).agg(F.min(F.struct("bucket", "before", "weight_left")).alias("edge"))
+    edge = edge.select(*parent, "edge.*")
+    within = Window.partitionBy(*parent).orderBy("ratio").rowsBetween(Window.unboundedPreceding, -1)
+    done = lambda c: F.coalesce(F.sum(c).over(within), F.lit(0))
+    inside = parts.join(edge, [*parent, "bucket"]).withColumns({
+        "spare": F.col("given") - F.col("before") - done("capacity"), "left": F.col("weight_left") - done("weight"),
+    })
+    still_open = inside.where(~_takes_all(F.col("capacity"), F.col("weight"), F.col("spare"), F.col("left")))
+    level = still_open.groupBy(*parent).agg(F.min(F.struct("ratio", "spare", "left")).alias("level"))
+    return level.select(*parent, F.col("level.ratio").alias("open_from"), "level.spare", F.col("level.left").alias("weight_left"))
+
+
+def _ratio() -> Column:
+    return F.col("capacity").cast("double") / F.col("weight")
+
+
 def pour(children: DataFrame, parent: list[str], name: str) -> DataFrame:
     """``children(parent.., name, weight, capacity, given)`` with ``budget``: ``given`` shared by weight under the capacities."""
-    ratio = F.col("capacity").cast("double") / F.col("weight")
-    up = Window.partitionBy(*parent).orderBy(ratio, name)
-    before = F.coalesce(F.sum("capacity").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    weight_left = F.sum("weight").over(up.rowsBetween(0, Window.unboundedFollowing))
-    filled = children.withColumns({"spare": F.greatest(F.lit(0), F.col("given") - before), "weight_left": weight_left})
-    filled = filled.withColumn("full", F.col("capacity") * F.col("weight_left") <= F.col("weight") * F.col("spare"))
-    open_first = F.min(F.when(~F.col("full"), F.struct(ratio, F.col(name), F.col("spare"), F.col("weight_left")))).over(Window.partitionBy(*parent))
-    rest = F.expr("first_open.spare * weight div first_open.weight_left")
-    filled = filled.withColumn("first_open", open_first)
-    return filled.withColumn("budget", F.when(F.col("full"), F.col("capacity")).otherwise(rest)).select(*parent, name, "weight", "capacity", "budget")
+    level = materialise(water_level(children, parent), "water-level")
+    part = F.expr("cast(spare as decimal(19,0)) * cast(weight as decimal(19,0)) div cast(weight_left as decimal(19,0))")
+    full = F.col("open_from").isNull() | (_ratio() < F.col("open_from"))
+    budget = F.when(full, F.col("capacity")).otherwise(part)
+    return children.join(level, parent, "left").withColumn("budget", budget).select(*parent, name, "weight", "capacity", "budget")
 
 
 def leaf_budgets(leaves: DataFrame, budget: int, max_epochs: int) -> DataFrame:

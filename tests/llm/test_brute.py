@@ -154,6 +154,33 @@ def test_shortage_goes_to_siblings_first(spark):
     assert got == {"src4": 5, "src0": 10, "src1": 595 * 4 // 6 - 10, "src2": 595 * 2 // 6}
 
 
+def _filled(children, given):
+    """Water filling by one sort: (capacity, weight) per child to its budget."""
+    spare, weight_left, out = given, sum(w for _, w in children.values()), {}
+    order = sorted(children, key=lambda k: (children[k][0] / children[k][1], k))
+    for at, k in enumerate(order):
+        capacity, weight = children[k]
+        if capacity * weight_left > weight * spare:
+            return out | {j: spare * children[j][1] // weight_left for j in order[at:]}
+        out[k] = capacity
+        spare, weight_left = spare - capacity, weight_left - weight
+    return out
+
+
+def test_water_level_equals_one_sort_for_many_children_ties_and_large_numbers(spark):
+    rng = random.Random(5)
+    cases = {
+        "many": ({f"c{i}": (int(rng.paretovariate(0.8) * 50), rng.randint(1, 9)) for i in range(400)}, 60_000),
+        "ties": ({f"c{i}": (100 * (1 + i % 3), 1 + i % 3) for i in range(60)}, 7_000),
+        "large": ({f"c{i}": (10**13 + 10**12 * i, 10**6 + i) for i in range(40)}, 4 * 10**14),
+        "all full": ({"a": (5, 1), "b": (7, 3)}, 100), "nothing to share": ({"a": (5, 1), "b": (7, 3)}, 0), "no capacity": ({"a": (0, 1), "b": (7, 3)}, 5),
+    }
+    rows = [(case, k, w, c, given) for case, (children, given) in cases.items() for k, (c, w) in children.items()]
+    table = spark.createDataFrame(rows, "parent string, child string, weight long, capacity long, given long")
+    got = {(r["parent"], r["child"]): r["budget"] for r in mixing.pour(table, ["parent"], "child").collect()}
+    assert got == {(case, k): v for case, (children, given) in cases.items() for k, v in _filled(children, given).items()}
+
+
 def test_mixing_prefix_equals_a_full_sort(spark, docs):
     got = mixing.mix(docs, seed=3, slim=True).collect()
     again = mixing.mix(docs.repartition(5), seed=3, slim=True).collect()
