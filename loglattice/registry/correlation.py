@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from loglattice.operators import correlate as C
 from loglattice.operators import enrich as E
+from loglattice.operators.writeback import update_documents
 from loglattice.registry.shared import ALERTS, AS_OF, HR, LOGS, Query, joined, listed, load, valid_ip
+from loglattice.session import scratch_dir
+from loglattice.sources import files
 
 IP = "10.31.0.42"
 ATTRS = C.ROSTER_ATTRIBUTES
@@ -186,6 +189,80 @@ FROM {LOGS} AS d LEFT JOIN best AS b ON d._index = b._index AND d._id = b._id
 """
 
 
+# Only these datasets get updates; the others must come through a write-back as they were.
+_UPDATED = "('logs-signup', 'logs-purchase')"
+_HELD = "event_module IN ('email', 'proxysg')"
+
+
+def _stored_logs(spark, logs):
+    path = scratch_dir(spark, "documents")
+    files.write_partitions(logs, path, ["_index"])
+    return path, logs.schema
+
+
+def _written(mode):
+    def run(spark, sf):
+        logs, hr = load(spark, sf, "logs", "hr")
+        old = F.struct(F.lit("old").alias("note"), F.lit("none").alias("department"))
+        path, schema = _stored_logs(spark, logs.withColumn("enriched", F.when(F.expr(_HELD), old)))
+        found = E.ranked_lookup(logs.where(f"_index IN {_UPDATED}"), hr).where("match_rank is not null")
+        updates = found.select("_index", "_id", E.enriched_struct(F.col("person")).alias("update"))
+        return _flat(update_documents(spark, path, schema, updates, "enriched", mode), "enriched", ["note", *_HR_FLAT], "_index", "_id")
+
+    return run
+
+
+def bulk_written(spark, sf):
+    logs, hr = load(spark, sf, "logs", "hr")
+    path, schema = _stored_logs(spark, logs)
+    found = E.any_match(logs, hr, *RANGE, AS_OF).where("hr is not null")
+    updates = found.select("_index", "_id", F.col("hr").alias("update"))
+    return _flat(update_documents(spark, path, schema, updates, "hr", "replace"), "hr", _BULK_FLAT, "_index", "_id")
+
+
+def _written_sql(note: str) -> str:
+    kept = f"b.rank IS NULL AND d.{_HELD}"
+    columns = f"d._index AS _index, d._id AS _id, CASE WHEN {note} THEN 'old' END AS note, CASE WHEN {kept} THEN 'none' ELSE b.department END AS department, {_REST}"
+    return _ranked_sql(LOGS, columns, extra=f"AND d._index IN {_UPDATED}")
+
+
+# Two datasets of one pattern in different formats; a third is there that the pattern must not take.
+_IS_WEB = "_index IN ('logs-view', 'logs-click')"
+
+
+def _datasets(spark, sf, first, second):
+    """The log documents as two stored datasets: Parquet, and newline-delimited JSON."""
+    (logs,) = load(spark, sf, "logs")
+    rows = logs.drop("_index")
+    chosen = lambda where: logs.where(where).drop("_index")
+    web, rest = scratch_dir(spark, first), scratch_dir(spark, second)
+    files.write_parquet(chosen(_IS_WEB), web)
+    files.write_ndjson(files.results_json(chosen(f"NOT {_IS_WEB}"), "message"), rest)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return {
+        first: lambda s: files.with_ids(s.read.schema(rows.schema).parquet(web), first),
+        second: lambda s: files.with_ids(files.read_ndjson(s, rest, ddl), second),
+        "other": lambda s: files.with_ids(s.read.schema(rows.schema).parquet(web), "other"),
+    }
+
+
+def logs_wildcard(spark, sf):
+    (hr,) = load(spark, sf, "hr")
+    logs = files.read_dataset(spark, "logs-*", _datasets(spark, sf, "logs-web", "logs-rest"))
+    return joined(C.document_roster(logs, hr), [*ATTRS, "dataset", "index"])
+
+
+def alerts_alias(spark, sf):
+    (hr,) = load(spark, sf, "hr")
+    stored = _datasets(spark, sf, "alerts-000001", "alerts-000002")
+    alerts = files.read_dataset(spark, "alerts", stored, {"alerts": ["alerts-000001", "alerts-000002"]})
+    return _flat(E.enrich_alerts(alerts, hr), "enriched", _HR_FLAT, "_index", "_id", "match_rank")
+
+
+def _split_sql(first: str, second: str) -> str:
+    return f"(SELECT * REPLACE (CASE WHEN {_IS_WEB} THEN '{first}' ELSE '{second}' END AS _index) FROM {LOGS} AS l)"
+
+
 def by_ids(spark, sf):
     # Documents chosen by the alerts that fired on threat-intelligence matches.
     logs, alerts = load(spark, sf, "logs", "alerts")
@@ -280,6 +357,15 @@ FROM d LEFT JOIN people AS c ON d.client_ip = c.hr_ip LEFT JOIN people AS s ON d
         ),
     ),
     "bulk_enrich_range": (bulk_range, _BULK_SQL),
+    "enrich_written_merge": (_written("merge"), _written_sql(f"d.{_HELD}")),
+    "enrich_written_replace": (_written("replace"), _written_sql(f"b.rank IS NULL AND d.{_HELD}")),
+    "bulk_enrich_written": (bulk_written, _BULK_SQL),
+    "logs_wildcard": (
+        logs_wildcard,
+        _grouped(f"{_split_sql('logs-web', 'logs-rest')} AS s WHERE client_ip IS NOT NULL", "TRUE", _DOC_TAG,
+                 {"log_events": "data_type = 'Dataset'", "hr_matches": "data_type = 'HR'"}, _DOC_LISTS, _BOTH),
+    ),
+    "alerts_alias": (alerts_alias, _ranked_sql(_split_sql("alerts-000001", "alerts-000002"), _ENRICH_COLS)),
     "select_by_ids": (
         by_ids,
         f"SELECT _index, _id, client_ip, source_ip, host_ip FROM {LOGS} AS l "
