@@ -10,38 +10,40 @@ from pyspark.sql import functions as F
 
 from loglattice.session import BROADCAST_BYTES, fits_broadcast
 
-#: A key with at least this fraction (1/n) of the rows is joined by broadcast; there can be at most n such keys.
+#: A key with at least this fraction (1/n) of the rows is split; there can be at most n such keys.
 HOT_SHARE = 1000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """The at most ``share`` keys that hold 1/``share`` of the rows or more."""
+    """The at most ``share`` keys that hold 1/``share`` of the rows or more, and the parts of about that size they make."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     total = counts.agg(F.sum("__n")).scalar()
-    return counts.where(F.col("__n") * share >= total).select(*keys)
+    parts = F.ceil(F.col("__n") * share / total).cast("int")
+    return counts.where(F.col("__n") * share >= total).select(*keys, parts.alias("__parts"))
 
 
 def lookup_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", fits: bool | None = None,
-    max_bytes: int = BROADCAST_BYTES, share: int = HOT_SHARE,
+    max_bytes: int = BROADCAST_BYTES, share: int = HOT_SHARE, skewed: bool = True,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which has at most one row per key (``how`` is ``left`` or ``inner``).
 
-    A right side whose measured size allows it is broadcast. Otherwise the few keys that dominate ``left`` are joined to
-    their few right rows by broadcast, rows without a key skip the join, and only the rest, in which no key is large, is
-    shuffled. ``fits`` passes on a size check made earlier.
+    A right side whose measured size allows it is broadcast. Otherwise both sides are shuffled once: the few keys that dominate ``left``
+    are found from its keys alone and split into parts, their right rows are repeated once per part, which makes at most 2 ``share`` rows,
+    and rows without a key are dealt out evenly. The part follows from the task, so a repeated task makes the same parts. ``fits`` passes
+    on a size check made earlier; ``skewed=False`` saves the search where no key can be frequent.
     """
     if fits if fits is not None else fits_broadcast(right, max_bytes):
         return left.join(F.broadcast(right), list(keys), how)
     has_key = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    keyed = left.where(has_key)
-    hot = hot_keys(keyed, keys, share)
-    few = right.join(F.broadcast(hot), list(keys), "left_semi")
-    parts = [
-        keyed.join(F.broadcast(hot), list(keys), "left_semi").join(F.broadcast(few), list(keys), how),
-        keyed.join(F.broadcast(hot), list(keys), "left_anti").join(right, list(keys), how),
-    ]
-    if how == "left":
-        extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys]
-        parts.append(left.where(~has_key).select(*[F.col(f"`{c}`") for c in left.columns], *extra))
-    return reduce(DataFrame.unionByName, parts)
+    rows = left.where(has_key) if how == "inner" else left
+    part, task = F.lit(0), F.spark_partition_id()
+    right = right.withColumn("__part", part)
+    if skewed:
+        hot = F.broadcast(hot_keys(left.where(has_key), keys, share))
+        parts = F.coalesce("__parts", F.lit(1))
+        rows = rows.join(hot, list(keys), "left")
+        right = right.join(hot, list(keys), "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+        part = F.pmod(task, parts)
+    rows = rows.withColumn("__part", F.when(has_key, part).otherwise(task)).drop("__parts")
+    return rows.join(right, [*keys, "__part"], how).drop("__part")

@@ -157,8 +157,8 @@ def span_tree(spans: DataFrame) -> DataFrame:
         .groupBy("trace_id", F.col("span_id").alias("parent_span_id"))
         .agg(F.min("service").alias("parent_service"), F.max("duration_ms").alias("parent_duration_ms"))
     )
-    # The parents grow with the spans, so they are never broadcast.
-    return lookup_join(spans, parents, ["trace_id", "parent_span_id"], "left", fits=False).select(
+    # The parents grow with the spans, so they are never broadcast. Few spans have many children; adaptive execution splits those.
+    return lookup_join(spans, parents, ["trace_id", "parent_span_id"], "left", fits=False, skewed=False).select(
         *spans.columns, "parent_service", "parent_duration_ms"
     )
 

@@ -69,7 +69,7 @@ SELECT accountID, event_amount,
   CASE WHEN account_event IN ('buy', 'sell') THEN CAST(l_suppkey % 35000 + 1 AS INT) END AS counterparty_account,
   CASE WHEN account_event IN ('buy', 'sell', 'dividend') THEN CAST(l_suppkey % 40 + 1 AS INT) END AS brokerID,
   CASE WHEN account_event IN ('buy', 'sell')
-       THEN concat('TRD-', CAST(year(timestamp) AS STRING), lpad(CAST(k % 100000000 AS STRING), 8, '0')) END AS tradeID,
+       THEN concat('TRD-', CAST(year(timestamp) AS STRING), lpad(CAST(k AS STRING), CAST(greatest(8, length(CAST(k AS STRING))) AS INT), '0')) END AS tradeID,
   CAST(year(timestamp) AS INT) AS year, CAST(month(timestamp) AS INT) AS month, k, l_linenumber, l_partkey, l_suppkey
 FROM (
   SELECT CAST(o_custkey % 35000 + 1 AS INT) AS accountID, l_orderkey AS k, l_linenumber, l_quantity, l_partkey,
