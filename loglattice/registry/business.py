@@ -72,11 +72,17 @@ def profile_tx(spark, sf):
 #: Columns that some inquiries carry although only other events may, and their value.
 _FILLERS = {"posID": 1, "txbankId": 1, "intbankID": 1, "to_account": 1, "wire_direction": "inbound"}
 
+# An unknown event, a withdrawal of a security, a purchase with a trade id.
+_UNKNOWN = "(account_event = 'fee' AND k % 103 = 0)"
+_STRAY_SYMBOL = "(account_event = 'withdrawal' AND k % 109 = 0)"
+_STRAY_TRADE = "(account_event = 'purchase' AND k % 113 = 0)"
+
 
 def _damaged_tx(spark, sf):
     (tx,) = load(spark, sf, "transactions")
     k = F.col("k")
     traded, idle = F.col("account_event").isin("buy", "sell"), F.col("account_event") == "inquiry"
+    unknown, symbol, trade = F.expr(_UNKNOWN), F.expr(_STRAY_SYMBOL), F.expr(_STRAY_TRADE)
     return tx.withColumns(
         {
             "transaction_date": F.when(k % 53 == 0, F.lit("1970-01-01T00:00:00.000Z")).otherwise(iso_millis("timestamp")),
@@ -88,7 +94,9 @@ def _damaged_tx(spark, sf):
             "quantity": F.col("quantity") + F.when(k % 61 == 0, 1).otherwise(0),
             "addressId": F.when(k % 67 != 0, F.col("addressId")),
             "year": F.col("year") + F.when(k % 71 == 0, 1).otherwise(0),
-            "tradeID": F.when(k % 73 != 0, F.when(k % 97 == 0, F.concat(F.lit("X"), "tradeID")).otherwise(F.col("tradeID"))),
+            "account_event": F.when(unknown, F.lit("gift")).otherwise(F.col("account_event")),
+            "security_symbol": F.when(symbol, F.lit("SYM0")).otherwise(F.col("security_symbol")),
+            "tradeID": F.when(trade, F.concat(F.lit("TRD-"), F.year("timestamp"), F.lit("00000001"))).when(k % 73 != 0, F.when(k % 97 == 0, F.concat(F.lit("X"), "tradeID")).otherwise(F.col("tradeID"))),
             "deposit_type": F.when(k % 79 == 0, F.lit("cash")).otherwise(F.col("deposit_type")),
             "event_type": F.when(k % 83 == 0, F.lit("credit")).otherwise(F.col("event_type")),
             "event_amount": F.col("event_amount")
@@ -117,23 +125,23 @@ _TRADED = "account_event IN ('buy', 'sell')"
 _IDLE = "account_event = 'inquiry'"
 _TX_RULES = {
     "trade_quantity": (_TRADED, "k % 61 = 0"),
-    "trade_fields": ("TRUE", f"{_TRADED} AND k % 73 = 0"),
-    "trade_id": (f"{_TRADED} AND k % 73 <> 0", "k % 97 = 0"),
-    "direction": ("TRUE", "k % 83 = 0 AND account_event IN ('purchase', 'withdrawal', 'fee', 'buy', 'inquiry')"),
+    "trade_fields": ("TRUE", f"({_TRADED} AND k % 73 = 0) OR {_STRAY_SYMBOL} OR {_STRAY_TRADE}"),
+    "trade_id": (f"({_TRADED} AND k % 73 <> 0) OR {_STRAY_TRADE}", f"{_TRADED} AND k % 97 = 0"),
+    "direction": ("TRUE", f"k % 83 = 0 AND account_event IN ('purchase', 'withdrawal', 'fee', 'buy', 'inquiry') AND NOT {_UNKNOWN}"),
     "zero_inquiry": ("account_event = 'inquiry'", "k % 89 = 0"),
     "address": ("accountID <= 35000", "k % 67 = 0"),
     "date_text": ("TRUE", "k % 53 = 0"),
-    "settlement": ("TRUE", f"k % 59 = 0 AND ({_TRADED} OR {_IDLE})"),
+    "settlement": ("TRUE", f"(k % 59 = 0 AND ({_TRADED} OR {_IDLE})) OR {_STRAY_SYMBOL}"),
     "partition": ("TRUE", "k % 71 = 0"),
-    "known_event": ("TRUE", "FALSE"),
+    "known_event": ("TRUE", _UNKNOWN),
     "only_posID": (f"posID IS NOT NULL OR ({_IDLE} AND k % 101 = 0)", _IDLE),
     "only_deposit_type": ("account_event = 'deposit' OR k % 79 = 0", "account_event <> 'deposit'"),
     "only_txbankId": (f"txbankId IS NOT NULL OR ({_IDLE} AND k % 101 = 0)", _IDLE),
     "only_wire_direction": (f"wire_direction IS NOT NULL OR ({_IDLE} AND k % 101 = 0)", _IDLE),
     "only_intbankID": (f"intbankID IS NOT NULL OR ({_IDLE} AND k % 101 = 0)", _IDLE),
     "only_to_account": (f"to_account IS NOT NULL OR ({_IDLE} AND k % 101 = 0)", _IDLE),
-    "only_security_symbol": ("security_symbol IS NOT NULL", "FALSE"),
-    "only_tradeID": (f"{_TRADED} AND k % 73 <> 0", "FALSE"),
+    "only_security_symbol": (f"security_symbol IS NOT NULL OR {_STRAY_SYMBOL}", _STRAY_SYMBOL),
+    "only_tradeID": (f"({_TRADED} AND k % 73 <> 0) OR {_STRAY_TRADE}", _STRAY_TRADE),
 }
 
 
@@ -185,6 +193,14 @@ def audit_orders(spark, sf):
     return audits.audit_orders(documents.flatten_order(_orders(spark, sf)), AS_OF)
 
 
+#: A time among the orders, so that some of them are younger than a day, three days and ten days.
+YOUNG = datetime(1995, 6, 17, 12, tzinfo=timezone.utc)
+
+
+def audit_orders_young(spark, sf):
+    return audits.audit_orders(documents.flatten_order(_orders(spark, sf)), YOUNG)
+
+
 _RET = "status = 'returned' OR k % 139 = 0"
 _JPY = "country = 'Japan' AND k % 127 <> 0"
 _ORDER_RULES = {
@@ -206,6 +222,9 @@ _ORDER_RULES = {
     "customer_id": ("TRUE", "k % 163 = 0"),
     "rma": (_RET, "k % 173 = 0"),
 }
+_AGE = "floor((epoch(TIMESTAMP '1995-06-17 12:00:00') - epoch(placed)) / 86400)"
+_TOO_EARLY = f"""CASE WHEN {_AGE} < 1 THEN TRUE WHEN {_AGE} < 3 THEN status <> 'cancelled'
+  WHEN {_AGE} < 10 THEN status NOT IN ('delivered', 'cancelled') ELSE FALSE END"""
 _USD = (
     "round((total_c + CASE WHEN k % 101 = 0 THEN 300 ELSE 0 END) / 100 * fx, 2) "
     "+ CASE WHEN k % 103 = 0 THEN 900 ELSE 0 END"
@@ -327,8 +346,8 @@ _PAY_RULES = {
     "posting": ("TRUE", "id % 73 = 0"),
     "reason_codes": ("TRUE", "n3 = 1 AND id % 79 = 0"),
     "risk_score": ("TRUE", "id % 83 = 0"),
-    "tx_id": ("TRUE", "FALSE"),
-    "journal_id": ("TRUE", "FALSE"),
+    "tx_id": ("TRUE", "id % 97 = 0"),
+    "journal_id": ("TRUE", "id % 101 = 0"),
 }
 _L = f"{LINES} AS f"
 
@@ -391,6 +410,7 @@ FROM {TX} AS t GROUP BY 1""",
 FROM {STAFF} AS s WHERE ip_address <> 'not-an-ip'""",
     ),
     "audit_orders": (audit_orders, _rule_sql(ORDERS, _ORDER_RULES)),
+    "audit_orders_young": (audit_orders_young, _rule_sql(ORDERS, {**_ORDER_RULES, "status_by_age": ("TRUE", _TOO_EARLY)})),
     "order_revenue": (
         order_revenue,
         f"""SELECT country, category, tier, channel, CAST(year(placed) AS INTEGER) AS year, count(*) AS orders,

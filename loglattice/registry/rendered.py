@@ -86,7 +86,7 @@ DOCUMENTS = {
     "payment_auth": f"""named_struct('@timestamp', concat({_ISO}, 'Z'),
       'event', named_struct('dataset', 'banking.authorization', 'type', array('access'),
         'outcome', if((n12 < 9) = (id % 89 <> 0), 'success', 'failure')),
-      'transaction', named_struct('id', concat('AUTH-', format_string('%012X', id)), 'accountId', account,
+      'transaction', named_struct('id', concat(CASE WHEN id % 97 = 0 THEN 'X' ELSE 'AUTH-' END, format_string('%012X', id)), 'accountId', account,
         'amount', named_struct('value', value, 'currency', 'USD'), 'channel', event_type, 'entry_mode', 'chip',
         'decision', if(n12 < 9, 'approved', 'declined')),
       'card', named_struct('brand', if(n3 = 0, 'visa', 'amex'), 'last4', '1234', 'bin', named_struct('number', '411111', 'country', 'US')),
@@ -98,7 +98,7 @@ DOCUMENTS = {
                      named_struct('code', 'R204', 'name', 'geo', 'score', 0.5D, 'action', 'monitor')) end,
         'reason_codes', case n3 when 0 then array() when 1 then array(if(id % 79 = 0, 'other', 'velocity')) else array('velocity', 'geo') end),
       'ledger', named_struct('posting', named_struct('status', if((n12 < 9) = (id % 73 <> 0), 'pending', 'void'),
-        'journalId', concat('JRN-', format_string('%08d', id)))))""",
+        'journalId', concat(CASE WHEN id % 101 = 0 THEN 'J' ELSE 'JRN-' END, format_string('%08d', id)))))""",
 }
 # Mixed-type ``from`` and ``to`` cannot be one struct field, so the changes are spliced in as text.
 _CHANGES = (
