@@ -104,6 +104,16 @@ def client_ip_counts(spark, sf):
     )
 
 
+def messages_from_parquet(spark, sf):
+    """Messages stored as Parquet, as a log shipper leaves them, then read and parsed."""
+    (facts,) = load(spark, sf, "line_facts")
+    path = scratch_dir(spark, "messages")
+    files.write_parquet(rendered.mixed(facts).select("message"), path)
+    parsed = parse_messages(files.read_messages(spark, path), AS_OF)
+    found = parsed.where(F.col("client_ip").isNotNull())
+    return found.groupBy("client_ip", in_range("client_ip").alias("is_client_range")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def order_share(spark, sf):
     # Log messages and order documents in one dataset, as they are stored.
     facts, orders = load(spark, sf, "line_facts", "order_facts")
@@ -138,6 +148,12 @@ def text_replace(spark, sf):
 
 _MIXED_PATH_KINDS = "('nginx', 'haproxy', 'envoy', 'iis', 'waf', 'otel_span')"
 
+_CLIENT_IP_SQL = (
+    "SELECT ip AS client_ip, CAST(split_part(ip, '.', 2) AS INT) BETWEEN 31 AND 49 AS is_client_range, "
+    f"count(*) AS n FROM (SELECT ip, {_KIND_CASE} AS kind FROM {LINES} AS f) AS k "
+    f"WHERE kind NOT IN {_HAS_IP} GROUP BY ALL"
+)
+
 QUERIES: dict[str, tuple[Query, str | None]] = {f"parse_{k}": _parse(k) for k in EXPECTED}
 QUERIES |= {
     "kind_counts": (
@@ -145,12 +161,8 @@ QUERIES |= {
         f"SELECT kind, count(*) AS n, round(count(*) * 1.0 / sum(count(*)) OVER (), 6) AS share "
         f"FROM (SELECT {_KIND_CASE} AS kind FROM {LINES} AS f) AS k GROUP BY kind",
     ),
-    "client_ip_counts": (
-        client_ip_counts,
-        "SELECT ip AS client_ip, CAST(split_part(ip, '.', 2) AS INT) BETWEEN 31 AND 49 AS is_client_range, "
-        f"count(*) AS n FROM (SELECT ip, {_KIND_CASE} AS kind FROM {LINES} AS f) AS k "
-        f"WHERE kind NOT IN {_HAS_IP} GROUP BY ALL",
-    ),
+    "client_ip_counts": (client_ip_counts, _CLIENT_IP_SQL),
+    "messages_from_parquet": (messages_from_parquet, _CLIENT_IP_SQL),
     "order_share": (
         order_share,
         f"""SELECT n AS checked, o AS orders, p AS passwd_lines, round(o * 100.0 / greatest(1, n), 4) AS orders_pct,
