@@ -87,16 +87,30 @@ def links(prints: DataFrame) -> DataFrame:
     return left.join(right, "cell").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
-def _classes(prints: DataFrame, least: Column) -> DataFrame:
-    """``(fp, least)`` per distinct fingerprint, with the smallest ``least`` of its whole component."""
-    nodes = materialise(prints.groupBy("fp").agg(least.alias("least")), "prints")
-    roots = components(links(nodes)).withColumnRenamed("node", "fp")
+def classes(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """``nodes(fp, least)`` with the smallest ``least`` of the whole component under the links ``found(a, b)``."""
+    roots = components(found).withColumnRenamed("node", "fp")
     joined = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = joined.where("root <> fp or root is null").select("root").distinct()
     linked = joined.join(lowest, "root", "left_semi").groupBy("root").agg(F.min("least").alias("lowest"))
     return joined.join(linked, "root", "left").select("fp", F.coalesce("lowest", "least").alias("least"))
 
 
+def _classes(prints: DataFrame, least: Column) -> DataFrame:
+    """``(fp, least)`` per distinct fingerprint, with the smallest ``least`` of its whole component."""
+    nodes = materialise(prints.groupBy("fp").agg(least.alias("least")), "prints")
+    return classes(nodes, links(nodes))
+
+
+def keep_chosen(keyed: DataFrame, key: str, prints: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose ``key`` is in ``chosen(key)``, repeated rows once, without the key; ``prints`` has every row's key."""
+    repeats = prints.groupBy("key").agg((F.count("*") > 1).alias("repeated"))
+    chosen = materialise(chosen.join(repeats, "key"), "chosen").withColumnRenamed("key", key)
+    once = keyed.join(chosen.where(~F.col("repeated")).select(key), key, "left_semi")
+    many = keyed.join(chosen.where("repeated").select(key), key, "left_semi").dropDuplicates([key])
+    return once.unionByName(many).drop(column(key))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row: 16 hex digits, and the smallest id reachable over links."""
     rows = docs.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
@@ -106,15 +120,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component with all its columns: that of the smallest id, ids before nulls, then the smallest row key."""
+    """By op4's bound of ``MAX_BITS``, close to exact equality: one row of each component with all its columns: that of the smallest id, ids before nulls, then the smallest row key."""
     key = free_name(docs, "row_key")
     keyed = docs.withColumn(key, row_key(docs))
     slim = keyed.select(column(key).alias("key"), column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
     prints = materialise(with_fingerprints(slim, "text", "fp"), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("key")))
     chosen = _classes(prints, first).select(F.col("least.key").alias("key")).distinct()
-    repeats = prints.groupBy("key").agg((F.count("*") > 1).alias("repeated"))
-    chosen = materialise(chosen.join(repeats, "key"), "chosen").withColumnRenamed("key", key)
-    once = keyed.join(chosen.where(~F.col("repeated")).select(key), key, "left_semi")
-    many = keyed.join(chosen.where("repeated").select(key), key, "left_semi").dropDuplicates([key])
-    return once.unionByName(many).drop(column(key))
+    return keep_chosen(keyed, key, prints, chosen)
