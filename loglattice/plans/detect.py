@@ -238,9 +238,14 @@ def pool_saturation(events: DataFrame, bucket_seconds: int, min_active: float =
 def change_points(events: DataFrame, keys: Sequence[str], bucket_seconds: int, width: int) -> DataFrame:
     """Per series the bucket where the mean rate before and after differs most; a bucket without events counts as zero.
 
-    Buckets with events, and the first silent one behind each, are candidates.
+    Buckets with events, the first silent one behind each, and the first and last with whole windows on both sides are candidates; over other
+    silent buckets the gap only grows towards one of these. Of equal gaps the earliest candidate counts.
     """
     series = _with_silence(rate_series(events, keys, bucket_seconds), keys)
+    silent = [F.struct(b.alias("bucket"), F.lit(0).cast("bigint").alias("n")) for b in (F.col("start") + width, F.col("end") - width + 1)]
+    own = F.struct("bucket", "n")
+    rows = F.explode(F.when(F.col("bucket") == F.col("start"), F.array(own, *silent)).otherwise(F.array(own))).alias("row")
+    series = series.select(*keys, "start", "end", rows).groupBy(*keys, "start", "end", F.col("row.bucket").alias("bucket")).agg(F.sum("row.n").alias("n"))
     order = Window.partitionBy(*keys).orderBy("bucket")
     sums = {
         "before": F.coalesce(F.sum("n").over(order.rangeBetween(-width, -1)), F.lit(0)),

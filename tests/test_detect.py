@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -113,6 +114,23 @@ def test_silence_counts_as_zero(spark):
     assert change.gap == 30.0 and change.bucket == int(at(hours=6).timestamp()) // 3600
 
 
+def test_change_points_see_silent_boundaries(spark):
+    rng = random.Random(3)
+    counts = {"late": {0: 1, 50: 1, 100: 100}, "two": {0: 3, 100: 9}, "short": {0: 1, 4: 7}}
+    counts |= {f"r{i}": {0: 1} | {rng.randrange(40): rng.randrange(1, 30) for _ in range(rng.randrange(1, 6))} for i in range(12)}
+    rows = [(k, at(seconds=3600 * b)) for k, series in counts.items() for b, n in series.items() for _ in range(n)]
+    found = detect.change_points(spark.createDataFrame(rows, "kind string, ts timestamp"), ["kind"], 3600, 5).collect()
+    zero = int(at(hours=0).timestamp()) // 3600
+    got = {r.kind: (r.bucket - zero, r.gap) for r in found}
+    for k, series in counts.items():
+        n = lambda a, b, series=series: sum(series.get(i, 0) for i in range(a, b))
+        gaps = {b: abs(n(b, b + 5) - n(b - 5, b)) / 5 for b in range(5, max(series) - 3)}
+        assert (k in got) == bool(gaps), k
+        if gaps:
+            assert got[k][1] == max(gaps.values()) == gaps[got[k][0]], k
+    assert got["late"] == (96, 20.0)
+
+
 def test_campaign_lines_are_seen_in_every_shape(spark):
     lines = [
         "2024-01-05 10:11:12,345 WARN  [exec-1] c.x.Auth - Authentication failed user=u1 clientIp=10.0.0.7 reason=BAD_CREDENTIALS",
