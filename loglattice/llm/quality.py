@@ -28,6 +28,8 @@ SYMBOLS = "#*$%&|<>"
 #: Limits of the further rules, in percent and in characters per word.
 SYMBOL_PERCENT, UPPER_PERCENT, DUP_LINE_PERCENT, TOP_WORD_PERCENT, WORDY_PERCENT = 30, 50, 30, 30, 50
 WORD_CHARS_RANGE = (2, 20)
+#: Scripts whose texts do not separate words by spaces.
+UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}]"
 #: Most rows that the cost sample reads.
 SAMPLE_ROWS = 1000
 
@@ -91,6 +93,27 @@ class Texts:
     def letters(self) -> np.ndarray:
         return self._once("letters", lambda: self._bytes_in(_LETTER_BYTES))
 
+    def _points(self, pattern: str) -> np.ndarray:
+        """Code points that fit ``pattern``, counted once per distinct word."""
+        w = self.words
+        per_word = pc.count_substring_regex(w.vocabulary, pattern).to_numpy(zero_copy_only=False).astype(np.int64)
+        return w.sums(per_word[w.codes] if len(per_word) else w.codes)
+
+    @property
+    def capitals(self) -> np.ndarray:
+        """Upper-case letters of any script."""
+        return self._once("capitals", lambda: self._points(r"\p{Lu}"))
+
+    @property
+    def script_letters(self) -> np.ndarray:
+        """Letters of any script."""
+        return self._once("script_letters", lambda: self._points(r"\p{L}"))
+
+    @property
+    def unspaced(self) -> np.ndarray:
+        """Characters of scripts that do not separate words by spaces."""
+        return self._once("unspaced", lambda: self._points(UNSPACED))
+
     @property
     def lines(self) -> np.ndarray:
         """Columns: lines with a word, and those equal to an earlier line."""
@@ -169,14 +192,21 @@ def repetitive(t: Texts) -> np.ndarray:
     return 100 * t.n_repeat_words > REPEAT_PERCENT * t.n_words
 
 
+def word_length(t: Texts) -> np.ndarray:
+    """Words too short, or too long in a text that is not mostly in scripts without spaces."""
+    least, most = (n * t.n_words for n in WORD_CHARS_RANGE)
+    long = t.word_chars > most
+    return (t.word_chars < least) | (long & (2 * t.unspaced <= t.word_chars) if long.any() else long)
+
+
 #: Rule name to its test; True rejects. The first two are the base rule.
 RULES: dict[str, Callable[[Texts], np.ndarray]] = {
     "too_short": too_short,
     "repetitive": repetitive,
     "symbols": lambda t: 100 * t.n_symbols > SYMBOL_PERCENT * t.n_words,
-    "shouting": lambda t: 100 * t.upper_letters > UPPER_PERCENT * t.letters,
+    "shouting": lambda t: 100 * t.capitals > UPPER_PERCENT * t.script_letters,
     "duplicate_lines": lambda t: 100 * t.n_dup_lines > DUP_LINE_PERCENT * t.lines[:, 0],
-    "word_length": lambda t: (t.word_chars < WORD_CHARS_RANGE[0] * t.n_words) | (t.word_chars > WORD_CHARS_RANGE[1] * t.n_words),
+    "word_length": word_length,
     "one_word": lambda t: (100 * t.top_word > TOP_WORD_PERCENT * t.n_words) & (t.n_words >= 2 * MIN_WORDS),
     "no_letters": lambda t: 100 * t.wordy < WORDY_PERCENT * t.n_words,
 }

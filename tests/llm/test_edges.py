@@ -58,6 +58,15 @@ def test_quality_of_edges(tables):
     assert rows[1]["n_words"] == 18 and rows[1]["kept"] and rows[6]["n_words"] == 60_000
 
 
+def test_quality_of_other_scripts(spark):
+    russian = "Вчера представители NATO сообщили журналистам что переговоры в столице продолжатся до конца этой недели"
+    japanese = "\u3001 ".join("\u6771\u4eac\u306e\u5929\u6c17\u306f\u660e\u65e5\u304b\u3089\u5c11\u3057\u305a\u3064\u826f\u304f\u306a\u308b\u3068\u8a00\u308f\u308c" + chr(0x4E00 + i) for i in range(12))
+    glued = " ".join("abcdefghijklmnopqrstuvwx" + chr(97 + i) for i in range(12))
+    texts = [russian, japanese, russian.upper().replace("NATO", "nato"), glued]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in quality.quality_filter(docs).collect()) == [0, 1]
+
+
 def test_untrained_language_is_unknown(spark, tables):
     model = langid.train(tables[2])
     assert {(r["lang_pred"], r["score"]) for r in langid.identify(tables[0], model).collect()} == {("und", 0.0)}
