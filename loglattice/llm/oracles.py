@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loglattice.llm import credentials, linespread, mixing, quality, urltree
+from loglattice.llm import credentials, linespread, merkle, mixing, quality, urltree
 from loglattice.llm.common import SPACES, WORD
 
 _TRIM = rf"^[{SPACES}]+|[{SPACES}]+$"
@@ -153,3 +153,51 @@ FROM s JOIN {last} t ON s.host = t.host AND s.segments = t.segments JOIN m ON m.
 
 
 URLS = _urls()
+
+
+def _merkle() -> str:
+    """Levels unrolled, for groups of at most 16 ** 6 leaves and as many groups."""
+    depth, fan = 6, merkle.FANOUT
+    fields = " || ".join(f"CASE WHEN {{{f}}} IS NULL THEN '-' ELSE strlen({{{f}}}::VARCHAR) || ':' || {{{f}}} END" for f in merkle.FIELDS)
+    plain = fields.format(**{f: f for f in merkle.FIELDS})
+    low = f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')"
+    changed = fields.format(**{f: low if f == "text" else f for f in merkle.FIELDS})
+    parts = [rf"""
+WITH b0 AS (SELECT i, i AS x FROM range(256) AS g(i)),
+{', '.join(f"b{k + 1} AS (SELECT i, CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END AS x FROM b{k})" for k in range(8))},
+crc AS (SELECT list(x ORDER BY i) AS t FROM b8),
+d AS (SELECT doc_id, source, sha256({plain}) AS leaf, sha256({changed}) AS low,
+  list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)) AS bytes FROM documents),
+e AS (SELECT doc_id, source, leaf, CASE WHEN xor(list_reduce(bytes, lambda c, v: xor(c // 256, t[(xor(c, v) % 256) + 1])), 4294967295) % 5 = 0
+  THEN low ELSE leaf END AS changed FROM d, crc),
+r AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp FROM e),
+s0 AS (SELECT grp, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k, leaf AS h, doc_id, leaf, changed FROM r)"""]
+
+    def levels(name: str) -> None:
+        for i in range(depth):
+            parts.append(f"""{name}c{i} AS (SELECT *, count(*) OVER (PARTITION BY grp) AS c FROM {name}{i}),
+{name}{i + 1} AS (SELECT grp, k // {fan} AS k, sha256(string_agg(h, '' ORDER BY k)) AS h FROM {name}c{i} WHERE c > 1 GROUP BY grp, k // {fan}),
+{name}w{i} AS (SELECT grp, k,
+  coalesce(string_agg(h, '') OVER (PARTITION BY grp, k // {fan} ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(h, '') OVER (PARTITION BY grp, k // {fan} ORDER BY k ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}c{i} WHERE c > 1)""")
+        parts.append(f"{name}top AS (" + " UNION ALL ".join(f"SELECT grp, h FROM {name}c{i} WHERE c = 1" for i in range(depth)) + ")")
+
+    levels("s")
+    parts.append("g0 AS (SELECT 0 AS grp, grp AS k, h FROM stop)")
+    levels("g")
+    joins, proof, folds = "", [], []
+    for name, grp, k in (("s", "s0.grp", "s0.k"), ("g", "0", "s0.grp")):
+        for i in range(depth):
+            a = f"{name}{i}_"
+            joins += f" LEFT JOIN {name}w{i} AS {a} ON {a}.grp = {grp} AND {a}.k = {k} // {fan ** i}"
+            proof.append(f"coalesce({a}.l || {a}.r, '')")
+            folds.append((f"{a}l", f"{a}r", f"{a}.l AS {a}l, {a}.r AS {a}r"))
+    parts.append(f"f0 AS (SELECT doc_id, leaf, stop.h AS subroot, gtop.h AS root, changed AS h, sha256({' || '.join(proof)}) AS proof_sha256, "
+                 + ", ".join(x for _, _, x in folds) + f" FROM s0 JOIN stop USING (grp) CROSS JOIN gtop{joins})")
+    for i, (left, right, _) in enumerate(folds):
+        parts.append(f"f{i + 1} AS (SELECT * REPLACE (CASE WHEN {left} IS NULL THEN h ELSE sha256({left} || h || {right}) END AS h) FROM f{i})")
+    return ",\n".join(parts) + f"\nSELECT doc_id, leaf, subroot, root, proof_sha256, h AS folded_root, h = root AS verified FROM f{len(folds)}"
+
+
+MERKLE = _merkle()

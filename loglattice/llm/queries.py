@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglattice.llm import cotrain, credentials, decontam, langid, linespread, mixing, quality, simhash, urltree, warc
+from loglattice.llm import cotrain, credentials, decontam, langid, linespread, merkle, mixing, quality, simhash, urltree, warc
 from loglattice.llm.common import read_table
-from loglattice.llm.oracles import CREDENTIALS, LINES, MIXING, QUALITY, URLS, WARC
+from loglattice.llm.oracles import CREDENTIALS, LINES, MERKLE, MIXING, QUALITY, URLS, WARC
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,11 @@ def quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain.score(docs, cotrain.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and check after tampering per document."""
+    return merkle.verify(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline at the repository's top."""
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
@@ -86,5 +91,6 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "op8_secret_ownership": (secret_ownership, CREDENTIALS),
     "op9_warc_dictionary": (warc_dictionary, WARC),
     "op10_quality_cotraining": (quality_cotraining, None),
+    "op13_merkle_manifest": (merkle_manifest, MERKLE),
     "pipeline": (pipeline, None),
 }
