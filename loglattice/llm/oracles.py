@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loglattice.llm import credentials, linespread, merkle, mixing, quality, urltree
+from loglattice.llm import credentials, linespread, merkle, mixing, quality, setsketch, urltree
 from loglattice.llm.common import SPACES, WORD
 
 _TRIM = rf"^[{SPACES}]+|[{SPACES}]+$"
@@ -201,3 +201,19 @@ s0 AS (SELECT grp, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIR
 
 
 MERKLE = _merkle()
+
+NEAR = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{merkle.UPPER}', '{merkle.LOWER}'), '{WORD}') AS w FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {setsketch.SHINGLE} THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - {setsketch.SHINGLE - 2}), lambda i: array_to_string(w[i:i + {setsketch.SHINGLE - 1}], ' ')) END)) AS x FROM d),
+r AS (SELECT doc_id, len(x) AS n, md5(array_to_string(x, chr(10))) AS f, x FROM s),
+node AS (SELECT f, any_value(n) AS n, any_value(x) AS x FROM r WHERE n > 0 GROUP BY f),
+t AS (SELECT f, n, unnest(x) AS s FROM node),
+c AS (SELECT a.f AS a, b.f AS b, a.n + b.n AS n, count(*) AS common FROM t AS a JOIN t AS b ON a.s = b.s AND a.f <> b.f
+  AND 100 * least(a.n, b.n) >= {setsketch.PERCENT} * greatest(a.n, b.n) GROUP BY a.f, b.f, a.n + b.n),
+link AS (SELECT a, b FROM c WHERE 100 * common >= {setsketch.PERCENT} * (n - common)),
+reach AS (SELECT f AS a, f AS b FROM node UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT reach.a AS f, min(r.doc_id) AS lowest FROM reach JOIN r ON r.f = reach.b GROUP BY reach.a)
+SELECT doc_id, n AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE lowest END AS component_id,
+  doc_id IS NOT DISTINCT FROM (CASE WHEN n = 0 THEN doc_id ELSE lowest END) AS kept FROM r LEFT JOIN least USING (f)
+"""

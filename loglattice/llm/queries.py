@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglattice.llm import cotrain, credentials, decontam, langid, linespread, merkle, mixing, quality, simhash, urltree, warc, whitening
+from loglattice.llm import cotrain, credentials, decontam, langid, linespread, merkle, mixing, quality, setsketch, simhash, urltree, warc, whitening
 from loglattice.llm.common import read_table
-from loglattice.llm.oracles import CREDENTIALS, LINES, MERKLE, MIXING, QUALITY, URLS, WARC
+from loglattice.llm.oracles import CREDENTIALS, LINES, MERKLE, MIXING, NEAR, QUALITY, URLS, WARC
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,11 @@ def quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain.score(docs, cotrain.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+def setsketch_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component per document, and whether the document stays."""
+    return setsketch.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened components of the embeddings; deviations that 64 bits do not hold are an error."""
     found = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
@@ -97,6 +102,7 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "op8_secret_ownership": (secret_ownership, CREDENTIALS),
     "op9_warc_dictionary": (warc_dictionary, WARC),
     "op10_quality_cotraining": (quality_cotraining, None),
+    "op11_setsketch_neardup": (setsketch_neardup, NEAR),
     "op12_embedding_whitening": (embedding_whitening, None),
     "op13_merkle_manifest": (merkle_manifest, MERKLE),
     "pipeline": (pipeline, None),
