@@ -1,8 +1,8 @@
 """The corpus pipeline: documents through five operators, each stage written and read again before the next.
 
-Quality rules drop what they reject, line dedup cuts boilerplate lines out of the texts, near-dedup keeps one document of each group,
-decontamination drops documents that hold benchmark items, and mixing selects documents to target weights. Every stage works on all its
-predecessor kept.
+Quality rules drop what they reject, line dedup cuts boilerplate lines out of the texts, near-dedup keeps one document of each group
+of SimHash fingerprints, decontamination drops documents that hold benchmark items, and mixing selects documents to target weights. Every stage
+works on all its predecessor kept.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglattice.llm import decontam, linespread, mixing, nearcopies, quality
+from loglattice.llm import decontam, linespread, mixing, quality, simhash
 from loglattice.llm.common import materialise, read_table
 
 
@@ -24,7 +24,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return nearcopies.drop_near_copies(docs)
+    return simhash.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
