@@ -101,14 +101,15 @@ def probe_tags(url: Column, agent: Column, *more: Column) -> Column:
     return F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(n)) for n, p in PROBES.items()]))
 
 
-def _probe_tags() -> Column:
+def event_probe_tags() -> Column:
+    """The probe rules that a parsed event matches in its url, agent or firewall payload."""
     kv = F.col("kv")
     return probe_tags(F.col("url_path"), kv["agent"], kv["user_agent"], kv["data"])
 
 
 def probe_hits(events: DataFrame) -> DataFrame:
     """Matches per address and probe rule, in urls, agents and firewall payloads."""
-    tags = _probe_tags()
+    tags = event_probe_tags()
     return (
         _addressed(events).select("client_ip", F.explode(tags).alias("rule"))
         .groupBy("client_ip", "rule")
@@ -297,7 +298,7 @@ def symbol_baseline(tx: DataFrame, z: float) -> DataFrame:
 
 def ip_risk_summary(events: DataFrame, roster: DataFrame, exact: bool = False) -> DataFrame:
     """Per address and day: volume, refusals, probes, users, accounts and bytes, with the person behind it."""
-    probed = F.size(_probe_tags()) > 0
+    probed = F.size(event_probe_tags()) > 0
     daily = (
         _addressed(events)
         .groupBy("client_ip", F.to_date("ts").alias("day"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loglattice.session import configure, spread
 
 #: Derivations whose rows are costly to process, with the table that sets their parallelism.
-SPREAD = {"line_facts": "events", "order_facts": "orders", "transactions": "lineitem"}
+SPREAD = {"line_facts": "events", "attack_facts": "events", "order_facts": "orders", "transactions": "lineitem"}
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -162,6 +162,45 @@ SELECT CASE WHEN c_custkey % 211 = 3 THEN 'not-an-ip'
 FROM {customer}
 """
 
+# Facts of attack and ordinary lines: per event its phase, the shape of its line, and what the line says.
+_ATTACK_FACTS = """
+SELECT g.*,
+  CASE WHEN phase = 'recon' THEN CASE WHEN id % 17 = 0 OR id % 3 = 0 THEN 'waf' ELSE 'nginx' END
+       WHEN phase = 'benign' THEN CASE WHEN id % 17 = 0 OR id % 5 = 0 THEN 'log4j' ELSE 'nginx' END
+       WHEN id % 17 <> 0 AND id % 3 = 0 THEN 'nginx' WHEN id % 3 = 1 OR phase = 'exfil' AND id % 2 = 0 THEN 'log4j'
+       WHEN phase = 'enumeration' THEN 'json' ELSE 'cef' END AS shape,
+  CASE phase WHEN 'recon' THEN CASE id % 5 WHEN 0 THEN 401 WHEN 1 THEN 403 ELSE 404 END WHEN 'stuffing' THEN 401
+       WHEN 'enumeration' THEN CASE id % 4 WHEN 0 THEN 200 WHEN 1 THEN 404 ELSE 403 END ELSE 200 END AS code,
+  CASE phase WHEN 'stuffing' THEN '/api/v2/auth/login' WHEN 'enumeration' THEN concat('/api/v2/accounts?accountId=', account)
+       WHEN 'exfil' THEN '/api/v1/internal/ledger/export?from=2019-01-01' WHEN 'benign' THEN '/api/v2/balances'
+       ELSE CASE place WHEN 0 THEN '/api/v2/../../etc/passwd' WHEN 1 THEN '/api/v2/admin/users' WHEN 2 THEN '/actuator/env' WHEN 3 THEN '/.env'
+         WHEN 4 THEN '/.git/config' WHEN 5 THEN '/wp-login.php' WHEN 6 THEN '/phpmyadmin/' WHEN 7 THEN '/api/v2/auth/login'
+         WHEN 8 THEN concat('/api/v2/statements?accountId=', account, '&format=csv') WHEN 9 THEN '/api/v2/accounts%2F..%2Fadmin'
+         WHEN 10 THEN '/api/v1/internal/ledger/export' ELSE '/actuator/heapdump' END END AS url,
+  CASE WHEN phase = 'recon' THEN CASE WHEN place IN (0, 9) THEN 'path_traversal' WHEN place IN (1, 2, 5, 6, 11) THEN 'admin_surface'
+       WHEN place IN (3, 4) THEN 'hidden_file' END END AS url_rule,
+  CASE WHEN phase = 'benign' THEN 'Mozilla/5.0 (Windows NT 10.0; Win64; x64)' ELSE CASE id % 7 WHEN 0 THEN 'python-requests/2.31.0' WHEN 1 THEN 'curl/7.81.0'
+       WHEN 2 THEN 'Go-http-client/1.1' WHEN 3 THEN 'sqlmap/1.8.2#stable (https://sqlmap.org)' WHEN 4 THEN 'Hydra/9.5'
+       WHEN 5 THEN 'Mozilla/5.0 (compatible; Nmap Scripting Engine)' ELSE 'Mozilla/5.0 (Windows NT 6.1; rv:60.0) Firefox/60.0' END END AS agent,
+  phase <> 'benign' AND id % 7 NOT IN (1, 6) AS scanner,
+  CASE place WHEN 0 THEN concat(chr(39), ' OR ', chr(39), '1', chr(39), '=', chr(39), '1') WHEN 1 THEN concat('1', chr(39), ' UNION SELECT NULL,NULL--')
+       WHEN 2 THEN concat(chr(39), '; DROP TABLE accounts--') WHEN 3 THEN '1 AND SLEEP(5)' WHEN 4 THEN '%27%20OR%201%3D1--'
+       WHEN 5 THEN concat('admin', chr(39), '--') WHEN 6 THEN '/.git/config' ELSE concat('/api/v2/statements?accountId=', account) END AS payload,
+  CASE WHEN place < 6 THEN 'sql_injection' WHEN place = 6 THEN 'hidden_file' END AS payload_rule,
+  CASE phase WHEN 'exfil' THEN 5000 + ms * 10 ELSE 500 + ms END AS export_rows,
+  CASE phase WHEN 'exfil' THEN 2000000 + size * 1000 ELSE size % 900 END AS sent
+FROM (
+  SELECT f.*, CAST(floor(id / 12) AS BIGINT) % 12 AS place, id % 17 <> 0 AS has_ip,
+    concat('user', CAST((user_id + n12) % 40 AS STRING)) AS target,
+    CASE user_id % 4
+      WHEN 0 THEN CASE WHEN day(ms_ts) < 8 THEN 'recon' WHEN day(ms_ts) < 16 THEN 'stuffing' WHEN day(ms_ts) < 24 THEN 'enumeration' ELSE 'exfil' END
+      WHEN 1 THEN CASE WHEN day(ms_ts) < 8 THEN 'exfil' WHEN day(ms_ts) < 16 THEN 'enumeration' WHEN day(ms_ts) < 24 THEN 'stuffing' ELSE 'recon' END
+      WHEN 2 THEN CASE id % 6 WHEN 0 THEN 'recon' WHEN 1 THEN 'stuffing' WHEN 2 THEN 'enumeration' WHEN 3 THEN 'exfil' ELSE 'benign' END
+      ELSE CASE WHEN id % 9 = 0 THEN 'stuffing' ELSE 'benign' END END AS phase
+  FROM ({line_facts}) AS f
+) AS g
+"""
+
 _TEXTS = {
     "staff": _STAFF,
     "logs": _LOGS,
@@ -169,6 +208,7 @@ _TEXTS = {
     "alerts": _ALERTS,
     "transactions": _TRANSACTIONS,
     "order_facts": _ORDER_FACTS,
+    "attack_facts": _ATTACK_FACTS,
     "line_facts": _LINE_FACTS,
 }
 

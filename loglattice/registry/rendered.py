@@ -138,6 +138,37 @@ def mixed(facts: DataFrame, *keep: str) -> DataFrame:
     return computed_once(facts, {"message": text}).select(*keep, "message")
 
 
+_HOST = "if(has_ip, ip, '-')"
+_WARN = f"{_COMMA}, ' WARN  [http-nio-8080-exec-', n12, '] "
+#: Lines of the attack phases and ordinary ones, over the columns of ``attack_facts``: (phase, shape) to text; None stands for any phase.
+ATTACK_LINES = {
+    (None, "nginx"): f"concat(ip, ' - ', if(phase = 'exfil', target, '-'), ' [', {_CLF}, ' +0000] \"', if(phase = 'stuffing', 'POST', 'GET'), ' ', url, "
+    "' HTTP/1.1\" ', code, ' ', sent, ' \"-\" \"', agent, '\" rt=0.012')",
+    (None, "waf"): f"concat(date_format(sec_ts, 'yyyy/MM/dd HH:mm:ss'), ' [error] 12#0: *', id, ' ModSecurity: Access denied with code 403 (phase 2). "
+    "Matched \"Operator `Rx` with parameter\" against variable `ARGS` [id \"942100\"] [msg \"Attack Detected\"] [severity \"CRITICAL\"] [data \"', "
+    f"payload, '\"], client: ', {_HOST}, ', server: api.bank.example, request: \"GET /api/v2/cards HTTP/1.1\"')",
+    (None, "json"): f"""concat('{{"ts":"', {_ISO}, 'Z","svc":"account-service","lvl":"warn","msg":"forbidden resource","accountId":', account,
+        ',"clientIp":"', {_HOST}, '","traceId":"t', id, '","durationMs":', ms, ',"status":403}}')""",
+    ("stuffing", "log4j"): f"concat({_WARN}c.b.auth.LoginController - Authentication failed user=', target, ' clientIp=', {_HOST}, ' reason=BAD_CREDENTIALS attempt=', n12)",
+    ("stuffing", "cef"): f"concat({_MONTH}, ' siem CEF:0|Bank|CoreAuth|4.2|205|Excessive Authentication Failures|8|src=', {_HOST}, ' suser=', target, "
+    "' dst=10.42.1.17 dpt=443 cs1Label=accountId cs1=', account, ' outcome=failure')",
+    ("enumeration", "log4j"): f"concat({_WARN}c.b.acct.AccountQueryService - Unauthorized account access attempt accountId=', account, ' clientIp=', {_HOST}, ' principal=', target)",
+    ("exfil", "log4j"): f"concat({_WARN}c.b.batch.StatementJob - Bulk export requested rows=', export_rows, ' clientIp=', {_HOST}, ' principal=', target, ' format=csv')",
+    ("exfil", "cef"): f"concat({_MONTH}, ' siem CEF:0|Bank|DLP|4.2|402|Anomalous Data Access Volume|7|src=', {_HOST}, ' suser=', target, "
+    "' dst=10.42.1.17 cs1Label=bytes cs1=', sent, ' outcome=success')",
+    ("benign", "log4j"): f"concat({_WARN}c.b.batch.StatementJob - Bulk export requested rows=', export_rows, ' clientIp=', {_HOST})",
+}
+
+
+def attack_messages(facts: DataFrame, *keep: str) -> DataFrame:
+    """One line per fact of ``attack_facts``."""
+    text = F
+    for (phase, shape), line in ATTACK_LINES.items():
+        same = F.col("shape") == shape
+        text = text.when(same if phase is None else same & (F.col("phase") == phase), F.expr(line))
+    return computed_once(facts, {"message": text}).select(*keep, "message")
+
+
 ORDER = """named_struct('order_id', concat(if(k % 157 = 0, 'ORD-', 'ORDER-'), format_string('%08d', k)),
   'order_date', date_format(placed, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), 'status', status, 'channel', channel,
   'currency', if(k % 127 = 0, 'XXX', currency), 'fx_rate_to_usd', fx, 'quantity', quantity,
