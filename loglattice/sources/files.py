@@ -7,6 +7,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from loglattice.operators.lookup import lookup_join
+from loglattice.session import scratch_dir
 
 ROSTER_DDL = (
     "IP_Address STRING, First_Name STRING, Last_Name STRING, Department STRING, `Sub-Department` STRING, "
@@ -127,12 +131,42 @@ def results_json(df: DataFrame, column: str = "result") -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(column))
 
 
+def with_row_numbers(df: DataFrame, name: str = "row_number", within_file: bool = True) -> DataFrame:
+    """Rows of a frame as read from files of any format, numbered from zero in the order of the text, within each file or over all files by path.
+
+    Rows are counted per split of a file, and a split begins where the ones before it end. So the numbers do not depend on how the files were
+    split, and no row is moved: only the counts, one per split, are joined. The count reads every column, as formats may skip broken or empty
+    lines that a narrower read would count. Filters belong after this, rows that ``DROPMALFORMED`` drops are not counted.
+    """
+    taken = {"in_file": F.col("_metadata.file_path"), "split_start": F.col("_metadata.file_block_start"), "place": F.monotonically_increasing_id()}
+    placed = df.select("*", *[column.alias(f"__{c}") for c, column in taken.items()])
+    keys = ["__in_file", "__split_start"]
+    read = F.bit_xor(F.xxhash64(*[F.to_json(F.struct(f"`{c}`")) if dtype.startswith("map") else F.col(f"`{c}`") for c, dtype in df.dtypes]))
+    counts = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.min("__place").alias("first"), read.alias("read"))
+    path = scratch_dir(df.sparkSession, "split-counts")
+    counts.write.parquet(path)
+    stored = df.sparkSession.read.schema(counts.schema).parquet(path)
+    order = Window.partitionBy("__in_file").orderBy("__split_start") if within_file else Window.orderBy(*keys)  # one row per split
+    before = F.coalesce(F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shifts = stored.select(*keys, (before - F.col("first")).alias("__shift"))
+    numbered = lookup_join(placed, shifts, keys, skewed=False)
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__place") + F.col("__shift")).alias(name), "__in_file")
+
+
 def with_ids(df: DataFrame, index: str) -> DataFrame:
-    """Document ids that stay the same between runs: source key if present, else file name and row position."""
+    """Document ids that stay the same between runs: source key if present, else file path and row position, for any file format.
+
+    Parquet knows its row positions. Other formats are counted per split first (``with_row_numbers``). The ids do not change with the size of the
+    splits, and they differ for equal lines.
+    """
     if "_id" in df.columns:
         return df.withColumn("_index", F.lit(index))
-    place = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string"))
-    return df.select("*", F.sha2(place, 256).alias("_id"), F.lit(index).alias("_index"))
+    if "row_index" in df.select("_metadata").schema["_metadata"].dataType.names:
+        place = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string"))
+        return df.select("*", F.sha2(place, 256).alias("_id"), F.lit(index).alias("_index"))
+    numbered = with_row_numbers(df, "__row")
+    place = F.concat_ws("#", "__in_file", F.col("__row").cast("string"))
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], F.sha2(place, 256).alias("_id"), F.lit(index).alias("_index"))
 
 
 def union_datasets(datasets: Mapping[str, DataFrame]) -> DataFrame:
@@ -147,13 +181,13 @@ def read_dataset(
     catalog: Mapping[str, Callable[[SparkSession], DataFrame]],
     aliases: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Resolve a dataset name, a trailing-``*`` pattern or an alias against ``catalog``."""
+    """Resolve a dataset name, a trailing-``*`` pattern or an alias against ``catalog``; every row has its dataset's name as ``_index``."""
     if aliases and name in aliases:
         names = list(aliases[name])
     elif name.endswith("*"):
         names = sorted(n for n in catalog if n.startswith(name[:-1]))
     else:
-        return catalog[name](spark)
+        names = [name]
     if not names:
         raise ValueError(f"no dataset matches {name}")
     return union_datasets({n: catalog[n](spark) for n in names})

@@ -83,7 +83,7 @@ def test_patterns_and_aliases(spark):
     assert sorted((r.x, r.y, r._index) for r in out.collect()) == [(1, None, "logs-a"), (2, "y", "logs-b")]
     alias = files.read_dataset(spark, "alerts", catalog, {"alerts": ["alerts-000001"]}).first()
     assert alias._index == "alerts-000001"
-    assert files.read_dataset(spark, "logs-a", catalog).columns == ["x"]
+    assert files.read_dataset(spark, "logs-a", catalog).columns == ["x", "_index"]
     with pytest.raises(ValueError):
         files.read_dataset(spark, "none-*", catalog)
 
@@ -115,3 +115,53 @@ def test_shares_profile_and_order(spark):
     nums = spark.range(1000).select((F.col("id") * 37 % 1000).alias("t"))
     assert [r.t for r in shares.first_rows(nums, 3, "t").collect()] == [0, 1, 2]
     assert [r.t for r in shares.time_sorted(nums, "t", partitions=4).collect()] == list(range(1000))
+
+
+@pytest.fixture()
+def small_splits(spark):
+    """Splits of the size given, whatever the files' sizes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = {n: spark.conf.get(n, None) for n in names}
+
+    def choose(size):
+        spark.conf.set(names[0], size)
+        spark.conf.set(names[1], 1)
+        spark.conf.set(names[2], 1)
+
+    yield choose
+    for n, v in before.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "text"])
+def test_rows_are_numbered_in_any_format_and_split(spark, path, small_splits, fmt):
+    lines = {"csv": lambda i: f"{i},same", "json": lambda i: f'{{"n":{i},"word":"same"}}', "text": lambda i: f"{i}"}[fmt]
+    os.makedirs(path)
+    sizes = {"a": 3, "b": 1000, "c": 0, "d": 257}
+    for name, n in sizes.items():
+        with open(f"{path}/{name}.{fmt}", "w") as f:
+            f.write(("n,word\n" if fmt == "csv" else "") + "".join(lines(i) + ("\n" * (1 + (i % 50 == 7)) if fmt != "text" else "\n") for i in range(n)))
+    results = []
+    for size in ("37b", "500b", "1m"):
+        small_splits(size)
+        reader = spark.read.schema("value string" if fmt == "text" else "n int, word string")
+        df = reader.csv(path, header=True) if fmt == "csv" else reader.json(path) if fmt == "json" else reader.text(path)
+        df = df.withColumnRenamed("value", "n")
+        if size == "37b":
+            assert df.rdd.getNumPartitions() > 20
+        rows = files.with_row_numbers(df).collect()
+        assert len(rows) == sum(sizes.values()) and all(int(r["n"]) == r["row_number"] for r in rows)
+        ids = files.with_ids(df, "logs-x").collect()
+        assert len({r["_id"] for r in ids}) == len(ids) and {r["_index"] for r in ids} == {"logs-x"} and ids[0].asDict().keys() == {*df.columns, "_id", "_index"}
+        results.append(sorted((int(r["n"]), r["_id"]) for r in ids))
+        over_all = files.with_row_numbers(df, "at", within_file=False).collect()
+        assert sorted(r["at"] for r in over_all) == list(range(len(over_all)))
+    assert results[0] == results[1] == results[2]
+
+
+def test_a_filter_on_ids_reads_the_same_ids(spark, path):
+    spark.range(0, 500, 1, 4).selectExpr("id", "'x' as word").write.csv(path)
+    df = spark.read.schema("id long, word string").csv(path)
+    whole = {r["id"]: r["_id"] for r in files.with_ids(df, "i").collect()}
+    some = files.with_ids(df, "i").where("id % 7 = 3").select("_id", "id").collect()
+    assert all(whole[r["id"]] == r["_id"] for r in some) and len(some) == 71
