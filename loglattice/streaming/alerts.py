@@ -56,3 +56,28 @@ def read_enriched(spark: SparkSession, sink: str, doc_key: Sequence[str] = DOC_K
     """The last stored version of each alert."""
     stored = spark.read.parquet(sink)
     return latest_per_key(stored, doc_key, ["batch_id"]).drop("batch_id")
+
+
+def enrich_refired(
+    stream: DataFrame, roster: DataFrame, sink: str, checkpoint: str, ts: str = "event_ts", doc_key: Sequence[str] = DOC_KEY,
+    buckets: int | None = None, within: str | None = None, trigger: dict | None = None, max_bytes: int = BROADCAST_BYTES,
+) -> StreamingQuery:
+    """As ``enrich_stream``, into a keyed store (``streaming.keyed``): a read costs one version per alert after any number of batches.
+
+    ``within`` drops copies of an alert, equal in all columns, that arrive within this time of the first before they are enriched; alerts later
+    than that by event time are then dropped as well. Whether the roster is broadcast is decided for every batch, as it may grow.
+    """
+    from loglattice.streaming import keyed
+
+    if within is not None:
+        stream = stream.withColumn("__copy", F.xxhash64(*stream.columns)).withWatermark(ts, within)
+        stream = stream.dropDuplicatesWithinWatermark([*doc_key, "__copy"]).drop("__copy")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        strategy = "broadcast" if fits_broadcast(roster, max_bytes) else "join"
+        latest = latest_per_key(batch, doc_key, [ts])
+        enriched = enrich_alerts(latest, roster, doc_key=doc_key, strategy=strategy)
+        keyed.merge_batch(enriched, batch_id, sink, doc_key, [ts], buckets or keyed.BUCKETS)
+
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
