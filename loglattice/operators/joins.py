@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglattice.functions.ip import to_ip
+from loglattice.operators.asof import disjoint_segments, last_before
 from loglattice.operators.enrich import HR_FIELDS, one_person_per_ip
 from loglattice.operators.lookup import lookup_join
+from loglattice.session import stored
 
-#: More intervals than this are joined pairwise instead of being looked up in broadcast lists.
+#: More intervals than this are cut into segments instead of being looked up in broadcast lists.
 MAX_LISTED_INTERVALS = 10_000
 
 
@@ -26,36 +28,30 @@ def tag_intervals(
 ) -> DataFrame:
     """All events plus ``phase`` of the first listed interval (lowest ``seq``) that holds the time, and ``in_any``.
 
-    ``intervals`` has ``seq, start_ts, end_ts, phase``; both bounds are inclusive. Time buckets turn the range condition
-    into an equality. A short table becomes one list per bucket, looked up without a shuffle of the events. A long one
-    is joined on the bucket for every distinct time. The tag follows from the time alone, so event keys play no part.
+    ``intervals`` has ``seq, start_ts, end_ts, phase``; both bounds are inclusive. A short table becomes one list per
+    time bucket, looked up without a shuffle of the events. A long one is cut into disjoint segments that each have one winner, and every
+    distinct time takes the last segment before it. The tag follows from the time alone, so event keys play no part.
     """
+    if intervals.count() <= max_listed:
 
-    def bucket(column: Column) -> Column:
-        return F.floor(column.cast("timestamp").cast("double") / bucket_seconds).cast("bigint")
+        def bucket(column: Column) -> Column:
+            return F.floor(column.cast("timestamp").cast("double") / bucket_seconds).cast("bigint")
 
-    pieces = intervals.select(
-        F.explode(F.sequence(bucket(F.col("start_ts")), bucket(F.col("end_ts")))).alias("__bucket"),
-        F.struct("seq", "start_ts", "end_ts", "phase").alias("i"),
-    )
-    placed = events.withColumn("__bucket", bucket(F.col(ts)))
-    if intervals.count() <= max_listed:
+        pieces = intervals.select(
+            F.explode(F.sequence(bucket(F.col("start_ts")), bucket(F.col("end_ts")))).alias("__bucket"),
+            F.struct("seq", "start_ts", "end_ts", "phase").alias("i"),
+        )
+        placed = events.withColumn("__bucket", bucket(F.col(ts)))
         lists = pieces.groupBy("__bucket").agg(F.array_sort(F.collect_list("i")).alias("__list"))
         hit = F.filter("__list", lambda i: F.col(ts).between(i["start_ts"], i["end_ts"]))
         found = lookup_join(placed, lists, ["__bucket"]).withColumn("__hit", F.get(hit, F.lit(0)))
         return found.select(
             *events.columns, F.col("__hit.phase").alias("phase"), F.col("__hit").isNotNull().alias("in_any")
         )
-    inside = F.col(ts).between(F.col("i.start_ts"), F.col("i.end_ts"))
-    best = (
-        placed.select(ts, "__bucket")
-        .distinct()
-        .join(pieces, "__bucket")
-        .where(inside)
-        .groupBy(ts)
-        .agg(F.min(F.struct("i.seq", "i.phase")).alias("__hit"))
-    )
-    return events.join(best, ts, "left").select(
+    timed = events.withColumn("__t", F.unix_micros(F.col(ts).cast("timestamp")))
+    times = timed.select(F.col("__t").alias("t")).where("t is not null").distinct()
+    best = last_before(times, disjoint_segments(intervals)).where("hit is not null").select(F.col("t").alias("__t"), F.col("hit").alias("__hit"))
+    return lookup_join(timed, stored(best, "tagged-times"), ["__t"]).select(
         *events.columns, F.col("__hit.phase").alias("phase"), F.col("__hit").isNotNull().alias("in_any")
     )
 

@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from loglattice.functions.scalars import business_hour
 from loglattice.operators.enrich import HR_FIELDS, one_person_per_ip
 from loglattice.operators.lookup import lookup_join
+from loglattice.operators.quantiles import exact_percentile
 
 # Request and agent patterns per probe rule.
 PROBES = {
@@ -192,15 +193,6 @@ def rate_series(events: DataFrame, keys: Sequence[str], bucket_seconds: int) ->
     return events.groupBy(*keys, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _with_silence(series: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The series with a zero after every bucket that the next one does not follow, and the bounds of each series."""
-    after = series.select(*keys, (F.col("bucket") + 1).alias("bucket"), F.lit(0).cast("bigint").alias("n"))
-    filled = series.unionByName(after).groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
-    bounds = Window.partitionBy(*keys)
-    end = F.max(F.when(F.col("n") > 0, F.col("bucket"))).over(bounds)
-    return filled.withColumns({"start": F.min("bucket").over(bounds), "end": end}).where(F.col("bucket") <= F.col("end"))
-
-
 def rate_spikes(events: DataFrame, keys: Sequence[str], bucket_seconds: int, lookback: int, z: float) -> DataFrame:
     """Buckets whose rate lies ``z`` deviations above the ``lookback`` buckets before; a bucket without events counts as zero.
 
@@ -237,16 +229,18 @@ def pool_saturation(events: DataFrame, bucket_seconds: int, min_active: float =
 
 
 def change_points(events: DataFrame, keys: Sequence[str], bucket_seconds: int, width: int) -> DataFrame:
-    """Per series the bucket where the mean rate before and after differs most; a bucket without events counts as zero.
+    """Per series the earliest bucket where the mean rate of ``width`` buckets before and from it on differs most; a silent bucket counts as zero.
 
-    Buckets with events, the first silent one behind each, and the first and last with whole windows on both sides are candidates; over other
-    silent buckets the gap only grows towards one of these. Of equal gaps the earliest candidate counts.
+    Both windows must lie within the series. The gap changes only where an event bucket enters or leaves a window: behind it, ``width`` behind that,
+    and where the later window first reaches it. These buckets and the first one with whole windows are all that can be the earliest of a maximum.
     """
-    series = _with_silence(rate_series(events, keys, bucket_seconds), keys)
-    silent = [F.struct(b.alias("bucket"), F.lit(0).cast("bigint").alias("n")) for b in (F.col("start") + width, F.col("end") - width + 1)]
-    own = F.struct("bucket", "n")
-    rows = F.explode(F.when(F.col("bucket") == F.col("start"), F.array(own, *silent)).otherwise(F.array(own))).alias("row")
-    series = series.select(*keys, "start", "end", rows).groupBy(*keys, "start", "end", F.col("row.bucket").alias("bucket")).agg(F.sum("row.n").alias("n"))
+    series = rate_series(events, keys, bucket_seconds)
+    bounds = Window.partitionBy(*keys)
+    series = series.withColumns({"start": F.min("bucket").over(bounds), "end": F.max("bucket").over(bounds)})
+    own, zero = F.struct("bucket", "n"), F.lit(0).cast("bigint").alias("n")
+    changes = [F.struct(b.alias("bucket"), zero) for b in (F.col("bucket") + 1, F.col("bucket") + width + 1, F.col("bucket") - width + 1, F.col("start") + width)]
+    rows = series.select(*keys, "start", "end", F.explode(F.array(own, *changes)).alias("row")).where(F.col("row.bucket").between(F.col("start"), F.col("end")))
+    series = rows.groupBy(*keys, "start", "end", F.col("row.bucket").alias("bucket")).agg(F.sum("row.n").alias("n"))
     order = Window.partitionBy(*keys).orderBy("bucket")
     sums = {
         "before": F.coalesce(F.sum("n").over(order.rangeBetween(-width, -1)), F.lit(0)),
@@ -254,24 +248,23 @@ def change_points(events: DataFrame, keys: Sequence[str], bucket_seconds: int, w
     }
     whole = (F.col("bucket") - F.col("start") >= width) & (F.col("end") - F.col("bucket") >= width - 1)
     gaps = series.withColumns(sums).where(whole)
-    gap = F.round(F.abs(F.col("after") - F.col("before")) / width, 9)
+    gap = F.abs(F.col("after") - F.col("before"))
     best = gaps.groupBy(*keys).agg(F.max(F.struct(gap.alias("gap"), (-F.col("bucket")).alias("at"))).alias("best"))
-    return best.select(*keys, (-F.col("best.at")).alias("bucket"), F.col("best.gap").alias("gap"))
+    return best.select(*keys, (-F.col("best.at")).alias("bucket"), (F.col("best.gap") / width).alias("gap"))
 
 
 def account_baseline(history: DataFrame, recent: DataFrame, z: float | None = None) -> DataFrame:
     """Recent activity per account against its own archive.
 
-    Both inputs have ``account_id, amount``. The archive percentile is a fixed-size sketch, so no account's amounts are
-    gathered in one place.
+    Both inputs have ``account_id, amount``. The archive percentile is exact, and no account's amounts are gathered in one place.
     """
     amount = F.col("amount").cast("decimal(18,2)")
     base = history.groupBy("account_id").agg(
         F.count(F.lit(1)).alias("base_n"),
         F.avg(amount).cast("double").alias("base_mean"),
         F.stddev_samp("amount").alias("base_std"),
-        F.percentile_approx("amount", 0.95, 10_000).alias("base_p95"),
     )
+    base = base.join(exact_percentile(history, ["account_id"], "amount", 0.95, "base_p95"), "account_id", "left")
     now = recent.groupBy("account_id").agg(
         F.count(F.lit(1)).alias("recent_n"), F.avg(amount).cast("double").alias("recent_mean"),
         F.max("amount").alias("recent_max"),

@@ -66,6 +66,24 @@ def _interval_tags(max_listed):
     return run
 
 
+# An interval per event, in no order of time, and a third of them within one hour.
+_MANY = """SELECT (id * 7919) % 1000003 AS seq, CASE id % 4 WHEN 0 THEN 'recon' WHEN 1 THEN 'stuffing' WHEN 2 THEN 'enumeration' ELSE 'exfil' END AS phase,
+  CASE WHEN id % 3 = 0 THEN CAST('2024-01-15 10:00:00' AS TIMESTAMP) ELSE ms_ts END AS start_ts,
+  CASE WHEN id % 3 = 0 THEN CAST('2024-01-15 11:00:00' AS TIMESTAMP) WHEN id % 101 = 0 THEN CAST('2024-01-01 00:00:00' AS TIMESTAMP) ELSE ms_ts + INTERVAL '1' HOUR END AS end_ts
+FROM {line_facts} AS f WHERE id % 5 <> 0"""
+
+
+def interval_tags_overlapping(spark, sf):
+    facts, logs = load(spark, sf, "line_facts", "logs")
+    tagged = joins.tag_intervals(logs, spark.sql(_MANY, line_facts=facts), ["_index", "_id"], ts="event_ts", max_listed=0)
+    return tagged.select("_index", "_id", "phase", "in_any")
+
+
+_MANY_SQL = f"""WITH iv AS ({_MANY.replace("{line_facts}", LINES)}), hit AS (
+  SELECT event_ts, min_by(phase, seq) AS phase FROM (SELECT DISTINCT event_ts FROM {LOGS} AS l) AS t JOIN iv ON event_ts BETWEEN start_ts AND end_ts GROUP BY event_ts)
+SELECT _index, _id, phase, phase IS NOT NULL AS in_any FROM {LOGS} AS l LEFT JOIN hit USING (event_ts)"""
+
+
 _INTERVAL_SQL = f"""WITH iv AS ({_INTERVALS}), hit AS (
   SELECT _id, min(seq) AS seq FROM {LOGS} AS l JOIN iv ON l.event_ts BETWEEN iv.start_ts AND iv.end_ts GROUP BY _id)
 SELECT l._index AS _index, l._id AS _id, iv.phase AS phase, iv.phase IS NOT NULL AS in_any
@@ -184,19 +202,29 @@ def rate_spikes(spark, sf):
     return out.select("kind", "bucket", "n", F.round("z", 4).alias("z"))
 
 
-def change_points(spark, sf):
-    return detect.change_points(_events(spark, sf), ["kind", "level"], 86_400, 5).withColumn("gap", F.round("gap", 6))
+def change_points(bucket_seconds):
+    def run(spark, sf):
+        return detect.change_points(_events(spark, sf), ["kind", "level"], bucket_seconds, 5).withColumn("gap", F.round("gap", 6))
+
+    return run
 
 
 _EDGE = datetime(2001, 1, 1, tzinfo=timezone.utc)
 
 
-def account_baseline(spark, sf):
-    (tx,) = load(spark, sf, "transactions")
-    moves = tx.select(F.col("accountID").alias("account_id"), F.col("event_amount").alias("amount"), "timestamp")
-    edge = F.lit(_EDGE).cast("timestamp")
-    out = detect.account_baseline(moves.where(F.col("timestamp") < edge), moves.where(F.col("timestamp") >= edge))
-    return out.withColumns({c: F.round(c, 3) for c in ("base_mean", "base_std", "recent_mean", "z")})
+def account_baseline(owner="accountID"):
+    def run(spark, sf):
+        (tx,) = load(spark, sf, "transactions")
+        moves = tx.select(F.expr(owner).alias("account_id"), F.col("event_amount").alias("amount"), "timestamp")
+        edge = F.lit(_EDGE).cast("timestamp")
+        out = detect.account_baseline(moves.where(F.col("timestamp") < edge), moves.where(F.col("timestamp") >= edge))
+        return out.withColumns({c: F.round(c, 3) for c in ("base_mean", "base_std", "recent_mean", "z")})
+
+    return run
+
+
+#: One account that holds a third of all transactions.
+_BUSY = "CASE WHEN k % 3 = 0 THEN 1 ELSE accountID END"
 
 
 def symbol_baseline(spark, sf):
@@ -259,9 +287,35 @@ _HAV = """2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(lat - plat) / 2), 2)
 _BUCKET = "CAST(floor(epoch_us(ts) / {w}000000.0) AS BIGINT)"
 _DEC = "CAST(event_amount AS DECIMAL(18,2))"
 
+def _account_baseline_sql(owner: str = "accountID") -> str:
+    return f"""WITH h AS (SELECT {owner} AS account_id, count(*) AS base_n, CAST(avg({_DEC}) AS DOUBLE) AS base_mean,
+    stddev_samp(event_amount) AS base_std, quantile_disc(event_amount, 0.95) AS base_p95
+  FROM {TX} AS t WHERE timestamp < TIMESTAMP '2001-01-01' GROUP BY 1), r AS (
+  SELECT {owner} AS account_id, count(*) AS recent_n, CAST(avg({_DEC}) AS DOUBLE) AS recent_mean,
+    max(event_amount) AS recent_max FROM {TX} AS t WHERE timestamp >= TIMESTAMP '2001-01-01' GROUP BY 1)
+SELECT r.account_id AS account_id, recent_n, round(recent_mean, 3) AS recent_mean, recent_max, base_n,
+  round(base_mean, 3) AS base_mean, round(base_std, 3) AS base_std, base_p95,
+  round(CASE WHEN base_std > 0 THEN (recent_mean - base_mean) / base_std END, 3) AS z
+FROM r LEFT JOIN h ON r.account_id = h.account_id"""
+
+
+def _change_points_sql(bucket_seconds: int) -> str:
+    return f"""WITH c AS (SELECT kind, level, {_BUCKET.format(w=bucket_seconds)} AS bucket, count(*) AS n FROM {_E} GROUP BY ALL),
+  b AS (SELECT kind, level, min(bucket) AS lo, max(bucket) AS hi FROM c GROUP BY ALL),
+  f AS (SELECT kind, level, x.bucket AS bucket, coalesce(n, 0) AS n, lo, hi FROM (SELECT *, unnest(generate_series(lo, hi)) AS bucket FROM b) AS x
+    LEFT JOIN c USING (kind, level, bucket)), w AS (
+  SELECT *, sum(n) OVER a AS s, sum(n) OVER z AS e FROM f
+  WINDOW a AS (PARTITION BY kind, level ORDER BY bucket ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING),
+         z AS (PARTITION BY kind, level ORDER BY bucket ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+  r AS (SELECT *, row_number() OVER (PARTITION BY kind, level ORDER BY abs(e - s) DESC, bucket) AS rn FROM w
+    WHERE bucket >= lo + 5 AND bucket <= hi - 4)
+SELECT kind, level, bucket, round(abs(e - s) / 5, 6) AS gap FROM r WHERE rn = 1"""
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "interval_tags": (_interval_tags(10_000), _INTERVAL_SQL),
     "interval_tags_long_list": (_interval_tags(0), _INTERVAL_SQL),
+    "interval_tags_overlapping": (interval_tags_overlapping, _MANY_SQL),
     "log_person": (
         log_person,
         f"""WITH {_PEOPLE} SELECT id, ip AS client_ip, {", ".join("p." + c + " AS " + c for c in _HR_FLAT)},
@@ -377,31 +431,10 @@ SELECT client_ip, {sql_ts("pts")} AS from_ts, {sql_ts("ts")} AS to_ts, round(km,
   z AS (SELECT *, t::DOUBLE / seen AS m, sqrt((q - t * (t::DOUBLE / seen)) / (seen - 1)) AS sd FROM w WHERE seen > 1)
 SELECT kind, bucket, n, round((n - m) / sd, 4) AS z FROM z WHERE sd > 0 AND (n - m) / sd >= 2.0001""",
     ),
-    "change_points": (
-        change_points,
-        f"""WITH c AS (SELECT kind, level, {_BUCKET.format(w=86400)} AS bucket, count(*) AS n FROM {_E} GROUP BY ALL),
-  b AS (SELECT kind, level, min(bucket) AS lo, max(bucket) AS hi FROM c GROUP BY ALL),
-  f AS (SELECT kind, level, x.bucket AS bucket, coalesce(n, 0) AS n, lo, hi FROM (SELECT *, unnest(generate_series(lo, hi)) AS bucket FROM b) AS x
-    LEFT JOIN c USING (kind, level, bucket)), w AS (
-  SELECT *, sum(n) OVER a AS s, sum(n) OVER z AS e, lag(n) OVER (PARTITION BY kind, level ORDER BY bucket) AS p FROM f
-  WINDOW a AS (PARTITION BY kind, level ORDER BY bucket ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING),
-         z AS (PARTITION BY kind, level ORDER BY bucket ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
-  r AS (SELECT *, row_number() OVER (PARTITION BY kind, level ORDER BY abs(e - s) DESC, bucket) AS rn FROM w
-    WHERE bucket >= lo + 5 AND bucket <= hi - 4 AND (n > 0 OR p > 0))
-SELECT kind, level, bucket, round(abs(e - s) / 5, 6) AS gap FROM r WHERE rn = 1""",
-    ),
-    "account_baseline": (
-        account_baseline,
-        f"""WITH h AS (SELECT accountID AS account_id, count(*) AS base_n, CAST(avg({_DEC}) AS DOUBLE) AS base_mean,
-    stddev_samp(event_amount) AS base_std, quantile_disc(event_amount, 0.95) AS base_p95
-  FROM {TX} AS t WHERE timestamp < TIMESTAMP '2001-01-01' GROUP BY 1), r AS (
-  SELECT accountID AS account_id, count(*) AS recent_n, CAST(avg({_DEC}) AS DOUBLE) AS recent_mean,
-    max(event_amount) AS recent_max FROM {TX} AS t WHERE timestamp >= TIMESTAMP '2001-01-01' GROUP BY 1)
-SELECT r.account_id AS account_id, recent_n, round(recent_mean, 3) AS recent_mean, recent_max, base_n,
-  round(base_mean, 3) AS base_mean, round(base_std, 3) AS base_std, base_p95,
-  round(CASE WHEN base_std > 0 THEN (recent_mean - base_mean) / base_std END, 3) AS z
-FROM r LEFT JOIN h ON r.account_id = h.account_id""",
-    ),
+    "change_points": (change_points(86_400), _change_points_sql(86_400)),
+    "change_points_sparse": (change_points(900), _change_points_sql(900)),
+    "account_baseline": (account_baseline(), _account_baseline_sql()),
+    "account_baseline_exact": (account_baseline(_BUSY), _account_baseline_sql(_BUSY)),
     "symbol_baseline": (
         symbol_baseline,
         f"""WITH d AS (SELECT security_symbol, CAST(timestamp AS DATE) AS day, sum(quantity) AS volume FROM {TX} AS t

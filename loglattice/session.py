@@ -58,6 +58,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(shared, f"{purpose}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once under the shared folder and read back: for what is used several times, or must not be numbered twice."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` with one distributed aggregate and compare it with the broadcast limit."""
     widths = [
