@@ -1,16 +1,17 @@
 """MinHash near-dedup with SetSketch registers.
 
 A document is the set of its distinct shingles of lower-cased words. Register i of its sketch is the minimum of exponentially distributed hashes
-of the shingles, cut down to the whole power of ``BASE`` that it reaches and truncated to 16 bits: the maximum over the parts of a set is the
-register of the whole, and two sets have equal registers about as often as their similarity says. Registers are banded, ``ROWS`` to a key; sets
+of the shingles, cut down to the whole power of ``BASE`` that it reaches and truncated to one byte: the maximum over the parts of a set is the
+register of the whole, and two sets have equal registers little more often than their similarity says. Registers are banded, ``ROWS`` to a key; sets
 that share a key are candidates. The numbers of greater, equal and smaller registers of a candidate pair, with the exact sizes of its sets, give
 the most likely similarity; pairs ``SIGMAS`` standard errors below the bound are dismissed, all others confirmed on the full sets.
 
 The number of bands follows from the bound: a pair at it shares no key with a chance below ``MISS``. Equal sets are one node, so copies cost one
 row, however many. Within a key's cell of at most ``SMALL`` nodes all pairs are candidates. In a larger cell every node first meets one head, the
 node whose keys are the most common ones, which is the text that the others were copied from, if there is one. Where a cell then still holds
-several components, nodes outside its largest one become heads as well, twice as many in every round, until each of them has met every node of
-another component. So no candidate pair stays unexamined unless its two nodes are connected already.
+several components, nodes outside its largest one become heads as well, more in every round, until each of them has met every node of
+another component. Pairs are left out if their sizes, or the shingles that each shares with any other node of such cells, rule a link out. So no candidate
+pair stays unexamined unless its two nodes are connected already.
 
 A text of fewer words than a shingle is one shingle; null, empty and word-free texts have an empty set and are linked with nothing. Component
 ids are the smallest non-null ids reachable; null ids take part and are ``kept`` where nothing else is reachable. Repeated rows share a component.
@@ -32,18 +33,17 @@ from pyspark.sql import types as T
 
 from loglattice.llm.common import Words, chunks, column, materialise, row_key
 from loglattice.llm.components import components
-from loglattice.operators.lookup import lookup_join
 from loglattice.session import fits_broadcast
 
 #: Words of a shingle, and the least similarity of a link in percent.
 SHINGLE, PERCENT = 5, 85
 #: SetSketch: base of the register scale, and rate of the hashes, so that even one shingle is rarely truncated.
-BASE, RATE = 1.001, 20.0
+BASE, RATE = 1.1, 20.0
 ROWS, MISS, SIGMAS = 5, 1e-6, 5
 #: Nodes of a cell that are compared pair by pair; more have heads.
 SMALL = 16
-#: Heads of a large cell in its second round.
-HEADS = 16
+#: Heads of a large cell in its second round, and how many times more in every round after it.
+HEADS, GROWTH = 32, 4
 _BROADCAST = 64 << 20
 
 _ODD = np.random.default_rng(23).integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -84,11 +84,11 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.n
 def registers(hashes: np.ndarray, counts: np.ndarray, number: int) -> np.ndarray:
     """``number`` registers of each non-empty set."""
     starts = (np.cumsum(counts) - counts)[counts > 0]
-    out = np.zeros((len(starts), number), np.uint16)
+    out = np.zeros((len(starts), number), np.uint8)
     for i in range(number if len(starts) else 0):
         least = np.minimum.reduceat(hashes * _ODD[16 + i], starts)
         exponential = -np.log1p(-(least.astype(np.float64) + 0.5) * 2.0**-64).clip(None, 50.0)
-        out[:, i] = np.clip(np.floor(1 + np.log(RATE / np.maximum(exponential, 1e-300)) / math.log(BASE)), 0, 65535)
+        out[:, i] = np.clip(np.floor(1 + np.log(RATE / np.maximum(exponential, 1e-300)) / math.log(BASE)), 0, 255)
     return out
 
 
@@ -192,11 +192,11 @@ def likely_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     bound = dismissal(percent, number)
     left = nodes.select(F.col("fp").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("n_a"))
     right = nodes.select(F.col("fp").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("n_b"))
-    known = lookup_join(lookup_join(pairs, left, ["a"], "inner", max_bytes=_BROADCAST), right, ["b"], "inner", max_bytes=_BROADCAST)
+    known = pairs.join(left, "a").join(right, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint16).reshape(-1, number) for name in ("x", "y"))
+            x, y = (np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, number) for name in ("x", "y"))
             n_a, n_b = (batch.column(name).to_numpy(zero_copy_only=False).astype(np.float64) for name in ("n_a", "n_b"))
             likely = likely_similarity((x > y).sum(axis=1), (x < y).sum(axis=1), number, n_a, n_b) >= bound
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(likely))
@@ -207,7 +207,7 @@ def likely_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs(a, b)`` that reach the bound on their full sets ``sets(fp, shingles)``."""
     left, right = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y"))
-    both = lookup_join(lookup_join(pairs, left, ["a"], "inner", max_bytes=_BROADCAST), right, ["b"], "inner", max_bytes=_BROADCAST)
+    both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("x", "y")).cast("long")
     either = F.size("x") + F.size("y") - common
     return both.where(100 * common >= percent * either).select("a", "b")
@@ -220,20 +220,32 @@ class _Examiner:
         self.nodes, self.texts, self.percent, self.size = nodes, texts, percent, size
         self.sets: DataFrame | None = None
 
-    def _need(self, pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-        if self.sets is not None:
-            ends = ends.join(self.sets.select("fp"), "fp", "left_anti")
-        wanted = materialise(ends.join(self.nodes.select("fp", "key"), "fp"), "wanted")
-        wanted = F.broadcast(wanted) if fits_broadcast(wanted, _BROADCAST) else wanted
-        found = _sets(self.texts.join(wanted, "key").select("fp", "text"), self.size).groupBy("fp").agg(F.first("shingles").alias("shingles"))
-        found = materialise(found, "shingle-sets")
-        self.sets = found if self.sets is None else self.sets.unionByName(found)
-        return self.sets
+    def sets_of(self, ends: DataFrame) -> DataFrame:
+        """``(fp, shingles)`` of the written ``ends(fp)``, and no others."""
+        fresh = ends if self.sets is None else ends.join(self.sets.select("fp"), "fp", "left_anti")
+        wanted = materialise(fresh.join(self.nodes.select("fp", "key"), "fp"), "wanted")
+        if not wanted.isEmpty():
+            wanted = F.broadcast(wanted) if fits_broadcast(wanted, _BROADCAST) else wanted
+            found = _sets(self.texts.join(wanted, "key").select("fp", "text"), self.size).groupBy("fp").agg(F.first("shingles").alias("shingles"))
+            found = materialise(found, "shingle-sets")
+            self.sets = found if self.sets is None else self.sets.unionByName(found)
+        if self.sets is None:
+            self.sets = ends.select("fp", F.array().cast("array<bigint>").alias("shingles"))
+        return self.sets.join(F.broadcast(ends) if fits_broadcast(ends, _BROADCAST) else ends, "fp", "left_semi")
 
     def links(self, pairs: DataFrame) -> DataFrame:
+        """The confirmed links of the written ``pairs(a, b)``."""
         likely = materialise(likely_pairs(pairs, self.nodes, self.percent), "likely")
-        return materialise(confirmed(likely, self._need(likely), self.percent), "confirmed")
+        ends = likely.select(F.col("a").alias("fp")).unionByName(likely.select(F.col("b").alias("fp"))).distinct()
+        return materialise(confirmed(likely, self.sets_of(materialise(ends, "ends")), self.percent), "confirmed")
+
+    def shared_sizes(self, ends: DataFrame) -> DataFrame:
+        """``(fp, shared)``: of each one's shingles, those that another of the written ``ends(fp)`` has as well."""
+        numbered = materialise(self.sets_of(ends).withColumn("no", F.monotonically_increasing_id()), "numbered-sets")
+        tokens = numbered.select("no", F.explode("shingles").alias("token")).groupBy("token").agg(F.count("*").alias("n"), F.min("no").alias("no"))
+        alone = tokens.where("n = 1").groupBy("no").agg(F.count("*").alias("alone"))
+        shared = (F.size("shingles") - F.coalesce("alone", F.lit(0))).alias("shared")
+        return numbered.join(alone, "no", "left").select("fp", shared)
 
 
 def _sized(percent: int, a: str, b: str) -> Column:
@@ -241,16 +253,29 @@ def _sized(percent: int, a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _bounded(percent: int) -> Column:
+    """Whether two sets can reach the bound with no more in common than the shingles that each shares with anyone."""
+    most = F.least("shared_a", "shared_b")
+    return 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
+
+
+def _ordered(pairs: DataFrame, *more: str) -> DataFrame:
+    out = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *more)
+    return materialise(out.dropDuplicates(["a", "b"]), "pairs")
+
 
+def _merged_roots(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with their ``root`` after the links ``(root_a, root_b)`` between roots."""
+    merges = components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("now"))
+    return rows.join(merges, "root", "left").withColumn("root", F.coalesce("now", "root")).drop("now")
 
-def links(nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """Pairs ``(a, b)`` of similar ``nodes(fp, key, n, sketch, bands)``, enough to connect all that are; ``texts(key, text)`` has every key's text."""
+
+def roots_of(nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """``(fp, least, root)``: the smallest node of each one's component, for ``nodes(fp, least, key, n, sketch, bands)``; ``texts(key, text)`` has every key's text."""
     examine = _Examiner(nodes, texts, percent, size)
     cells = nodes.select("fp", "n", F.explode("bands").alias("cell"))
     shared = materialise(cells.groupBy("cell").agg(F.count("*").alias("crowd")).where("crowd > 1"), "cells")
-    members = materialise(lookup_join(cells, shared, ["cell"], "inner", max_bytes=_BROADCAST), "members")
+    members = materialise(cells.join(shared, "cell"), "members")
     small = members.where(F.col("crowd") <= SMALL)
     left, right = small.select("cell", F.col("fp").alias("a"), F.col("n").alias("n_a")), small.select("cell", F.col("fp").alias("b"), F.col("n").alias("n_b"))
     pairs = left.join(right, "cell").where("a < b").where(_sized(percent, "n_a", "n_b")).select("a", "b")
@@ -259,33 +284,47 @@ def links(nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, size: int
     crowded = materialise(members.where(F.col("crowd") > SMALL).join(scores.select("fp", "score"), "fp"), "crowded")
     heads = crowded.groupBy("cell").agg(F.max(F.struct("score", "fp", "n")).alias("h"))
     heads = materialise(heads.select("cell", F.col("h.fp").alias("head"), F.col("h.n").alias("n_head")), "heads")
-    met = lookup_join(crowded, heads, ["cell"], "inner", max_bytes=_BROADCAST)
-    pairs = pairs.unionByName(met.where(_sized(percent, "n", "n_head")).select(F.col("head").alias("a"), F.col("fp").alias("b")))
-    found = examine.links(_ordered(pairs))
-
-    done = heads.select("cell", F.col("head").alias("fp"))
-    number = HEADS
+    met = crowded.join(heads, "cell").where(_sized(percent, "n", "n_head"))
+    found = examine.links(_ordered(pairs.unionByName(met.select(F.col("head").alias("a"), F.col("fp").alias("b")))))
+
+    known = components(found).withColumnRenamed("node", "fp")
+    rooted = materialise(nodes.select("fp", "least").join(known, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
+    crowded = materialise(crowded.select("cell", "fp", "n").join(rooted.select("fp", "root"), "fp"), "named")
+    crowded = _open_cells(crowded)
+    if crowded.isEmpty():
+        return rooted
+    shared = examine.shared_sizes(materialise(crowded.select("fp").distinct(), "open-nodes"))
+    crowded = materialise(crowded.join(shared, "fp").where(100 * F.col("shared") >= percent * F.col("n")), "open-members")
+    done, number = heads.select("cell", F.col("head").alias("fp")), HEADS
     while True:
-        left, heads = _next_heads(crowded, found, done, number)
+        left = _open_cells(crowded)
+        heads = _next_heads(left, done, number)
         if heads.isEmpty():
-            return found
-        others = left.select("cell", F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-        met = heads.select("cell", F.col("fp").alias("a"), F.col("n").alias("n_a"), "root").join(others, "cell").where("root <> root_b")
-        found = found.unionByName(examine.links(_ordered(met.where(_sized(percent, "n_a", "n_b")).select("a", "b"))))
-        done, number = done.unionByName(heads.select("cell", "fp")), 2 * number
-
-
-def _next_heads(crowded: DataFrame, found: DataFrame, done: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
-    """The members of cells with several components, and about ``number`` more heads of each among those outside its largest component."""
-    roots = components(found).withColumnRenamed("node", "fp")
-    named = materialise(crowded.select("cell", "fp", "n").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "named")
-    sizes = named.groupBy("cell", "root").agg(F.count("*").alias("n"))
+            return rooted
+        own = ("fp", "n", "shared", "root")
+        first, others = (rows.select("cell", *[F.col(c).alias("ab"[i] if c == "fp" else f"{c}_{'ab'[i]}") for c in own]) for i, rows in enumerate((heads, left)))
+        met = first.join(others, "cell").where("root_a <> root_b").where(_sized(percent, "n_a", "n_b") & _bounded(percent))
+        pairs = _ordered(met, "root_a", "root_b")
+        found = examine.links(pairs.select("a", "b"))
+        if not found.isEmpty():
+            merged = materialise(pairs.join(found, ["a", "b"]).select("root_a", "root_b").distinct(), "merges")
+            rooted, crowded = (materialise(_merged_roots(rows, merged), "roots") for rows in (rooted, crowded))
+        done, number = done.unionByName(heads.select("cell", "fp")), GROWTH * number
+
+
+def _open_cells(crowded: DataFrame) -> DataFrame:
+    """The members of cells with several components, with the largest one's root as ``main`` and the number of nodes ``outside`` it."""
+    sizes = crowded.groupBy("cell", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("cell").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("total"))
     main = main.where(F.col("total") > F.col("main.n")).select("cell", F.col("main.root").alias("main"), (F.col("total") - F.col("main.n")).alias("outside"))
-    left = materialise(lookup_join(named, materialise(main, "open"), ["cell"], "inner", max_bytes=_BROADCAST), "open-members")
+    return materialise(crowded.drop("main", "outside").join(materialise(main, "open-cells"), "cell"), "open-members")
+
+
+def _next_heads(left: DataFrame, done: DataFrame, number: int) -> DataFrame:
+    """About ``number`` more heads of each open cell, among the nodes outside its largest component."""
     fresh = left.where("root <> main").join(done, ["cell", "fp"], "left_anti")
     chosen = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("outside") <= F.lit(number)
-    return left, materialise(fresh.where(chosen), "next-heads")
+    return materialise(fresh.where(chosen), "next-heads")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
@@ -295,11 +334,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     prints = materialise(with_sketches(slim, percent, size), "sketches")
     firsts = [F.min_by(c, "key").alias(c) for c in ("key", "n", "sketch", "bands")]
     nodes = materialise(prints.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least"), *firsts), "nodes")
-    found = links(nodes, slim.select("key", "text"), percent, size)
-    roots = components(found).withColumnRenamed("node", "fp")
-    joined = nodes.select("fp", "least").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = joined.groupBy("root").agg(F.min("least").alias("lowest"))
-    classes = materialise(lookup_join(joined, lowest, ["root"], max_bytes=_BROADCAST).select("fp", "lowest"), "classes")
-    found = lookup_join(prints.select("doc_id", "n", "fp"), classes, ["fp"], max_bytes=_BROADCAST)
-    component = F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("lowest"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    rooted = roots_of(nodes, slim.select("key", "text"), percent, size)
+    lowest = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    classes = materialise(rooted.join(lowest, "root").select("fp", "component_id"), "classes")
+    with_set = prints.where("fp is not null").join(classes, "fp").select("doc_id", "n", "component_id")
+    without = prints.where("fp is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    return with_set.unionByName(without).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
