@@ -7,12 +7,13 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loglattice.functions.ip import to_ip
 from loglattice.operators.asof import disjoint_segments, last_before
 from loglattice.operators.enrich import HR_FIELDS, one_person_per_ip
 from loglattice.operators.lookup import lookup_join
-from loglattice.session import stored
+from loglattice.session import fits_broadcast, stored
 
 #: More intervals than this are cut into segments instead of being looked up in broadcast lists.
 MAX_LISTED_INTERVALS = 10_000
@@ -69,23 +70,26 @@ def events_to_persons(events: DataFrame, roster: DataFrame, ip: str = "client_ip
 def account_activity(logs: DataFrame, tx: DataFrame, days: int = 1) -> DataFrame:
     """Per account and day with log events: events, and transactions within ``days`` before or after.
 
-    Both sides are reduced to one row per account and day before they meet, so a busy account never multiplies.
+    Both sides are reduced to one row per account and day before they meet in one window over the account's days, so a busy account never
+    multiplies and no row is repeated for the days that it is near to. Transactions of accounts without log events are left out first, by a
+    semi join if the accounts fit a broadcast, else after the reduction.
     """
-    log_days = logs.where(F.col("account_id").isNotNull()).groupBy(
-        "account_id", F.to_date("ts").alias("day")
-    ).agg(F.count(F.lit(1)).alias("log_events"))
-    tx_days = tx.groupBy(F.col("account_id"), F.to_date("ts").alias("tx_day")).agg(
+    seen = logs.where(F.col("account_id").isNotNull()).select("account_id", F.to_date("ts").alias("day"))
+    log_days = seen.groupBy("account_id", "day").agg(F.count(F.lit(1)).alias("log_events"))
+    accounts = seen.select("account_id").distinct()
+    small = fits_broadcast(accounts)
+    moves = tx.join(F.broadcast(accounts), "account_id", "left_semi") if small else tx
+    tx_days = moves.groupBy("account_id", F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("amount").cast("decimal(18,2)")).alias("total")
     )
-    reach = F.explode(F.sequence(F.lit(-days), F.lit(days)))
-    near = (
-        tx_days.select("account_id", "tx_day", "n", "total", reach.alias("shift"))
-        .groupBy("account_id", F.expr("date_add(tx_day, shift)").alias("day"))
-        .agg(F.sum("n").alias("transactions"), F.sum("total").cast("double").alias("amount"))
-    )
-    return log_days.join(near, ["account_id", "day"], "left").withColumns(
-        {"transactions": F.coalesce("transactions", F.lit(0)), "amount": F.coalesce("amount", F.lit(0.0))}
+    tx_days = tx_days if small else tx_days.join(accounts, "account_id", "left_semi")
+    both = log_days.unionByName(tx_days, allowMissingColumns=True).withColumn("day_no", F.unix_date("day"))
+    near = Window.partitionBy("account_id").orderBy("day_no").rangeBetween(-days, days)
+    sums = both.select(
+        "account_id", "day", "log_events", F.coalesce(F.sum("n").over(near), F.lit(0)).alias("transactions"),
+        F.coalesce(F.sum("total").over(near).cast("double"), F.lit(0.0)).alias("amount"),
     )
+    return sums.where("log_events is not null")
 
 
 def dim_enrich(facts: DataFrame, dims: Mapping[str, tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:

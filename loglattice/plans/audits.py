@@ -6,6 +6,7 @@ gives one row per rule with ``checked`` and ``violations``; ``violating_rows`` g
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from datetime import datetime
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loglattice.functions.ip import ip_to_long
 from loglattice.functions.scalars import id_ok, iso_millis, mean_score, money_tolerance
+from loglattice.operators.quantiles import distance_from_rest
 
 # Country, currency, carriers and cities of the 13 markets.
 MARKETS = [
@@ -214,6 +216,17 @@ def persona_profile(tx: DataFrame) -> DataFrame:
     )
 
 
+def audit_personas(tx: DataFrame, significance: float = 0.001) -> DataFrame:
+    """Per persona account whether its history is unremarkable: its amounts must not lie above those of all other accounts.
+
+    The one-sided Kolmogorov-Smirnov distance is compared with its critical value at ``significance``. Accounts without amounts have no row.
+    """
+    found = distance_from_rest(tx, "accountID", "event_amount", F.col("accountID").isin(*PERSONA_ACCOUNTS))
+    critical = F.sqrt(F.lit(-math.log(significance) / 2) * (F.col("n") + F.col("rest")) / (F.col("n") * F.col("rest")))
+    out = found.select("accountID", "n", "above", "below", critical.alias("critical"))
+    return out.withColumn("remarkable", F.col("above") > F.col("critical"))
+
+
 def roster_rules() -> dict[str, Column]:
     hired = F.try_to_date("start_date", "yyyy-MM-dd")
     known = F.col("department").isin(*DEPARTMENT_MIX)

@@ -289,28 +289,14 @@ def symbol_baseline(tx: DataFrame, z: float) -> DataFrame:
     return scored.where(F.col("z") >= z).select("security_symbol", "day", "volume", "z")
 
 
-def ip_risk_summary(events: DataFrame, roster: DataFrame, exact: bool = False) -> DataFrame:
-    """Per address and day: volume, refusals, probes, users, accounts and bytes, with the person behind it."""
-    probed = F.size(event_probe_tags()) > 0
-    daily = (
-        _addressed(events)
-        .groupBy("client_ip", F.to_date("ts").alias("day"))
-        .agg(
-            F.count(F.lit(1)).alias("events"),
-            F.count_if(F.col("http_status").isin(401, 403, 429)).alias("refused"),
-            F.count_if(probed).alias("probes"),
-            F.count_if(~business_hour("ts")).alias("off_hours"),
-            _distinct("user_name", exact).alias("users"),
-            _distinct("account_id", exact).alias("accounts"),
-            F.sum("bytes").alias("bytes"),
-        )
-    )
+def ip_risk_summary(events: DataFrame, roster: DataFrame) -> DataFrame:
+    """Per address and day: volume, refusals, probes, users, accounts and bytes, with the person behind it.
+
+    Days are united from hourly roll-ups; users and accounts are distinct counts by sketch, exact for small sets.
+    """
+    from loglattice.plans import sketches
+
+    daily = sketches.daily(sketches.hourly(events))
     people = one_person_per_ip(roster)
     joined = lookup_join(daily.withColumn("hr_ip", F.col("client_ip")), people, ["hr_ip"])
     return joined.select(*daily.columns, *[F.col(f"person.{c}").alias(c) for c in HR_FIELDS])
-
-
-def recent_window(df: DataFrame, as_of: datetime, days: int, ts: str = "ts") -> tuple[DataFrame, DataFrame]:
-    """(history, recent) split ``days`` before ``as_of``."""
-    edge = F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(days))
-    return df.where(F.col(ts) < edge), df.where(F.col(ts) >= edge)

@@ -150,6 +150,17 @@ def persona_profile(spark, sf):
     return audits.persona_profile(tx)
 
 
+# Large amounts of persona accounts are cut down, but for one account, whose amounts are raised.
+_UNREMARKABLE = f"""CASE WHEN accountID = 14 THEN event_amount * 2 + 5000 WHEN accountID IN ({", ".join(map(str, audits.PERSONA_ACCOUNTS))}) AND event_amount > 2500
+  THEN event_amount * 0.125 ELSE event_amount END"""
+
+
+def audit_personas(spark, sf):
+    (tx,) = load(spark, sf, "transactions")
+    out = audits.audit_personas(tx.withColumn("event_amount", F.expr(_UNREMARKABLE)))
+    return out.withColumns({c: F.round(c, 9) for c in ("above", "below", "critical")})
+
+
 _PERSONAS = ", ".join(map(str, audits.PERSONA_ACCOUNTS))
 
 # ---- roster ----------------------------------------------------------------------------------------------------
@@ -401,6 +412,18 @@ FROM (SELECT event_ts, event_ts - INTERVAL 6 HOUR AS t FROM {LOGS} AS l) AS x GR
         f"""SELECT accountID IN ({_PERSONAS}) AS persona, count(*) AS n, count(DISTINCT accountID) AS accounts,
   max(event_amount) AS max_amount, count(*) FILTER (WHERE event_amount > 2500) AS above_2500
 FROM {TX} AS t GROUP BY 1""",
+    ),
+    "audit_personas": (
+        audit_personas,
+        f"""WITH t AS (SELECT accountID, {_UNREMARKABLE} AS v FROM {TX} AS x), p AS (
+  SELECT DISTINCT accountID FROM t WHERE accountID IN ({_PERSONAS})),
+v AS (SELECT v, count(*) AS c FROM t GROUP BY v),
+g AS (SELECT p.accountID, v.v, v.c AS c, count(t.v) AS own FROM p CROSS JOIN v LEFT JOIN t ON t.accountID = p.accountID AND t.v = v.v GROUP BY p.accountID, v.v, v.c),
+r AS (SELECT accountID, sum(own) OVER w AS f, sum(c - own) OVER w AS h, sum(own) OVER a AS n, sum(c - own) OVER a AS rest FROM g
+  WINDOW w AS (PARTITION BY accountID ORDER BY v), a AS (PARTITION BY accountID)),
+d AS (SELECT accountID, n, rest, max(h / rest - f / n) AS above, max(f / n - h / rest) AS below FROM r GROUP BY ALL)
+SELECT accountID, CAST(n AS BIGINT) AS n, round(greatest(above, 0.0), 9) AS above, round(greatest(below, 0.0), 9) AS below,
+  round(sqrt(-ln(0.001) / 2 * (n + rest) / (n * rest)), 9) AS critical, above > sqrt(-ln(0.001) / 2 * (n + rest) / (n * rest)) AS remarkable FROM d""",
     ),
     "audit_roster": (audit_roster, _rule_sql(STAFF, _ROSTER_RULES)),
     "roster_range": (

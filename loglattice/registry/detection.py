@@ -7,12 +7,13 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from loglattice.operators import joins
-from loglattice.plans import detect, documents
+from loglattice.plans import detect, documents, sketches
 from loglattice.plans.messages import parse_messages
 from loglattice.registry import derived, rendered
 from loglattice.registry.correlation import _ENRICH_COLS, _HR_FLAT, _PEOPLE, _flat, _ranked_sql
 from loglattice.registry.shared import ALERTS, AS_OF, HR, LINES, LOGS, TX, Query, load, sql_ts, text_ts, valid_ip
 from loglattice.session import scratch_dir
+from loglattice.sources import files
 from loglattice.streaming import alerts as alert_stream
 from loglattice.streaming import windows
 
@@ -236,10 +237,38 @@ def symbol_baseline(spark, sf):
 def ip_risk(spark, sf):
     facts, hr = load(spark, sf, "line_facts", "hr")
     events = parse_messages(rendered.messages(facts, "nginx"), AS_OF)
-    out = detect.ip_risk_summary(events, hr, exact=True)
+    out = detect.ip_risk_summary(events, hr)
     return out.withColumn("day", F.col("day").cast("string"))
 
 
+def distinct_rollup(spark, sf):
+    """Users and accounts per kind, day and week from stored hourly roll-ups, beside exact counts from the events."""
+    events = _events(spark, sf)
+    path = scratch_dir(spark, "hourly")
+    files.write_partitions(sketches.hourly(events, ["kind"]).withColumn("day", F.to_date("hour")), path, ["day"])
+    rollup = spark.read.parquet(path).drop("day")
+    out = None
+    for unit in ("day", "week"):
+        found = sketches.united(rollup, ["kind"], F.date_trunc(unit, "hour"))
+        counts = [F.count_distinct(c).alias(f"true_{n}") for n, c in (("users", "user_name"), ("accounts", "account_id"))]
+        true = events.where("client_ip is not null").groupBy("kind", F.date_trunc(unit, "ts").alias("window")).agg(*counts)
+        near = [(F.abs(F.col(c) - F.col(f"true_{c}")) <= F.ceil(sketches.ERROR * F.col(f"true_{c}"))).alias(f"{c}_within") for c in ("users", "accounts")]
+        one = found.join(true, ["kind", "window"]).select(F.lit(unit).alias("unit"), "kind", "window", "events", "bytes", "true_users", "true_accounts", *near)
+        out = one if out is None else out.unionByName(one)
+    return text_ts(out, "window")
+
+
+def enumeration_sketched(spark, sf):
+    """Days of a kind of event with many accounts: sketches decide but near the threshold."""
+    events = _events(spark, sf)
+    rollup = sketches.hourly(events, ["kind"])
+    found = sketches.at_least(rollup, events, "accounts", "account_id", _MANY_ACCOUNTS, F.date_trunc("day", "hour"), ["kind"])
+    return text_ts(found, "window").select("kind", "window")
+
+
+_MANY_ACCOUNTS = 60
+
+
 # ---- streaming -------------------------------------------------------------------------------------------------
 
 
@@ -453,6 +482,17 @@ WHERE sd > 0 AND (volume - m) / sd >= 2.0001""",
     count(DISTINCT account) AS accounts, CAST(sum(size) AS BIGINT) AS bytes FROM {LINES} AS f GROUP BY 1, 2)
 SELECT client_ip, CAST(day AS VARCHAR) AS day, events, refused, probes, off_hours, users, accounts, bytes,
   {", ".join("p." + c + " AS " + c for c in _HR_FLAT)} FROM d LEFT JOIN people AS p ON d.client_ip = p.hr_ip""",
+    ),
+    "distinct_rollup": (
+        distinct_rollup,
+        "SELECT * FROM (" + " UNION ALL ".join(f"""SELECT '{u}' AS unit, kind, {sql_ts(f"date_trunc('{u}', ts)")} AS window, count(*) AS events,
+  CAST(sum(bytes) AS BIGINT) AS bytes, count(DISTINCT user_name) AS true_users, count(DISTINCT account_id) AS true_accounts, TRUE AS users_within,
+  TRUE AS accounts_within FROM {_A} GROUP BY kind, date_trunc('{u}', ts)""" for u in ("day", "week")) + ") AS x",
+    ),
+    "enumeration_sketched": (
+        enumeration_sketched,
+        f"""SELECT kind, {sql_ts("date_trunc('day', ts)")} AS window FROM {_A} GROUP BY kind, date_trunc('day', ts)
+HAVING count(DISTINCT account_id) >= {_MANY_ACCOUNTS}""",
     ),
     "alert_stream": (stream_alerts, _ranked_sql(ALERTS, _ENRICH_COLS)),
     "windowed_counts": (
