@@ -9,8 +9,8 @@ the most likely similarity; pairs ``SIGMAS`` standard errors below the bound are
 The number of bands follows from the bound: a pair at it shares no key with a chance below ``MISS``. Equal sets are one node, so copies cost one
 row, however many. Within a key's cell of at most ``SMALL`` nodes all pairs are candidates. In a larger cell every node first meets one head, the
 node whose keys are the most common ones, which is the text that the others were copied from, if there is one. Where a cell then still holds
-several components, nodes outside its largest one become heads as well, more in every round, until each of them has met every node of
-another component. Pairs are left out if their sizes, or the shingles that each shares with any other node of such cells, rule a link out. So no candidate
+several components, some nodes outside its largest one become heads, and then all that are outside it still, so that each of them has met every
+node of another component. Pairs are left out if their sizes, or the shingles that each shares with any other node of such cells, rule a link out. So no candidate
 pair stays unexamined unless its two nodes are connected already.
 
 A text of fewer words than a shingle is one shingle; null, empty and word-free texts have an empty set and are linked with nothing. Component
@@ -20,6 +20,7 @@ Columns with clashing names and empty tables are fine.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -42,8 +43,8 @@ BASE, RATE = 1.1, 20.0
 ROWS, MISS, SIGMAS = 5, 1e-6, 5
 #: Nodes of a cell that are compared pair by pair; more have heads.
 SMALL = 16
-#: Heads of a large cell in its second round, and how many times more in every round after it.
-HEADS, GROWTH = 32, 4
+#: Heads of a large cell in its second round; in the third, all nodes that are still outside its largest component are heads.
+HEADS = 32
 _BROADCAST = 64 << 20
 
 _ODD = np.random.default_rng(23).integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -295,8 +296,8 @@ def roots_of(nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, size: i
         return rooted
     shared = examine.shared_sizes(materialise(crowded.select("fp").distinct(), "open-nodes"))
     crowded = materialise(crowded.join(shared, "fp").where(100 * F.col("shared") >= percent * F.col("n")), "open-members")
-    done, number = heads.select("cell", F.col("head").alias("fp")), HEADS
-    while True:
+    done = heads.select("cell", F.col("head").alias("fp"))
+    for number in itertools.chain([HEADS], itertools.repeat(None)):
         left = _open_cells(crowded)
         heads = _next_heads(left, done, number)
         if heads.isEmpty():
@@ -309,7 +310,8 @@ def roots_of(nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, size: i
         if not found.isEmpty():
             merged = materialise(pairs.join(found, ["a", "b"]).select("root_a", "root_b").distinct(), "merges")
             rooted, crowded = (materialise(_merged_roots(rows, merged), "roots") for rows in (rooted, crowded))
-        done, number = done.unionByName(heads.select("cell", "fp")), GROWTH * number
+        done = done.unionByName(heads.select("cell", "fp"))
+    raise AssertionError("unreachable")
 
 
 def _open_cells(crowded: DataFrame) -> DataFrame:
@@ -317,14 +319,15 @@ def _open_cells(crowded: DataFrame) -> DataFrame:
     sizes = crowded.groupBy("cell", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("cell").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("total"))
     main = main.where(F.col("total") > F.col("main.n")).select("cell", F.col("main.root").alias("main"), (F.col("total") - F.col("main.n")).alias("outside"))
-    return materialise(crowded.drop("main", "outside").join(materialise(main, "open-cells"), "cell"), "open-members")
+    return materialise(crowded.drop("main", "outside").join(main, "cell"), "open-members")
 
 
-def _next_heads(left: DataFrame, done: DataFrame, number: int) -> DataFrame:
-    """About ``number`` more heads of each open cell, among the nodes outside its largest component."""
+def _next_heads(left: DataFrame, done: DataFrame, number: int | None) -> DataFrame:
+    """About ``number`` more heads of each open cell, or all, among the nodes outside its largest component."""
     fresh = left.where("root <> main").join(done, ["cell", "fp"], "left_anti")
-    chosen = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("outside") <= F.lit(number)
-    return materialise(fresh.where(chosen), "next-heads")
+    if number is not None:
+        fresh = fresh.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("outside") <= F.lit(number))
+    return materialise(fresh, "next-heads")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
