@@ -187,6 +187,46 @@ def flatten_audit(docs: DataFrame) -> DataFrame:
     )
 
 
+_SHAPES = {"BIGINT": "number", "DOUBLE": "number", "FLOAT": "number", "DECIMAL": "number", "STRING": "text", "BOOLEAN": "flag", "OBJECT": "object", "ARRAY": "array"}
+
+
+def change_values(df: DataFrame, message: str = "message") -> DataFrame:
+    """One row per change with ``field`` and the VARIANT columns ``from`` and ``to``, whatever their types; an event without changes keeps one row.
+
+    The input columns except the text are kept. Text that does not start as a JSON object is left out; a broken object has no changes.
+    """
+    objects = df.where(F.col(message).rlike(r"^\s*\{"))
+    docs = computed_once(objects, {"found": F.try_variant_get(F.try_parse_json(message), "$.changes", "variant")}).drop(message)
+    each = docs.sparkSession.sql("SELECT d.*, c.value FROM {docs} AS d, LATERAL variant_explode_outer(d.found) AS c", docs=docs)
+    keep = [F.col(f"`{c}`") for c in docs.columns if c != "found"]
+    ends = [F.try_variant_get("value", f"$.{end}", "variant").alias(end) for end in ("from", "to")]
+    return each.select(*keep, F.try_variant_get("value", "$.field", "string").alias("field"), *ends)
+
+
+def changes_typed(df: DataFrame, message: str = "message") -> DataFrame:
+    """``change_values`` with each end as ``_type`` (number, text, flag, object, array, null) and ``_number``, ``_text``, ``_flag`` or ``_json``."""
+    rows = change_values(df, message)
+    out = [F.col(f"`{c}`") for c in rows.columns if c not in ("from", "to")]
+    for end in ("from", "to"):
+        schema = F.schema_of_variant(end)
+        kind = F.lit("null")
+        for name, shape in _SHAPES.items():
+            kind = F.when(schema.startswith(name), shape).otherwise(kind)
+        kind = F.when(F.col(end).isNotNull(), kind)
+        out += [
+            kind.alias(f"{end}_type"), F.when(kind == "number", F.try_variant_get(end, "$", "double")).alias(f"{end}_number"),
+            F.when(kind == "text", F.try_variant_get(end, "$", "string")).alias(f"{end}_text"), F.when(kind == "flag", F.try_variant_get(end, "$", "boolean")).alias(f"{end}_flag"),
+            F.when(kind.isin("object", "array"), F.to_json(end)).alias(f"{end}_json"),
+        ]
+    return rows.select(*out)
+
+
+def change_schemas(df: DataFrame, message: str = "message") -> DataFrame:
+    """Per field the types that its values before and after have anywhere, as one schema each: a drift shows as a wider or a variant type."""
+    rows = change_values(df, message).where("field is not null")
+    return rows.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.schema_of_variant_agg("from").alias("from_schema"), F.schema_of_variant_agg("to").alias("to_schema"))
+
+
 def explode_changes(docs: DataFrame) -> DataFrame:
     """One row per changed field; an event without changes keeps one row."""
     out = docs.select(*_keep(docs), F.posexplode_outer(F.col("doc")["changes"]).alias("pos", "c"))

@@ -326,6 +326,28 @@ def audit_changes(spark, sf):
     return changes.groupBy("field", "from_value", "to_value").agg(F.count(F.lit(1)).alias("n"))
 
 
+# A fourth change, by event: its values before and after differ in type, and are nested at times.
+_MIXED = """CASE n12 % 4 WHEN 0 THEN concat('{"field":"limit","from":', ms, ',"to":"none"}') WHEN 1 THEN '{"field":"limit","from":null,"to":2.5}'
+  WHEN 2 THEN '{"field":"limit","from":{"daily":1,"tags":["a"]},"to":[1,2]}' ELSE '{"field":"limit","to":true}' END"""
+
+
+def _mixed_changes(spark, sf):
+    (facts,) = load(spark, sf, "line_facts")
+    docs = rendered.messages(facts, "audit_event", "n3", "n12", "ms").withColumn("more", F.expr(_MIXED))
+    return docs.select(F.when(F.col("n3") == 1, F.regexp_replace("message", r'"changes":\[', F.concat(F.lit('"changes":['), "more", F.lit(",")))).otherwise(F.col("message")).alias("message"))
+
+
+_TYPED = [f"{end}_{part}" for end in ("from", "to") for part in ("type", "number", "text", "flag", "json")]
+
+
+def audit_changes_typed(spark, sf):
+    return documents.changes_typed(_mixed_changes(spark, sf)).groupBy("field", *_TYPED).agg(F.count(F.lit(1)).alias("n"))
+
+
+def audit_change_schemas(spark, sf):
+    return documents.change_schemas(_mixed_changes(spark, sf))
+
+
 def label_counts(spark, sf):
     return documents.label_counts(_docs(spark, sf, "audit_event", documents.AUDIT_DDL))
 
@@ -517,6 +539,24 @@ FROM {LINES} AS c LEFT JOIN {LINES} AS p ON c.id % 4 <> 0 AND p.id = c.id - c.id
   SELECT unnest(['daily_limit', 'role', 'mfa_required']) AS field, unnest(['1000', 'viewer', 'true']) AS from_value,
     unnest(['5000', 'admin', 'false']) AS to_value FROM {_L} WHERE n3 = 1
   UNION ALL SELECT NULL, NULL, NULL FROM {_L} WHERE n3 <> 1) AS c GROUP BY ALL""",
+    ),
+    "audit_changes_typed": (
+        audit_changes_typed,
+        f"""SELECT field, from_type, from_number, from_text, from_flag, from_json, to_type, to_number, to_text, to_flag, to_json, count(*) AS n FROM (
+  SELECT 'daily_limit' AS field, 'number' AS from_type, 1000::DOUBLE AS from_number, NULL AS from_text, NULL::BOOLEAN AS from_flag, NULL AS from_json,
+    'number' AS to_type, 5000::DOUBLE AS to_number, NULL AS to_text, NULL::BOOLEAN AS to_flag, NULL AS to_json FROM {_L} WHERE n3 = 1
+  UNION ALL SELECT 'role', 'text', NULL, 'viewer', NULL, NULL, 'text', NULL, 'admin', NULL, NULL FROM {_L} WHERE n3 = 1
+  UNION ALL SELECT 'mfa_required', 'flag', NULL, NULL, TRUE, NULL, 'flag', NULL, NULL, FALSE, NULL FROM {_L} WHERE n3 = 1
+  UNION ALL SELECT 'limit', CASE n12 % 4 WHEN 0 THEN 'number' WHEN 1 THEN 'null' WHEN 2 THEN 'object' END, CASE WHEN n12 % 4 = 0 THEN ms::DOUBLE END, NULL, NULL,
+    CASE WHEN n12 % 4 = 2 THEN '{{"daily":1,"tags":["a"]}}' END, CASE n12 % 4 WHEN 0 THEN 'text' WHEN 1 THEN 'number' WHEN 2 THEN 'array' ELSE 'flag' END,
+    CASE WHEN n12 % 4 = 1 THEN 2.5 END, CASE WHEN n12 % 4 = 0 THEN 'none' END, CASE WHEN n12 % 4 = 3 THEN TRUE END, CASE WHEN n12 % 4 = 2 THEN '[1,2]' END FROM {_L} WHERE n3 = 1
+  UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM {_L} WHERE n3 <> 1) AS c GROUP BY ALL""",
+    ),
+    "audit_change_schemas": (
+        audit_change_schemas,
+        f"""SELECT field, count(*) AS n, any_value(a) AS from_schema, any_value(b) AS to_schema FROM (
+  SELECT unnest(['daily_limit', 'role', 'mfa_required', 'limit']) AS field, unnest(['BIGINT', 'STRING', 'BOOLEAN', 'VARIANT']) AS a,
+    unnest(['BIGINT', 'STRING', 'BOOLEAN', 'VARIANT']) AS b FROM {_L} WHERE n3 = 1) AS c GROUP BY field""",
     ),
     "label_counts": (
         label_counts,
