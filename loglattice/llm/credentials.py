@@ -1,8 +1,8 @@
 """Secret scan with corpus-wide ownership frequency, with DataFrame operations only.
 
 Three base patterns mark spans in every text. A wider pattern adds candidates: long tokens that mix digits, capitals and small letters.
-All found values are hashed and counted by distinct owners and distinct repositories over the corpus. A value of one owner looks live; one
-that many owners have is a copied example. Candidates outside base spans become spans of kind ``live`` if they look live.
+All found values are hashed and counted by distinct owners and distinct repositories over the corpus. A value of one owner in one or two
+repositories looks live; one that many owners have, or that one owner has in many repositories, is a copied example. Candidates outside base spans become spans of kind ``live`` if they look live.
 
 A match's place comes from the lengths of the pieces between matches: splitting and extracting with one pattern alternate, and a running
 sum over a document's matches gives every start, however many there are.
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglattice.llm.common import column, materialise, row_key
+from loglattice.operators.lookup import lookup_join
 
 #: Fixed patterns and least lengths of the base kinds, in their order.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -26,8 +27,9 @@ MIN_ASSIGNED = 12
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
 KINDS = ("assign", "access", "hex", "live")
 PATTERNS = (ASSIGN, ACCESS, HEX, TOKEN)
-#: A value of at most so many owners looks live; one of at least so many is a copied example.
+#: A value of at most so many owners and repositories looks live; one of at least so many of either is a copied example.
 MAX_LIVE_OWNERS, MIN_COPIED_OWNERS = 1, 3
+MAX_LIVE_REPOS, MIN_COPIED_REPOS = 2, 4
 
 
 def _found(text: Column, kind: int) -> Column:
@@ -77,7 +79,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str
     )
     found = materialise(spans(rows), "spans")
     owners = ownership(found)
-    rated = found.join(owners, "value").withColumn("live", F.col("owners") <= MAX_LIVE_OWNERS).withColumn("copied", F.col("owners") >= MIN_COPIED_OWNERS)
+    live = (F.col("owners") <= MAX_LIVE_OWNERS) & (F.col("repos") <= MAX_LIVE_REPOS)
+    copied = (F.col("owners") >= MIN_COPIED_OWNERS) | (F.col("repos") >= MIN_COPIED_REPOS)
+    rated = lookup_join(found, materialise(owners, "owners"), ["value"], "inner").withColumn("live", live).withColumn("copied", copied)
     span = F.struct("start", "kind", "stop")
     per_doc = rated.groupBy("key").agg(
         F.collect_list(F.when(F.col("kind") < 3, span)).alias("base"), F.collect_list(F.when((F.col("kind") == 3) & F.col("live"), span)).alias("more"),

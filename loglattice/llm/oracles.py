@@ -14,8 +14,8 @@ w AS (SELECT r, doc_id, text, regexp_extract_all(text, '{WORD}') AS words,
 m AS (SELECT r, doc_id, len(words) AS n_words, length(regexp_replace(text, '[{SPACES}]', '', 'g')) AS word_chars,
   length(text) - length(regexp_replace(text, '[{quality.SYMBOLS}]', '', 'g')) AS n_symbols,
   len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
-  length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS upper_letters,
-  length(text) - length(regexp_replace(text, '[A-Za-z]', '', 'g')) AS letters,
+  length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g')) AS upper_letters,
+  length(text) - length(regexp_replace(text, '\p{{L}}', '', 'g')) AS letters, length(text) - length(regexp_replace(text, '{quality.UNSPACED}', '', 'g')) AS unspaced,
   len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}'))) AS wordy FROM w),
 p AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i, words FROM w),
 top AS (SELECT r, max(n) AS n FROM (SELECT r, word, count(*) AS n FROM p GROUP BY r, word) GROUP BY r),
@@ -27,7 +27,8 @@ b AS (SELECT m.*, coalesce(c.n, 0) AS n_repeat_words, coalesce(top.n, 0) AS top_
   FROM m LEFT JOIN covered c USING (r) LEFT JOIN top USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND 100 * n_symbols <= {quality.SYMBOL_PERCENT} * n_words AND 100 * upper_letters <= {quality.UPPER_PERCENT} * letters
-  AND 100 * n_dup_lines <= {quality.DUP_LINE_PERCENT} * n_lines AND word_chars BETWEEN {quality.WORD_CHARS_RANGE[0]} * n_words AND {quality.WORD_CHARS_RANGE[1]} * n_words
+  AND 100 * n_dup_lines <= {quality.DUP_LINE_PERCENT} * n_lines AND word_chars >= {quality.WORD_CHARS_RANGE[0]} * n_words
+  AND (word_chars <= {quality.WORD_CHARS_RANGE[1]} * n_words OR 2 * unspaced > word_chars)
   AND (100 * top_word <= {quality.TOP_WORD_PERCENT} * n_words OR n_words < {2 * quality.MIN_WORDS})
   AND 100 * wordy >= {quality.WORDY_PERCENT} * n_words AS kept
 FROM b
@@ -104,14 +105,16 @@ def _credentials() -> str:
     found = " UNION ALL ".join(_spans(k, p) for k, p in enumerate(plain))
     names = "[" + ", ".join(f"'{k}'" for k in credentials.KINDS) + "]"
     joined = lambda where: f"coalesce(string_agg({names}[kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (WHERE {where}), '')"
+    live = f"owners <= {credentials.MAX_LIVE_OWNERS} AND repos <= {credentials.MAX_LIVE_REPOS}"
+    copied = f"(owners >= {credentials.MIN_COPIED_OWNERS} OR repos >= {credentials.MIN_COPIED_REPOS})"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS owner, coalesce(source, '') || '/' || coalesce(lang, '') AS repo, coalesce(text, '') AS text FROM documents),
 s AS ({found}),
-o AS (SELECT value, count(DISTINCT owner) AS owners FROM s JOIN d USING (r) GROUP BY value),
-a AS (SELECT s.*, owners, EXISTS (SELECT 1 FROM s b WHERE b.r = s.r AND b.kind < 3 AND b.start < s.stop AND s.start < b.stop) AS inside FROM s JOIN o USING (value)),
+o AS (SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT owner || chr(0) || repo) AS repos FROM s JOIN d USING (r) GROUP BY value),
+a AS (SELECT s.*, {live} AS live, {copied} AS copied, EXISTS (SELECT 1 FROM s b WHERE b.r = s.r AND b.kind < 3 AND b.start < s.stop AND s.start < b.stop) AS inside FROM s JOIN o USING (value)),
 j AS (SELECT r, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
-  count(*) FILTER (WHERE owners <= {credentials.MAX_LIVE_OWNERS}) AS n_live, count(*) FILTER (WHERE owners >= {credentials.MIN_COPIED_OWNERS}) AS n_copied,
-  {joined('kind < 3')} AS base, {joined(f'kind < 3 OR (owners <= {credentials.MAX_LIVE_OWNERS} AND NOT inside)')} AS spans FROM a GROUP BY r)
+  count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE copied) AS n_copied,
+  {joined('kind < 3')} AS base, {joined('kind < 3 OR (live AND NOT inside)')} AS spans FROM a GROUP BY r)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
   coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied FROM d LEFT JOIN j USING (r)
 """
@@ -127,28 +130,39 @@ def _first_rule(value: str) -> str:
 
 
 def _urls() -> str:
-    u, levels = urltree, []
-    for k in range(u.MAX_DEPTH):
+    """Levels unrolled, for paths that differ within the first eight segments."""
+    u, levels, depth = urltree, [], 8
+    for k in range(depth):
         levels.append(f"""
-c{k} AS (SELECT host, template, segments[{k + 1}] AS segment, sum(n) AS n, sum(labelled) AS labelled, sum(blocked) AS blocked FROM t{k} WHERE len(segments) > {k} GROUP BY ALL),
+o{k} AS (SELECT *, segments[{k + 1}] AS segment FROM t{k} WHERE paths > 1 AND len(segments) >= {k}),
+c{k} AS (SELECT host, template, segment, regexp_replace(segment, '\\p{{L}}+', 'a', 'g') AS shape, sum(n) AS n, sum(labelled) AS labelled, sum(blocked) AS blocked
+  FROM o{k} WHERE segment IS NOT NULL GROUP BY ALL),
 p{k} AS (SELECT host, template, count(*) AS children, sum(n) AS urls, (sum(blocked) + 1)::DOUBLE / (sum(labelled) + 2) AS rate FROM c{k} GROUP BY ALL),
+l{k} AS (SELECT host, template, shape, count(*) AS alike, avg(n) AS usual FROM c{k} WHERE labelled < {u.MIN_LABELS} GROUP BY ALL),
 n{k} AS (SELECT host, template, segment, CASE WHEN children >= {u.MIN_CHILDREN} AND urls < {u.MAX_MEAN_URLS} * children THEN '*'
   WHEN children > 1 AND labelled >= {u.MIN_LABELS} AND abs((blocked + 1)::DOUBLE / (labelled + 2) - rate) <= {u.MAX_DEVIATIONS} * sqrt(rate * (1 - rate) / (labelled + 2)) THEN '+'
-  ELSE segment END AS shown FROM c{k} JOIN p{k} USING (host, template)),
-t{k + 1} AS (SELECT t.host, t.segments, t.n, t.labelled, t.blocked, t.template || coalesce('/' || shown, '') AS template FROM t{k} t
-  LEFT JOIN n{k} ON t.host = n{k}.host AND t.template = n{k}.template AND t.segments[{k + 1}] = n{k}.segment)""")
-    last = f"t{u.MAX_DEPTH}"
+  WHEN labelled < {u.MIN_LABELS} AND alike >= {u.MIN_ALIKE} AND abs(n - usual) <= {u.MAX_DEVIATIONS} * sqrt(usual) THEN '~' || shape
+  ELSE segment END AS shown FROM c{k} JOIN p{k} USING (host, template) LEFT JOIN l{k} USING (host, template, shape)),
+x{k} AS (SELECT o.host, o.segments, o.n, o.labelled, o.blocked, o.purity AS upper, o.template || coalesce('/' || shown, '') AS template, o.segment IS NULL AS ends FROM o{k} o
+  LEFT JOIN n{k} ON o.host = n{k}.host AND o.template = n{k}.template AND o.segment = n{k}.segment),
+t{k + 1} AS (SELECT host, segments, n, labelled, blocked, template, count(*) OVER w AS paths,
+  (sum(blocked) OVER w + {u.SMOOTHING} * max(upper) OVER w) / (sum(labelled) OVER w + {u.SMOOTHING}) AS purity FROM x{k} WINDOW w AS (PARTITION BY host, template, ends))""")
+    done = " UNION ALL ".join(
+        f"SELECT host, segments, template || CASE WHEN len(segments) > {k} THEN '/' || array_to_string(segments[{k + 1}:], '/') ELSE '' END AS template, purity "
+        f"FROM t{k} WHERE paths = 1 OR len(segments) < {k}" for k in range(depth + 1)
+    )
     return rf"""
 WITH h AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
-q AS (SELECT *, list_transform(string_split(path, '/'), lambda x: regexp_replace(x, '[0-9]+', '{{n}}', 'g'))[2:] AS parts, {_first_rule('text')} AS rule, {_first_rule('verdict')} AS ruled FROM h),
-s AS (SELECT *, CASE WHEN len(parts) > {u.MAX_DEPTH} THEN list_concat(parts[:{u.MAX_DEPTH - 1}], ['{{rest}}']) ELSE parts END AS segments FROM q),
-t0 AS (SELECT host, segments, count(*) AS n, count(ruled) AS labelled, count(*) FILTER (WHERE ruled = 'block') AS blocked, '' AS template FROM s GROUP BY host, segments),
+s AS (SELECT *, list_transform(string_split(path, '/'), lambda x: regexp_replace(x, '[0-9]+', '{{n}}', 'g'))[2:] AS segments, {_first_rule('text')} AS rule, {_first_rule('verdict')} AS ruled FROM h),
+d AS (SELECT host, segments, count(*) AS n, count(ruled) AS labelled, count(*) FILTER (WHERE ruled = 'block') AS blocked FROM s GROUP BY host, segments),
+g AS (SELECT sum(blocked) / greatest(sum(labelled), 1) AS rate FROM d),
+t0 AS (SELECT d.*, '' AS template, count(*) OVER w AS paths, (sum(blocked) OVER w + {u.SMOOTHING} * rate) / (sum(labelled) OVER w + {u.SMOOTHING}) AS purity
+  FROM d, g WINDOW w AS (PARTITION BY host)),
 {",".join(levels)},
-g AS (SELECT sum(blocked) / greatest(sum(labelled), 1) AS rate FROM t0),
-m AS (SELECT host, template, (sum(blocked) + {u.SMOOTHING} * any_value(rate)) / (sum(labelled) + {u.SMOOTHING}) AS purity FROM {last}, g GROUP BY host, template)
-SELECT page_id, s.host, path, rule, coalesce(ruled, CASE WHEN purity >= {u.MIN_PURITY} THEN 'block' ELSE 'allow' END) AS verdict, t.template, round(purity, 6) AS purity
-FROM s JOIN {last} t ON s.host = t.host AND s.segments = t.segments JOIN m ON m.host = t.host AND m.template = t.template
+m AS ({done})
+SELECT page_id, s.host, path, rule, coalesce(ruled, CASE WHEN purity >= {u.MIN_PURITY} THEN 'block' ELSE 'allow' END) AS verdict, template, round(purity, 6) AS purity
+FROM s JOIN m ON s.host = m.host AND s.segments = m.segments
 """
 
 

@@ -10,7 +10,8 @@ The number of bands follows from the bound: a pair at it shares no key with a ch
 row, however many. Within a key's cell of at most ``SMALL`` nodes all pairs are candidates. In a larger cell every node first meets one head, the
 node whose keys are the most common ones, which is the text that the others were copied from, if there is one. Where a cell then still holds
 several components, some nodes outside its largest one become heads, and then all that are outside it still, so that each of them has met every
-node of another component. Pairs are left out if their sizes, or the shingles that each shares with any other node of such cells, rule a link out. So no candidate
+node of another component. Pairs are left out if their sizes rule a link out, or an exact bound on what they
+can have in common: the shingles that both share with the head of most of their cells, and those outside of it that each shares with any node. So no candidate
 pair stays unexamined unless its two nodes are connected already.
 
 A text of fewer words than a shingle is one shingle; null, empty and word-free texts have an empty set and are linked with nothing. Component
@@ -240,13 +241,26 @@ class _Examiner:
         ends = likely.select(F.col("a").alias("fp")).unionByName(likely.select(F.col("b").alias("fp"))).distinct()
         return materialise(confirmed(likely, self.sets_of(materialise(ends, "ends")), self.percent), "confirmed")
 
-    def shared_sizes(self, ends: DataFrame) -> DataFrame:
-        """``(fp, shared)``: of each one's shingles, those that another of the written ``ends(fp)`` has as well."""
+    def overlap_facts(self, pivots: DataFrame) -> DataFrame:
+        """``(fp, pivot, shared, inside, bits)`` of the written ``pivots(fp, pivot)``, from their full sets.
+
+        ``shared`` counts the shingles that another of these nodes or pivots has as well, ``bits`` marks which shingles of the pivot the node has,
+        62 to a word, and ``inside`` counts them.
+        """
+        ends = materialise(pivots.select("fp").unionByName(pivots.select(F.col("pivot").alias("fp"))).distinct(), "ends")
         numbered = materialise(self.sets_of(ends).withColumn("no", F.monotonically_increasing_id()), "numbered-sets")
         tokens = numbered.select("no", F.explode("shingles").alias("token")).groupBy("token").agg(F.count("*").alias("n"), F.min("no").alias("no"))
         alone = tokens.where("n = 1").groupBy("no").agg(F.count("*").alias("alone"))
-        shared = (F.size("shingles") - F.coalesce("alone", F.lit(0))).alias("shared")
-        return numbered.join(alone, "no", "left").select("fp", shared)
+        of_pivots = numbered.join(pivots.select(F.col("pivot").alias("fp")).distinct(), "fp").select(F.col("fp").alias("pivot"), F.size("shingles").alias("size"), F.posexplode("shingles").alias("at", "token"))
+        own = numbered.join(pivots, "fp").select("no", "pivot", F.explode("shingles").alias("token"))
+        word = F.floor(F.col("at") / 62).cast("int").alias("word")
+        words = own.join(of_pivots, ["pivot", "token"]).groupBy("no", word).agg(F.sum(F.expr("shiftleft(1L, at % 62)")).alias("bits"), F.count("*").alias("inside"))
+        marked = words.groupBy("no").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("marks"), F.max("word").alias("last"), F.sum("inside").alias("inside"))
+        bits = F.transform(F.sequence(F.lit(0), F.col("last")), lambda w: F.coalesce(F.try_element_at("marks", w), F.lit(0).cast("long")))
+        facts = numbered.join(pivots, "fp").join(alone, "no", "left").join(marked, "no", "left")
+        return facts.select(
+            "fp", "pivot", (F.size("shingles") - F.coalesce("alone", F.lit(0))).alias("shared"), F.coalesce("inside", F.lit(0)).alias("inside"), bits.alias("bits")
+        )
 
 
 def _sized(percent: int, a: str, b: str) -> Column:
@@ -255,8 +269,15 @@ def _sized(percent: int, a: str, b: str) -> Column:
 
 
 def _bounded(percent: int) -> Column:
-    """Whether two sets can reach the bound with no more in common than the shingles that each shares with anyone."""
-    most = F.least("shared_a", "shared_b")
+    """Whether two sets can reach the bound with no more in common than is possible.
+
+    That is what each shares with anyone; or, if they have a pivot in common, the part of it that both have, counted exactly, and what each shares
+    outside of it.
+    """
+    both = F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(F.coalesce(x, F.lit(0).cast("long")).bitwiseAND(F.coalesce(y, F.lit(0).cast("long")))))
+    within = F.coalesce(F.aggregate(both, F.lit(0), lambda x, y: x + y), F.lit(0))
+    outside = F.least(F.col("shared_a") - F.col("inside_a"), F.col("shared_b") - F.col("inside_b"))
+    most = F.when(F.col("pivot_a") == F.col("pivot_b"), within + outside).otherwise(F.least("shared_a", "shared_b"))
     return 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
 
 
@@ -294,15 +315,18 @@ def roots_of(nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, size: i
     crowded = _open_cells(crowded)
     if crowded.isEmpty():
         return rooted
-    shared = examine.shared_sizes(materialise(crowded.select("fp").distinct(), "open-nodes"))
-    crowded = materialise(crowded.join(shared, "fp").where(100 * F.col("shared") >= percent * F.col("n")), "open-members")
+    led = crowded.join(heads.select("cell", "head"), "cell")
+    sizes = led.groupBy("head").agg(F.count("*").alias("led"))
+    pivots = led.select("fp", "head").distinct().join(sizes, "head").groupBy("fp").agg(F.max(F.struct("led", "head")).alias("most"))
+    facts = materialise(examine.overlap_facts(materialise(pivots.select("fp", F.col("most.head").alias("pivot")), "pivots")), "overlap-facts")
+    crowded = materialise(crowded.join(facts, "fp").where(100 * F.col("shared") >= percent * F.col("n")), "open-members")
     done = heads.select("cell", F.col("head").alias("fp"))
     for number in itertools.chain([HEADS], itertools.repeat(None)):
         left = _open_cells(crowded)
         heads = _next_heads(left, done, number)
         if heads.isEmpty():
             return rooted
-        own = ("fp", "n", "shared", "root")
+        own = ("fp", "n", "root", "pivot", "shared", "inside", "bits")
         first, others = (rows.select("cell", *[F.col(c).alias("ab"[i] if c == "fp" else f"{c}_{'ab'[i]}") for c in own]) for i, rows in enumerate((heads, left)))
         met = first.join(others, "cell").where("root_a <> root_b").where(_sized(percent, "n_a", "n_b") & _bounded(percent))
         pairs = _ordered(met, "root_a", "root_b")

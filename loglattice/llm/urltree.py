@@ -2,24 +2,29 @@
 
 Explicit rules come first: the longest rule that fits a url decides it, and such urls are the labelled ones. Paths are cut into segments.
 Digits inside a segment become ``{n}``; then, level by level from the host down, a branch whose children are many and seldom repeated is
-variable and its children become ``*``, and labelled children whose block rate does not differ from their siblings' beyond chance are
-merged into ``+``. Every template that results is rejected if its smoothed share of blocked labels reaches ``MIN_PURITY``; unlabelled
-templates fall back on the corpus rate, and so are allowed unless nearly everything is blocked.
+variable and its children become ``*``, labelled children whose block rate does not differ from their siblings' beyond chance are merged into
+``+``, and unlabelled children that look alike and are about as frequent are merged under their shape. The tree ends where a branch has one
+distinct path left or no path goes on, at whatever depth.
 
-Levels work on distinct paths with counts, so a busy host weighs no more than its distinct paths. A null url or one without ``://`` has an
-empty host and path, fits no rule and is allowed. Null page ids and repeated rows keep their rows. Columns with clashing names are not
+A branch's purity is its share of blocked labels, smoothed towards its parent's: the host's towards the corpus rate, and so on down. So a branch
+with few or no labels takes after the nearest ancestor that has some. A template is rejected if its purity reaches ``MIN_PURITY``.
+
+Levels work on distinct paths with counts, so a busy host or page weighs no more than its distinct paths. A null url or one without ``://`` has an
+empty host and path, and fits no rule. Null page ids and repeated rows keep their rows. Columns with clashing names are not
 read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import string
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglattice.llm.common import column, materialise
+from loglattice.operators.lookup import lookup_join
 
 
 class Rule(NamedTuple):
@@ -37,13 +42,13 @@ RULES = (
     Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"), Rule("block", "net", "/es/"),
     Rule("block", "net", "/fr/"),
 )
-#: Levels of the tree; what lies deeper is one last segment ``{rest}``.
-MAX_DEPTH = 4
 #: A branch is variable from this many children on, if they have fewer urls each on average than the second number.
 MIN_CHILDREN, MAX_MEAN_URLS = 8, 2
 #: Labels that a child needs to be compared, standard errors within which it is similar.
 MIN_LABELS, MAX_DEVIATIONS = 2, 2.0
-#: Pseudo-labels at the corpus rate, and the share of blocked labels that rejects a template.
+#: Siblings of one shape that an unlabelled child needs to be merged with them.
+MIN_ALIKE = 3
+#: Pseudo-labels at the parent's purity, and the share of blocked labels that rejects a template.
 SMOOTHING, MIN_PURITY = 4, 0.8
 
 
@@ -68,33 +73,64 @@ def first_rule(host: Column, path: Column, rules: tuple[Rule, ...], value: str)
 
 def _segments(path: Column) -> Column:
     parts = F.transform(F.split(path, "/"), lambda s: F.regexp_replace(s, "[0-9]+", "{n}"))
-    parts = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    deep = F.concat(F.slice(parts, 1, MAX_DEPTH - 1), F.array(F.lit("{rest}")))
-    return F.when(F.size(parts) > MAX_DEPTH, deep).otherwise(parts)
-
-
-def template_tree(urls: DataFrame) -> DataFrame:
-    """``urls(host, segments, n, labelled, blocked)``, one row per distinct path, with its ``template``."""
-    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "blocked")]
-    nodes = urls.withColumn("template", F.lit(""))
-    for depth in range(MAX_DEPTH):
-        nodes = nodes.withColumn("segment", F.get("segments", F.lit(depth)))
-        children = nodes.where("segment is not null").groupBy("host", "template", "segment").agg(*sums)
-        parents = children.groupBy("host", "template").agg(
-            F.count("*").alias("children"), F.sum("n").alias("urls"), F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked")
-        )
-        rate = (F.col("all_blocked") + 1) / (F.col("all_labelled") + 2)
-        own = (F.col("blocked") + 1) / (F.col("labelled") + 2)
-        close = F.abs(own - rate) <= MAX_DEVIATIONS * F.sqrt(rate * (1 - rate) / (F.col("labelled") + 2))
-        variable = (F.col("children") >= MIN_CHILDREN) & (F.col("urls") < MAX_MEAN_URLS * F.col("children"))
-        similar = (F.col("children") > 1) & (F.col("labelled") >= MIN_LABELS) & close
-        named = children.join(parents, ["host", "template"]).select(
-            "host", "template", "segment", F.when(variable, "*").when(similar, "+").otherwise(F.col("segment")).alias("shown")
+    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+
+
+def shape(segment: Column) -> Column:
+    """Runs of letters as one ``a``."""
+    return F.regexp_replace(segment, r"\p{L}+", "a")
+
+
+def smoothed(blocked: Column, labelled: Column, towards: Column) -> Column:
+    return (blocked + SMOOTHING * towards) / (labelled + SMOOTHING)
+
+
+def _named(nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """The children of every open branch with the name they go by."""
+    children = nodes.groupBy(*keys, "segment").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "blocked")])
+    children = children.withColumn("shape", shape(F.col("segment")))
+    parents = children.groupBy(*keys).agg(
+        F.count("*").alias("children"), F.sum("n").alias("urls"), F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked")
+    )
+    unlabelled = children.where(F.col("labelled") < MIN_LABELS)
+    alike = unlabelled.groupBy(*keys, "shape").agg(F.count("*").alias("alike"), F.avg("n").alias("usual"))
+    rate = (F.col("all_blocked") + 1) / (F.col("all_labelled") + 2)
+    own = (F.col("blocked") + 1) / (F.col("labelled") + 2)
+    close = F.abs(own - rate) <= MAX_DEVIATIONS * F.sqrt(rate * (1 - rate) / (F.col("labelled") + 2))
+    variable = (F.col("children") >= MIN_CHILDREN) & (F.col("urls") < MAX_MEAN_URLS * F.col("children"))
+    similar = (F.col("children") > 1) & (F.col("labelled") >= MIN_LABELS) & close
+    usual = (F.col("labelled") < MIN_LABELS) & (F.col("alike") >= MIN_ALIKE) & (F.abs(F.col("n") - F.col("usual")) <= MAX_DEVIATIONS * F.sqrt("usual"))
+    shown = F.when(variable, "*").when(similar, "+").when(usual, F.concat(F.lit("~"), "shape")).otherwise(F.col("segment"))
+    found = children.join(parents, keys).join(alike, [*keys, "shape"], "left")
+    return found.select(*keys, "segment", shown.alias("shown"))
+
+
+def template_tree(urls: DataFrame, rate: float) -> DataFrame:
+    """``urls(host, segments, n, labelled, blocked)``, one row per distinct path, with ``template`` and ``purity``; ``rate`` is the corpus's."""
+    keys = ["host", "template"]
+    whole = urls.groupBy("host").agg(F.count("*").alias("paths"), smoothed(F.sum("blocked"), F.sum("labelled"), F.lit(rate)).alias("purity"))
+    nodes = materialise(urls.withColumn("template", F.lit("")).join(whole, "host"), "templates")
+    finished, depth = [], 0
+    while True:
+        # A branch of one path, or a path that has ended, keeps its purity and the rest of its text.
+        ended = (F.col("paths") == 1) | (F.size("segments") < depth)
+        rest = F.slice("segments", depth + 1, F.greatest(F.size("segments") - depth, F.lit(0)))
+        text = F.when(F.size(rest) > 0, F.concat("template", F.lit("/"), F.array_join(rest, "/"))).otherwise(F.col("template"))
+        finished.append(nodes.where(ended).select("host", "segments", text.alias("template"), "purity"))
+        nodes = nodes.where(~ended)
+        if nodes.isEmpty():
+            return reduce(DataFrame.unionByName, finished)
+        # A path that ends here is a child of its own, without a segment.
+        there = nodes.withColumn("segment", F.get("segments", F.lit(depth)))
+        named = _named(there.where("segment is not null"), keys)
+        there = there.join(named, [*keys, "segment"], "left").withColumn("upper", F.col("purity"))
+        longer = F.coalesce(F.concat("template", F.lit("/"), "shown"), "template")
+        there = there.withColumn("template", longer).withColumn("ends", F.col("segment").isNull()).drop("segment", "shown", "paths", "purity")
+        below = there.groupBy("host", "template", "ends").agg(
+            F.count("*").alias("paths"), smoothed(F.sum("blocked"), F.sum("labelled"), F.max("upper")).alias("purity")
         )
-        nodes = nodes.join(named, ["host", "template", "segment"], "left")
-        longer = F.concat("template", F.lit("/"), F.col("shown"))
-        nodes = materialise(nodes.withColumn("template", F.coalesce(longer, "template")).drop("segment", "shown"), f"templates-{depth}")
-    return nodes
+        nodes = materialise(there.drop("upper").join(below, ["host", "template", "ends"]).drop("ends"), "templates")
+        depth += 1
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id: str = "page_id", url: str = "url") -> DataFrame:
@@ -106,13 +142,9 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id: str = "pag
     counted = rows.groupBy("host", "segments").agg(
         F.count("*").alias("n"), F.count("ruled").alias("labelled"), F.count_if(F.col("ruled") == "block").alias("blocked")
     )
-    nodes = template_tree(materialise(counted, "distinct-paths"))
-    totals = nodes.agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l")).first()
-    rate = (totals["b"] or 0) / max(totals["l"] or 0, 1)
-    purity = (F.col("blocked") + SMOOTHING * F.lit(rate)) / (F.col("labelled") + SMOOTHING)
-    templates = nodes.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
-    templates = templates.select("host", "template", purity.alias("purity"))
-    known = nodes.select("host", "segments", "template").join(templates, ["host", "template"])
-    judged = rows.join(known, ["host", "segments"])
+    counted = materialise(counted, "distinct-paths")
+    totals = counted.agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l")).first()
+    nodes = materialise(template_tree(counted, (totals["b"] or 0) / max(totals["l"] or 0, 1)), "judged-paths")
+    judged = lookup_join(rows, nodes, ["host", "segments"], "inner")
     learned = F.when(F.col("purity") >= MIN_PURITY, "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", learned).alias("verdict"), "template", F.round("purity", 6).alias("purity"))

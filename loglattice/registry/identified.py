@@ -1,13 +1,13 @@
-"""Document ids for sources that bring none and know no row positions."""
+"""Sources: ids for files that bring none and know no row positions, and the archive laid out by account."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loglattice.registry.shared import LOGS, Query, load
+from loglattice.registry.shared import LOGS, TX, Query, load
 from loglattice.session import scratch_dir
-from loglattice.sources import files
+from loglattice.sources import archive, files
 
 _SPLIT = "spark.sql.files.maxPartitionBytes"
 _LEAST_SPLIT = 16 * 1024
@@ -50,9 +50,25 @@ def _ids_from(fmt):
     return run
 
 
+#: Where the archive ends and recent activity begins.
+_EDGE = "2000-10-01"
+
+
+def archive_recent_accounts(spark, sf):
+    (tx,) = load(spark, sf, "transactions")
+    name = archive.store_archive(tx.where(f"timestamp < TIMESTAMP '{_EDGE}'"), scratch_dir(spark, "archive"))
+    return archive.recent_accounts(spark.table(name), tx.where(f"timestamp >= TIMESTAMP '{_EDGE}' AND timestamp < TIMESTAMP '{_EDGE}' + INTERVAL 30 DAYS"))
+
+
+_ARCHIVE_SQL = f"""WITH r AS (SELECT accountID, count(*) AS recent_n, min(year) AS y FROM {TX} AS t
+  WHERE timestamp >= TIMESTAMP '{_EDGE}' AND timestamp < TIMESTAMP '{_EDGE}' + INTERVAL 30 DAY GROUP BY accountID)
+SELECT t.accountID AS accountID, any_value(recent_n) AS recent_n, count(*) AS archive_n, max(year) AS last_year, CAST(sum(CAST(event_amount AS DECIMAL(18,2))) AS DOUBLE) AS archive_amount
+FROM {TX} AS t JOIN r ON t.accountID = r.accountID AND t.year BETWEEN r.y - 2 AND r.y - 1 WHERE timestamp < TIMESTAMP '{_EDGE}' GROUP BY t.accountID"""
+
+
 def _sql(fmt: str) -> str:
     return f"""SELECT CAST(_id AS BIGINT) AS event_id, 'logs-{fmt}' AS _index, client_ip, row_number() OVER (ORDER BY CAST(_id AS BIGINT)) - 1 AS position,
   TRUE AS is_unique, TRUE AS stable FROM {LOGS} AS l"""
 
 
-QUERIES: dict[str, tuple[Query, str | None]] = {"ids_from_csv": (_ids_from("csv"), _sql("csv")), "ids_from_ndjson": (_ids_from("ndjson"), _sql("ndjson"))}
+QUERIES: dict[str, tuple[Query, str | None]] = {"ids_from_csv": (_ids_from("csv"), _sql("csv")), "ids_from_ndjson": (_ids_from("ndjson"), _sql("ndjson")), "archive_recent_accounts": (archive_recent_accounts, _ARCHIVE_SQL)}

@@ -209,7 +209,8 @@ def test_templates_reject_by_purity(spark):
     rules = (urltree.Rule("block", "bad.example", "/x/"), urltree.Rule("allow", "good.example", "/"))
     urls = [f"http://a.bad.example/x/{i}" for i in range(30)] + [f"http://good.example/p/{i}" for i in range(30)] + ["http://q.example/z/1", "http://a.bad.example/y"]
     got = urltree.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
-    assert Counter((r["rule"], r["verdict"]) for r in got) == {("bad.example/x/", "block"): 30, ("good.example/", "allow"): 30, (None, "allow"): 2}
+    assert Counter((r["rule"], r["verdict"]) for r in got) == {("bad.example/x/", "block"): 30, ("good.example/", "allow"): 30, (None, "allow"): 1, (None, "block"): 1}
+    assert {r["page_id"]: r["verdict"] for r in got if r["rule"] is None} == {60: "allow", 61: "block"}
     many = [f"http://v.example/u/name{chr(97 + i)}x/{'p' if i % 2 else 'q'}" for i in range(12)]
     shown = {r["template"] for r in urltree.judge(spark.createDataFrame(list(enumerate(many)), "page_id long, url string")).collect()}
     assert shown == {"/u/*/p", "/u/*/q"}
