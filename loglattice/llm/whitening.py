@@ -245,8 +245,27 @@ def leading(r: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(len(right) - 1, -1, -1):
         v, beta = right[k]
         vectors[k + 1 :] -= beta * np.outer(v, v @ vectors[k + 1 :])
+    squares = np.array([p[0] for p in pairs]) * scale**2
+    vectors = _completed(vectors, determined(squares, dims))
     signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])])
-    return np.array([p[0] for p in pairs]) * scale**2, vectors * signs
+    return squares, vectors * signs
+
+
+def determined(squares: np.ndarray, dims: int) -> np.ndarray:
+    """Which of the falling squared singular values stand above rounding, so that the data determine their directions."""
+    return squares > (dims * EPS) ** 2 * max(squares[0], 1e-300)
+
+
+def _completed(vectors: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The columns without a direction of their own replaced by ones that are orthonormal to all others."""
+    missing = np.flatnonzero(~known)
+    if not len(missing):
+        return vectors
+    kept = vectors[:, known]
+    whole = np.linalg.qr(np.hstack([kept, np.eye(len(vectors))]))[0]
+    out = vectors.copy()
+    out[:, missing] = whole[:, kept.shape[1] : kept.shape[1] + len(missing)]
+    return out
 
 
 def _cluster_vector(diagonal: np.ndarray, above: np.ndarray, value: float, start: np.ndarray, close: list[np.ndarray]) -> np.ndarray:
@@ -284,7 +303,7 @@ def whiten(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding"
     r = reduced(vectors, dims, mean)
     squares, directions = leading(r, top)
     trace = float((r**2).sum())
-    alive = squares > (dims * EPS) ** 2 * max(squares[0], 1e-300)
+    alive = determined(squares, dims)
     scaled = directions[:, alive] / np.sqrt(squares[alive] / count)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
