@@ -97,6 +97,47 @@ def test_leaks_equal_containment_and_find_templates(spark, docs):
     assert list(decontam.leaks(pa.array([f"so {cases['exact'][0]}"], pa.large_string()), block))[0][4] == 0
 
 
+def found(item, text):
+    texts = pa.array([f"Something else stood there first. {text} Then the page went on as before."], pa.large_string())
+    return [hit[4] for hit in decontam.leaks(texts, decontam.block_of([1], [item]))]
+
+
+def test_leaks_through_slots_of_other_length_and_short_items():
+    words = [f"{a}{b}" for a in ("ba", "ko", "lu", "mi", "ne") for b in ("rt", "sk", "nd", "lm", "fe", "gg")]
+    named = " ".join([*words[:15], "Mary", *words[15:]])
+    assert found(named, named.replace("Mary", "Anna")) == [1] and found(named, named.replace("Mary", "Mary Ann")) == [1]
+    measured = " ".join([*words[:12], "3 km", *words[12:24]])
+    assert found(measured, measured.replace("3 km", "3km")) == [0] and found(measured, measured.replace("3 km", "17 km")) == [1]
+    for n in (14, 22, 23, 30):
+        item = " ".join(words[:n])
+        for at in range(n):  # one plain word changed, lost or added anywhere
+            for new in (["other"], [], [words[at], "other"]):
+                assert found(item, " ".join([*words[:at], *new, *words[at + 1 : n]])) == [0], (n, at, new)
+    assert found(" ".join(words[:14]), " ".join(words[:7])) == [] and found(" ".join(words[:6]), " ".join(words[:6])) == [0]
+    assert found(" ".join(words[:6]), " ".join(words[:5])) == [] and found(" ".join(words[:3]), " ".join(words[:3])) == []
+    # the name stands twice: the same value must do so in the document, also across a word that shifts the second half
+    twice = " ".join([*words[:10], "Mary", *words[10:20], "Mary", *words[20:]])
+    moved = twice.replace(words[9], "two words").replace(words[18], "two words")  # no part alone covers half
+    assert found(twice, moved.replace("Mary", "Anna")) == [2] and found(twice, moved.replace("Mary", "Anna", 1)) == []
+    assert found(twice, f"{twice.replace('Mary', 'Olga', 1)} {twice}") == [0]
+
+
+def test_chains_equal_full_search():
+    rng = random.Random(3)
+    for _ in range(300):
+        parts = sorted({(rng.randrange(30), rng.randrange(12), rng.randrange(1, 6)) for _ in range(rng.randrange(1, 7))})
+
+        def value(rest, last):
+            best = 0
+            for i, (p, q, n) in enumerate(rest):
+                both = max(last[1] + last[2] - q, last[0] + last[2] - p, 0) if last else 0
+                if not last or (last[0] < p and last[1] < q and both < n and abs(p - q - last[0] + last[1]) <= 3):
+                    best = max(best, n - both + value(rest[i + 1 :], (p, q, n)))
+            return best
+
+        assert max(sum(n for _, _, n in c) for c in decontam.chains(parts, 3, 100)) == value(parts, None)
+
+
 def test_benchmark_blocks_lose_no_item(spark, docs, monkeypatch):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = sorted(map(tuple, decontam.find_leaks(docs, bench).collect()))
