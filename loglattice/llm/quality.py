@@ -1,8 +1,8 @@
 """Quality rules as a short-circuit cascade.
 
 Every rule rejects a text or lets it pass; a text is kept if no rule rejects it. The rules' order changes the cost, never the result. A
-bounded sample gives each rule's seconds per text and its rejection rate; rules then run by rejection per second, each on the texts that
-the earlier ones let pass.
+bounded sample gives each rule's seconds per text and the rows it rejects; rules then run by rejection per second, each on the texts that
+the earlier ones let pass, with what it rejects of those and what it costs beside the measures they took.
 
 Nulls, empty and word-free texts have zero words and fail the base rule. Other columns, whatever their names, pass through untouched.
 Equal rows get equal verdicts. An empty table gives an empty result.
@@ -30,7 +30,7 @@ SYMBOL_PERCENT, UPPER_PERCENT, DUP_LINE_PERCENT, TOP_WORD_PERCENT, WORDY_PERCENT
 WORD_CHARS_RANGE = (2, 20)
 #: Scripts whose texts do not separate words by spaces.
 UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}]"
-#: Most rows that the cost sample reads.
+#: Rows of the cost sample in expectation.
 SAMPLE_ROWS = 1000
 
 _SYMBOL_BYTES = np.isin(np.arange(256), np.frombuffer(SYMBOLS.encode(), np.uint8))
@@ -213,8 +213,34 @@ RULES: dict[str, Callable[[Texts], np.ndarray]] = {
 BASE_RULES = ("too_short", "repetitive")
 
 
+#: Rules that need no words; every other one takes the word split if no rule before it has.
+WORDLESS = {"duplicate_lines"}
+
+
+def best_order(verdicts: dict[int, float], seconds: dict[str, float], split: float) -> list[str]:
+    """Rule names by rejection per second, each among the rows that the ones before it leave.
+
+    ``verdicts`` has, per set of rules that reject a row (bit i for the i-th rule), the number of such rows; ``seconds`` each rule's own cost
+    and ``split`` that of splitting into words, for all rows.
+    """
+    names, left, order, paid = list(RULES), dict(verdicts), [], False
+    rows = max(sum(verdicts.values()), 1)
+
+    def gain(name: str) -> float:
+        rejected = sum(n for bits, n in left.items() if bits >> names.index(name) & 1)
+        cost = seconds.get(name, 0.0) + (0.0 if paid or name in WORDLESS else split)
+        return (rejected + 0.5) / (sum(left.values()) + 1) / max(cost / rows, 1e-9)
+
+    while len(order) < len(names):
+        best = max((name for name in names if name not in order), key=gain)
+        order.append(best)
+        paid = paid or best not in WORDLESS
+        left = {bits: n for bits, n in left.items() if not bits >> names.index(best) & 1}
+    return order
+
+
 def rule_order(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[str]:
-    """Rule names by rejections per second on a sample of at most ``sample_rows`` rows, measured inside the tasks."""
+    """The rules' best order by a sample of ``sample_rows`` rows in expectation, spread over all partitions and measured inside the tasks."""
     names = list(RULES)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,21 +248,26 @@ def rule_order(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_RO
             texts = string_column(batch, "text")
             for start, stop in chunks(texts):
                 part = texts.slice(start, stop - start)
-                spent, hits = [], []
-                for name in names:
+                began = time.thread_time()
+                words = Texts(part).words
+                spent = [time.thread_time() - began]
+                bits = np.zeros(len(part), np.int64)
+                for i, name in enumerate(names):
+                    t = Texts(part)
+                    t._done["words"] = words
                     began = time.thread_time()
-                    hits.append(int(RULES[name](Texts(part)).sum()))
+                    bits |= RULES[name](t).astype(np.int64) << i
                     spent.append(time.thread_time() - began)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names), pa.array(spent), pa.array(hits, pa.int64()), pa.array([len(part)] * len(names), pa.int64())],
-                    names=["rule", "seconds", "hits", "rows"],
-                )
-
-    sample = docs.select(column(text).cast("string").alias("text")).sample(0.1, seed=11).limit(sample_rows)
-    found = sample.mapInArrow(measure, "rule string, seconds double, hits long, rows long")
-    per_rule = found.groupBy("rule").agg(F.sum("seconds").alias("s"), F.sum("hits").alias("h"), F.sum("rows").alias("n")).collect()
-    gain = {r["rule"]: (r["h"] + 0.5) / (r["n"] + 1) / max(r["s"] / max(r["n"], 1), 1e-9) for r in per_rule}
-    return sorted(names, key=lambda name: (-gain.get(name, 0.0), names.index(name)))
+                seen, counts = np.unique(bits, return_counts=True)
+                keys = np.concatenate([seen, -1 - np.arange(len(spent))])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([counts, spent]))], names=["key", "value"])
+
+    total = docs.count()
+    sample = docs.select(column(text).cast("string").alias("text")).sample(min(1.0, sample_rows / max(total, 1)), seed=11)
+    # At most one row per set of rules, and one per cost.
+    found = sample.mapInArrow(measure, "key long, value double").groupBy("key").agg(F.sum("value").alias("value")).collect()
+    sums = {r["key"]: r["value"] for r in found}
+    return best_order({k: n for k, n in sums.items() if k >= 0}, {name: sums.get(-2 - i, 0.0) for i, name in enumerate(names)}, sums.get(-1, 0.0))
 
 
 def passes(texts: pa.Array, order: list[str]) -> np.ndarray:

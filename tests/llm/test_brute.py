@@ -154,6 +154,20 @@ def test_rule_order_does_not_change_the_verdict(docs):
     assert kept[0] == kept[1] == kept[2] and sorted(quality.rule_order(docs)) == sorted(names)
 
 
+def test_best_order_counts_only_what_is_left():
+    names = list(quality.RULES)
+    bit = {name: 1 << i for i, name in enumerate(names)}
+    costs = dict.fromkeys(names, 1.0)
+    # "symbols" rejects nothing that "too_short" leaves, so "shouting" goes before it although it rejects fewer rows in all.
+    rows = {bit["too_short"] | bit["symbols"]: 50, bit["shouting"]: 10, 0: 40}
+    order = quality.best_order(rows, costs, 0.0)
+    assert order[:2] == ["too_short", "shouting"] and sorted(order) == sorted(names)
+    # A rule that needs no words goes first while splitting is dear; afterwards splitting costs nothing more.
+    assert quality.best_order({bit["duplicate_lines"]: 10, bit["too_short"]: 10, 0: 80}, costs, 100.0)[0] == "duplicate_lines"
+    assert quality.best_order({bit["duplicate_lines"]: 10, bit["too_short"]: 30, 0: 60}, costs, 0.0)[0] == "too_short"
+    assert quality.best_order({}, {}, 0.0) == quality.best_order({}, {}, 0.0)
+
+
 def test_viterbi_equals_full_search():
     rng = np.random.default_rng(8)
     scores, sizes = rng.normal(0, 3, (9, 3)), np.array([1, 6, 0, 4])
