@@ -79,6 +79,11 @@ def _legs(docs: DataFrame, ip_cols: Sequence[str]) -> DataFrame:
     return docs.select(_ADDRESSES, F.inline(F.concat(*lists))).where(F.col("hr_ip").isNotNull())
 
 
+def _placed(docs: DataFrame, ip_cols: Sequence[str], best: DataFrame) -> DataFrame:
+    """The documents with what was found for their addresses; a combination that many of them share, or none at all, is split over tasks."""
+    return lookup_join(docs.withColumn(_ADDRESSES, F.struct(*ip_cols)), best, [_ADDRESSES], "left", fits=False)
+
+
 def ranked_lookup(
     docs: DataFrame,
     roster: DataFrame,
@@ -106,8 +111,7 @@ def ranked_lookup(
         .agg(F.min(F.struct("rank", "person")).alias("best"))
         .select(_ADDRESSES, F.col("best.rank").alias("match_rank"), F.col("best.person").alias("person"))
     )
-    placed = docs.withColumn(_ADDRESSES, F.struct(*ip_cols))
-    return placed.join(best, _ADDRESSES, "left").select(*docs.columns, "match_rank", "person")
+    return _placed(docs, ip_cols, best).select(*docs.columns, "match_rank", "person")
 
 
 def any_match(
@@ -144,8 +148,7 @@ def any_match(
             .groupBy(_ADDRESSES)
             .agg(F.min("person").alias("__found"))
         )
-        placed = docs.withColumn(_ADDRESSES, F.struct(*ip_cols)).join(best, _ADDRESSES, "left")
-        out = placed.select(*docs.columns, F.when(inside, F.col("__found")).alias("__best"))
+        out = _placed(docs, ip_cols, best).select(*docs.columns, F.when(inside, F.col("__found")).alias("__best"))
     person = F.col("__best.person")
     hr = F.struct(
         F.col("__best.hr_ip").alias("ip_address"),

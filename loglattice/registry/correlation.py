@@ -172,6 +172,15 @@ def bulk_range(spark, sf):
     return _flat(E.any_match(logs, hr, *RANGE, AS_OF), "hr", _BULK_FLAT, "_index", "_id")
 
 
+#: The end of the default window, which begins a day before.
+_NOON = datetime(2024, 1, 15, 12, tzinfo=timezone.utc)
+
+
+def bulk_default_window(spark, sf):
+    logs, hr = load(spark, sf, "logs", "hr")
+    return _flat(E.any_match(logs, hr, None, None, _NOON), "hr", _BULK_FLAT, "_index", "_id")
+
+
 _BULK_SQL = f"""
 WITH {_PEOPLE}, legs AS (
   SELECT _index, _id, hr.* FROM (
@@ -357,6 +366,9 @@ FROM d LEFT JOIN people AS c ON d.client_ip = c.hr_ip LEFT JOIN people AS s ON d
         ),
     ),
     "bulk_enrich_range": (bulk_range, _BULK_SQL),
+    "bulk_enrich_default_window": (
+        bulk_default_window, _BULK_SQL.replace("2024-01-10 00:00:00", "2024-01-14 12:00:00").replace("2024-01-20 12:00:00", "2024-01-15 12:00:00"),
+    ),
     "enrich_written_merge": (_written("merge"), _written_sql(f"d.{_HELD}")),
     "enrich_written_replace": (_written("replace"), _written_sql(f"b.rank IS NULL AND d.{_HELD}")),
     "bulk_enrich_written": (bulk_written, _BULK_SQL),

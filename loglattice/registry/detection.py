@@ -189,13 +189,15 @@ def exfil(spark, sf):
     return _days(detect.exfil(_events(spark, sf), 90_000, "1 day", min_rows=900))
 
 
-def travel(spark, sf):
-    (facts,) = load(spark, sf, "line_facts")
-    docs = documents.parsed(rendered.messages(facts, "audit_event", "id"), documents.AUDIT_DDL)
-    flat = documents.flatten_audit(docs).select(F.col("source_ip").alias("client_ip"), "ts", "lat", "lon")
-    out = detect.impossible_travel(flat, 800.0, bucket_seconds=86_400)
-    out = text_ts(out, "from_ts", "to_ts")
-    return out.select("client_ip", "from_ts", "to_ts", F.round("km", 1).alias("km"), F.round("kmh", 1).alias("kmh"))
+def travel(**options):
+    def run(spark, sf):
+        (facts,) = load(spark, sf, "line_facts")
+        docs = documents.parsed(rendered.messages(facts, "audit_event", "id"), documents.AUDIT_DDL)
+        flat = documents.flatten_audit(docs).select(F.col("source_ip").alias("client_ip"), "ts", "lat", "lon")
+        out = text_ts(detect.impossible_travel(flat, 800.0, **options), "from_ts", "to_ts")
+        return out.select("client_ip", "from_ts", "to_ts", F.round("km", 1).alias("km"), F.round("kmh", 1).alias("kmh"))
+
+    return run
 
 
 def rate_spikes(spark, sf):
@@ -328,6 +330,17 @@ SELECT r.account_id AS account_id, recent_n, round(recent_mean, 3) AS recent_mea
 FROM r LEFT JOIN h ON r.account_id = h.account_id"""
 
 
+_TRAVEL_SQL = f"""WITH p AS (SELECT DISTINCT ip AS client_ip, ms_ts AS ts,
+    CAST(CASE WHEN n3 = 0 THEN 39.7392 ELSE 46.7712 END AS DOUBLE) AS lat,
+    CAST(CASE WHEN n3 = 0 THEN -104.9903 ELSE 23.6236 END AS DOUBLE) AS lon FROM {LINES} AS f),
+  l AS (SELECT *, lag(ts) OVER w AS pts, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM p
+    WINDOW w AS (PARTITION BY client_ip ORDER BY ts, lat, lon)),
+  m AS (SELECT client_ip, pts, ts, {_HAV} AS km, (epoch_us(ts) - epoch_us(pts)) / 3600000000.0 AS h FROM l
+    WHERE pts IS NOT NULL)
+SELECT client_ip, {sql_ts("pts")} AS from_ts, {sql_ts("ts")} AS to_ts, round(km, 1) AS km,
+  round(CASE WHEN h > 0 THEN km / h END, 1) AS kmh FROM m WHERE km >= 100 AND (h = 0 OR km > 800 * h)"""
+
+
 def _change_points_sql(bucket_seconds: int) -> str:
     return f"""WITH c AS (SELECT kind, level, {_BUCKET.format(w=bucket_seconds)} AS bucket, count(*) AS n FROM {_E} GROUP BY ALL),
   b AS (SELECT kind, level, min(bucket) AS lo, max(bucket) AS hi FROM c GROUP BY ALL),
@@ -440,18 +453,8 @@ WHERE sd > 0 AND (ratio - m) / sd >= 1.2345""",
         f"""SELECT client_ip, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(export_rows) AS BIGINT) AS exported_rows,
   {_DAY_COLS} FROM {_A} GROUP BY client_ip, date_trunc('day', ts) HAVING sum(bytes) >= 90000 OR sum(export_rows) >= 900""",
     ),
-    "travel": (
-        travel,
-        f"""WITH p AS (SELECT DISTINCT ip AS client_ip, ms_ts AS ts,
-    CAST(CASE WHEN n3 = 0 THEN 39.7392 ELSE 46.7712 END AS DOUBLE) AS lat,
-    CAST(CASE WHEN n3 = 0 THEN -104.9903 ELSE 23.6236 END AS DOUBLE) AS lon FROM {LINES} AS f),
-  l AS (SELECT *, lag(ts) OVER w AS pts, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM p
-    WINDOW w AS (PARTITION BY client_ip ORDER BY ts, lat, lon)),
-  m AS (SELECT client_ip, pts, ts, {_HAV} AS km, (epoch_us(ts) - epoch_us(pts)) / 3600000000.0 AS h FROM l
-    WHERE pts IS NOT NULL)
-SELECT client_ip, {sql_ts("pts")} AS from_ts, {sql_ts("ts")} AS to_ts, round(km, 1) AS km,
-  round(CASE WHEN h > 0 THEN km / h END, 1) AS kmh FROM m WHERE km >= 100 AND (h = 0 OR km > 800 * h)""",
-    ),
+    "travel": (travel(bucket_seconds=86_400), _TRAVEL_SQL),
+    "travel_ten_minutes": (travel(), _TRAVEL_SQL),
     "rate_spikes": (
         rate_spikes,
         f"""WITH c AS (SELECT kind, {_BUCKET.format(w=3600)} AS bucket, count(*) AS n FROM {_E} GROUP BY ALL), w AS (

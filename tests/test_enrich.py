@@ -126,3 +126,23 @@ def test_fields_with_several_addresses(spark, people):
     assert out == {"a": (1, "AA"), "b": (2, "A"), "c": (None, None)}
     bulk = {r._id: r.hr and r.hr.ip_address for r in E.any_match(data, people, T0, T0, as_of=T0).collect()}
     assert bulk == {"a": "10.0.0.1", "b": "10.0.0.1", "c": None}
+
+
+def test_an_address_of_half_the_documents_is_split(spark, people):
+    n = F.col("id")
+    address = F.when(n % 2 == 0, "10.0.0.1").when(n % 4 == 1, F.concat(F.lit("10.1.0."), (n % 250).cast("string")))
+    none = F.lit(None).cast("string")
+    data = spark.range(0, 4000, 1, 8).select(
+        n.cast("string").alias("_id"), F.lit("ix").alias("_index"), address.alias("client_ip"), none.alias("source_ip"), none.alias("host_ip"), F.lit(T0).alias("event_ts")
+    )
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for look in (lambda s: E.ranked_lookup(data, people, strategy=s).select("client_ip", "_id", F.col("person.last_name").alias("found")),
+                     lambda s: E.any_match(data, people, T0, T0, as_of=T0, strategy=s).select("client_ip", "_id", F.col("hr.last_name").alias("found"))):
+            want = sorted((r._id, r.found) for r in look("broadcast").collect())
+            rows = look("join").withColumn("task", F.spark_partition_id()).collect()
+            assert sorted((r._id, r.found) for r in rows) == want and len(want) == 4000
+            assert all(len({r.task for r in rows if r.client_ip == hot}) > 1 for hot in ("10.0.0.1", None))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
