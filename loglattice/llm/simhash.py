@@ -77,14 +77,17 @@ def embedding_cell(fp: Column) -> Column:
 
 
 def links(prints: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)``, a < b, of the distinct fingerprints ``prints(fp)`` that differ in at most ``MAX_BITS`` bits."""
+    """Pairs ``(a, b)``, a < b, of the distinct fingerprints ``prints(fp)`` that differ in at most ``MAX_BITS`` bits.
+
+    Spark takes the cells of all fingerprints for as small as the fingerprints they come from, so without the hint the driver would broadcast them.
+    """
     steps = F.array(F.lit(0).cast("long"), *[F.lit(sign * (1 << (4 * s))).cast("long") for s in range(SEGMENTS) for sign in (1, -1)])
     cells = prints.select("fp", embedding_cell(F.col("fp")).alias("cell")).select(
         "fp", F.explode(F.transform(steps, lambda d: F.col("cell") + d)).alias("cell")
     )
     left, right = cells.select(F.col("fp").alias("a"), "cell"), cells.select(F.col("fp").alias("b"), "cell")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS
-    return left.join(right, "cell").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    return left.hint("merge").join(right.hint("merge"), "cell").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
 def classes(nodes: DataFrame, found: DataFrame) -> DataFrame:
