@@ -16,6 +16,8 @@ from loglattice.session import stored
 _PLACE_BITS = 33
 #: Levels of the segment tree, from the top, that hold at most 2 ** (this + 1) blocks and are broadcast.
 _TOP_LEVELS = 10
+#: Rows that one task makes of its intervals or bounds, and sorts, before they are united.
+_TASK_ROWS = 1 << 20
 
 
 def in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -51,22 +53,32 @@ def _blocks(a: Column, b: Column, levels: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(levels)), start, step)["out"]
 
 
+def _tasks(df: DataFrame, rows: int, each: int) -> int:
+    """Tasks for the ``rows`` of ``df`` that become up to ``each`` rows, so that what a task sorts does not grow with the input."""
+    return max(-(-rows * each // _TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+
+
 def disjoint_segments(intervals: DataFrame) -> DataFrame:
     """Overlapping ``intervals(seq, start_ts, end_ts, phase)``, both bounds inclusive, to ``(t, hit)``: from ``t`` on, in microseconds, ``hit`` holds.
 
     ``hit`` is the (seq, phase) of the lowest seq whose interval covers the time, or null in a gap; it holds up to the next ``t``. Intervals with
     a null or reversed bound cover nothing. The bounds are numbered in order; each interval gives its seq to the blocks of a binary tree over
     these numbers, and each segment takes the lowest of the blocks above it, so a time that many intervals cover costs no more than another.
+    Of intervals with equal bounds only the lowest counts. Work is dealt in tasks of ``_TASK_ROWS`` rows.
     """
     lo, hi = F.unix_micros(F.col("start_ts").cast("timestamp")), F.unix_micros(F.col("end_ts").cast("timestamp")) + 1
-    spans = stored(intervals.select("seq", "phase", lo.alias("lo"), hi.alias("hi")).where("lo < hi"), "spans")
+    spans = intervals.select(F.struct("seq", "phase").alias("hit"), lo.alias("lo"), hi.alias("hi")).where("lo < hi")
+    spans = stored(spans.groupBy("lo", "hi").agg(F.min("hit").alias("hit")), "spans")
     points = stored(numbered(spans.select(F.explode(F.array("lo", "hi")).alias("t")).distinct(), ["t"], "rank"), "bounds")
-    levels = max(points.count(), 1).bit_length()
+    n_points = points.count()
+    levels = max(n_points, 1).bit_length()
     ends = [points.select(F.col("t").alias(t), F.col("rank").alias(r)) for t, r in (("lo", "a"), ("hi", "b"))]
-    placed = spans.join(ends[0], "lo").join(ends[1], "hi")
-    held = placed.select(F.struct("seq", "phase").alias("hit"), F.explode(_blocks(F.col("a"), F.col("b"), levels)).alias("x"))
+    placed = stored(spans.join(ends[0], "lo").join(ends[1], "hi").select("a", "b", "hit"), "placed")
+    near = placed.repartitionByRange(_tasks(placed, placed.count(), 2 * levels), "a", "b")
+    held = near.select("hit", F.explode(_blocks(F.col("a"), F.col("b"), levels)).alias("x"))
     best = stored(held.groupBy("x.level", "x.block").agg(F.min("hit").alias("hit")), "blocks")
-    above = points.select("t", "rank", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level")).withColumn("block", F.expr("shiftright(rank, level)"))
+    dealt = points.repartition(_tasks(points, n_points, levels + 1), "rank")
+    above = dealt.select("t", "rank", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level")).withColumn("block", F.expr("shiftright(rank, level)"))
     top = F.col("level") >= levels - _TOP_LEVELS
     found = above.where(~top).join(best.where(~top), ["level", "block"]).select("t", "hit")
     found = found.unionByName(above.where(top).join(F.broadcast(best.where(top)), ["level", "block"]).select("t", "hit"))
