@@ -1,7 +1,8 @@
 """Connected components by alternating large and small stars.
 
-Every round is two joins over the links; the links left at the end form one star per component around its smallest node. Rounds are
-written under the shared checkpoint folder, so lineage stays short and a lost executor costs one round.
+Every round is two joins over the links; the links left at the end form one star per component around its smallest node, which the smallest and
+largest neighbour of every node tell. Smallest neighbours go to every task while they are few. Rounds are written under the shared checkpoint
+folder, so lineage stays short and a lost executor costs one round.
 """
 
 from __future__ import annotations
@@ -9,38 +10,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglattice.llm.common import materialise
+from loglattice.llm.common import SIDE_BYTES, materialise
+from loglattice.session import fits_broadcast
 
 #: Rounds grow with the logarithm of the longest path; running out of them is an error, never a partial answer.
 MAX_ROUNDS = 60
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")).first()
-    return row["n"], row["x"] or 0
-
-
 def components(links: DataFrame) -> DataFrame:
     """``links(a, b)`` to ``(node, root)`` for every linked node; ``root`` is the smallest node of the component."""
-    edges = materialise(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "links"
-    )
-    seen = _mark(edges)
+    edges = materialise(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b"), "links")
     for _ in range(MAX_ROUNDS):
-        if not seen[0]:
-            break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
-        large = materialise(large.distinct(), "large-star")
+        near = materialise(both.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high")), "neighbours")
+        least = near.select("a", F.least("low", "a").alias("m"))
+        if near.where("low < a and low < high").isEmpty():  # each node has larger neighbours only, or a single one that is smaller
+            return least.select(F.col("a").alias("node"), F.col("m").alias("root"))
+        side = F.broadcast if fits_broadcast(least, SIDE_BYTES) else lambda nodes: nodes
+        # Neither star has more rows than the links it comes from, so repeated ones are dropped once a round.
+        large = edges.select(F.col("b").alias("a"), F.col("a").alias("b")).join(side(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = materialise(large, "large-star")
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lower, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.join(side(lower), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = materialise(small.unionByName(lower.select("a", F.col("m").alias("b"))).distinct(), "small-star")
-        now = _mark(edges)
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    roots = edges.groupBy("a").agg(F.min("b").alias("root"))
-    return roots.select(F.col("a").alias("node"), "root").unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

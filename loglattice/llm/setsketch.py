@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglattice.llm.common import Words, chunks, column, materialise, row_key
+from loglattice.llm.common import Words, chunks, column, materialise, row_key, sent_if_small
 from loglattice.llm.components import components
 from loglattice.session import fits_broadcast
 
@@ -47,6 +47,8 @@ SMALL = 16
 #: Heads of a large cell in its second round; in the third, all nodes that are still outside its largest component are heads.
 HEADS = 32
 _BROADCAST = 64 << 20
+#: So few pairs, in bytes of text, that what is known of their nodes is sent to every task.
+_FEW = 512 << 10
 
 _ODD = np.random.default_rng(23).integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -189,11 +191,13 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
 
 
 def likely_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs(a, b)`` whose most likely similarity does not rule them out."""
+    """The written ``pairs(a, b)`` whose most likely similarity does not rule them out."""
     number = bands_for(percent) * ROWS
     bound = dismissal(percent, number)
     left = nodes.select(F.col("fp").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("n_a"))
     right = nodes.select(F.col("fp").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("n_b"))
+    if fits_broadcast(pairs, _FEW):
+        left, right = (F.broadcast(side.join(F.broadcast(pairs.select(end)), end, "left_semi")) for side, end in ((left, "a"), (right, "b")))
     known = pairs.join(left, "a").join(right, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,9 +211,9 @@ def likely_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs(a, b)`` that reach the bound on their full sets ``sets(fp, shingles)``."""
+    """The written ``pairs(a, b)`` that reach the bound on their full sets ``sets(fp, shingles)``."""
     left, right = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = sent_if_small(pairs, _FEW).join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("x", "y")).cast("long")
     either = F.size("x") + F.size("y") - common
     return both.where(100 * common >= percent * either).select("a", "b")
@@ -223,9 +227,9 @@ class _Examiner:
         self.sets: DataFrame | None = None
 
     def sets_of(self, ends: DataFrame) -> DataFrame:
-        """``(fp, shingles)`` of the written ``ends(fp)``, and no others."""
-        fresh = ends if self.sets is None else ends.join(self.sets.select("fp"), "fp", "left_anti")
-        wanted = materialise(fresh.join(self.nodes.select("fp", "key"), "fp"), "wanted")
+        """``(fp, shingles)`` of the nodes among the written ``ends(fp)``, which may repeat, and no others."""
+        fresh = ends if self.sets is None else ends.join(sent_if_small(self.sets.select("fp")), "fp", "left_anti")
+        wanted = materialise(self.nodes.select("fp", "key").join(sent_if_small(fresh), "fp", "left_semi"), "wanted")
         if not wanted.isEmpty():
             wanted = F.broadcast(wanted) if fits_broadcast(wanted, _BROADCAST) else wanted
             found = _sets(self.texts.join(wanted, "key").select("fp", "text"), self.size).groupBy("fp").agg(F.first("shingles").alias("shingles"))
@@ -233,33 +237,37 @@ class _Examiner:
             self.sets = found if self.sets is None else self.sets.unionByName(found)
         if self.sets is None:
             self.sets = ends.select("fp", F.array().cast("array<bigint>").alias("shingles"))
-        return self.sets.join(F.broadcast(ends) if fits_broadcast(ends, _BROADCAST) else ends, "fp", "left_semi")
+        return self.sets.join(sent_if_small(ends), "fp", "left_semi")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The confirmed links of the written ``pairs(a, b)``."""
+        if pairs.isEmpty():
+            return pairs
         likely = materialise(likely_pairs(pairs, self.nodes, self.percent), "likely")
-        ends = likely.select(F.col("a").alias("fp")).unionByName(likely.select(F.col("b").alias("fp"))).distinct()
-        return materialise(confirmed(likely, self.sets_of(materialise(ends, "ends")), self.percent), "confirmed")
+        if likely.isEmpty():
+            return likely
+        ends = likely.select(F.explode(F.array("a", "b")).alias("fp"))
+        return materialise(confirmed(likely, self.sets_of(ends), self.percent), "confirmed")
 
     def overlap_facts(self, pivots: DataFrame) -> DataFrame:
-        """``(fp, pivot, shared, inside, bits)`` of the written ``pivots(fp, pivot)``, from their full sets.
+        """``(fp, pivot, shared, inside, bits)`` of the written ``pivots(fp, pivot)``, from their full sets; every pivot has a row of its own.
 
-        ``shared`` counts the shingles that another of these nodes or pivots has as well, ``bits`` marks which shingles of the pivot the node has,
-        62 to a word, and ``inside`` counts them.
+        ``shared`` counts the shingles that another of these nodes has as well, ``bits`` marks which shingles of the pivot the node has, 62 to a
+        word, and ``inside`` counts them.
         """
-        ends = materialise(pivots.select("fp").unionByName(pivots.select(F.col("pivot").alias("fp"))).distinct(), "ends")
-        numbered = materialise(self.sets_of(ends).withColumn("no", F.monotonically_increasing_id()), "numbered-sets")
+        numbered = materialise(self.sets_of(pivots.select("fp")).withColumn("no", F.monotonically_increasing_id()), "numbered-sets")
         tokens = numbered.select("no", F.explode("shingles").alias("token")).groupBy("token").agg(F.count("*").alias("n"), F.min("no").alias("no"))
         alone = tokens.where("n = 1").groupBy("no").agg(F.count("*").alias("alone"))
-        of_pivots = numbered.join(pivots.select(F.col("pivot").alias("fp")).distinct(), "fp").select(F.col("fp").alias("pivot"), F.size("shingles").alias("size"), F.posexplode("shingles").alias("at", "token"))
-        own = numbered.join(pivots, "fp").select("no", "pivot", F.explode("shingles").alias("token"))
+        of_pivots = numbered.join(sent_if_small(pivots.select(F.col("pivot").alias("fp"))), "fp", "left_semi").select(F.col("fp").alias("pivot"), F.posexplode("shingles").alias("at", "token"))
+        placed = numbered.join(sent_if_small(pivots), "fp")
+        own = placed.select("no", "pivot", F.explode("shingles").alias("token"))
         word = F.floor(F.col("at") / 62).cast("int").alias("word")
-        words = own.join(of_pivots, ["pivot", "token"]).groupBy("no", word).agg(F.sum(F.expr("shiftleft(1L, at % 62)")).alias("bits"), F.count("*").alias("inside"))
+        words = own.join(sent_if_small(of_pivots), ["pivot", "token"]).groupBy("no", word).agg(F.sum(F.expr("shiftleft(1L, at % 62)")).alias("bits"), F.count("*").alias("inside"))
         marked = words.groupBy("no").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("marks"), F.max("word").alias("last"), F.sum("inside").alias("inside"))
         bits = F.transform(F.sequence(F.lit(0), F.col("last")), lambda w: F.coalesce(F.try_element_at("marks", w), F.lit(0).cast("long")))
-        facts = numbered.join(pivots, "fp").join(alone, "no", "left").join(marked, "no", "left")
+        facts = placed.select("fp", "pivot", "no", F.size("shingles").alias("size")).join(alone, "no", "left").join(marked, "no", "left")
         return facts.select(
-            "fp", "pivot", (F.size("shingles") - F.coalesce("alone", F.lit(0))).alias("shared"), F.coalesce("inside", F.lit(0)).alias("inside"), bits.alias("bits")
+            "fp", "pivot", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"), F.coalesce("inside", F.lit(0)).alias("inside"), bits.alias("bits")
         )
 
 
@@ -286,10 +294,9 @@ def _ordered(pairs: DataFrame, *more: str) -> DataFrame:
     return materialise(out.dropDuplicates(["a", "b"]), "pairs")
 
 
-def _merged_roots(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with their ``root`` after the links ``(root_a, root_b)`` between roots."""
-    merges = components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("now"))
-    return rows.join(merges, "root", "left").withColumn("root", F.coalesce("now", "root")).drop("now")
+def _renamed_roots(rows: DataFrame, merges: DataFrame) -> DataFrame:
+    """``rows`` with their ``root`` after ``merges(root, now)``."""
+    return materialise(rows.join(merges, "root", "left").withColumn("root", F.coalesce("now", "root")).drop("now"), "roots")
 
 
 def roots_of(nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
@@ -297,43 +304,50 @@ def roots_of(nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, size: i
     examine = _Examiner(nodes, texts, percent, size)
     cells = nodes.select("fp", "n", F.explode("bands").alias("cell"))
     shared = materialise(cells.groupBy("cell").agg(F.count("*").alias("crowd")).where("crowd > 1"), "cells")
-    members = materialise(cells.join(shared, "cell"), "members")
+    members = materialise(cells.join(sent_if_small(shared), "cell"), "members")
     small = members.where(F.col("crowd") <= SMALL)
     left, right = small.select("cell", F.col("fp").alias("a"), F.col("n").alias("n_a")), small.select("cell", F.col("fp").alias("b"), F.col("n").alias("n_b"))
     pairs = left.join(right, "cell").where("a < b").where(_sized(percent, "n_a", "n_b")).select("a", "b")
 
     scores = members.groupBy("fp").agg(F.sum("crowd").alias("score"), F.max("crowd").alias("most")).where(F.col("most") > SMALL)
-    crowded = materialise(members.where(F.col("crowd") > SMALL).join(scores.select("fp", "score"), "fp"), "crowded")
+    scores = materialise(scores.select("fp", "score"), "scores")
+    crowded = materialise(members.where(F.col("crowd") > SMALL).join(sent_if_small(scores), "fp"), "crowded")
     heads = crowded.groupBy("cell").agg(F.max(F.struct("score", "fp", "n")).alias("h"))
     heads = materialise(heads.select("cell", F.col("h.fp").alias("head"), F.col("h.n").alias("n_head")), "heads")
-    met = crowded.join(heads, "cell").where(_sized(percent, "n", "n_head"))
+    heading = sent_if_small(heads)
+    met = crowded.join(heading, "cell").where(_sized(percent, "n", "n_head"))
     found = examine.links(_ordered(pairs.unionByName(met.select(F.col("head").alias("a"), F.col("fp").alias("b")))))
 
-    known = components(found).withColumnRenamed("node", "fp")
-    rooted = materialise(nodes.select("fp", "least").join(known, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
-    crowded = materialise(crowded.select("cell", "fp", "n").join(rooted.select("fp", "root"), "fp"), "named")
+    known = sent_if_small(components(found).withColumnRenamed("node", "fp"))
+    rooted, crowded = (
+        materialise(rows.join(known, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots") for rows in (nodes.select("fp", "least"), crowded.select("cell", "fp", "n"))
+    )
     crowded = _open_cells(crowded)
     if crowded.isEmpty():
         return rooted
-    led = crowded.join(heads.select("cell", "head"), "cell")
-    sizes = led.groupBy("head").agg(F.count("*").alias("led"))
-    pivots = led.select("fp", "head").distinct().join(sizes, "head").groupBy("fp").agg(F.max(F.struct("led", "head")).alias("most"))
+    led = crowded.join(heading.select("cell", "head"), "cell").select("fp", "head")
+    sizes = materialise(led.groupBy("head").agg(F.count("*").alias("led")), "led")
+    pivots = led.join(sent_if_small(sizes), "head").groupBy("fp").agg(F.max(F.struct("led", "head")).alias("most"))
     facts = materialise(examine.overlap_facts(materialise(pivots.select("fp", F.col("most.head").alias("pivot")), "pivots")), "overlap-facts")
-    crowded = materialise(crowded.join(facts, "fp").where(100 * F.col("shared") >= percent * F.col("n")), "open-members")
+    crowded = materialise(crowded.join(sent_if_small(facts), "fp").where(100 * F.col("shared") >= percent * F.col("n")), "open-members")
     done = heads.select("cell", F.col("head").alias("fp"))
+    left = _open_cells(crowded)
     for number in itertools.chain([HEADS], itertools.repeat(None)):
-        left = _open_cells(crowded)
         heads = _next_heads(left, done, number)
         if heads.isEmpty():
             return rooted
         own = ("fp", "n", "root", "pivot", "shared", "inside", "bits")
         first, others = (rows.select("cell", *[F.col(c).alias("ab"[i] if c == "fp" else f"{c}_{'ab'[i]}") for c in own]) for i, rows in enumerate((heads, left)))
-        met = first.join(others, "cell").where("root_a <> root_b").where(_sized(percent, "n_a", "n_b") & _bounded(percent))
+        met = others.join(sent_if_small(first), "cell").where("root_a <> root_b").where(_sized(percent, "n_a", "n_b") & _bounded(percent))
         pairs = _ordered(met, "root_a", "root_b")
         found = examine.links(pairs.select("a", "b"))
         if not found.isEmpty():
-            merged = materialise(pairs.join(found, ["a", "b"]).select("root_a", "root_b").distinct(), "merges")
-            rooted, crowded = (materialise(_merged_roots(rows, merged), "roots") for rows in (rooted, crowded))
+            merges = components(pairs.join(sent_if_small(found), ["a", "b"]).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+            merges = sent_if_small(merges.select(F.col("node").alias("root"), F.col("root").alias("now")))
+            rooted, crowded = (_renamed_roots(rows, merges) for rows in (rooted, crowded))
+            left = _open_cells(crowded)
+        elif number is None:  # all nodes outside the largest components have been heads
+            return rooted
         done = done.unionByName(heads.select("cell", "fp"))
     raise AssertionError("unreachable")
 
@@ -343,12 +357,12 @@ def _open_cells(crowded: DataFrame) -> DataFrame:
     sizes = crowded.groupBy("cell", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("cell").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("total"))
     main = main.where(F.col("total") > F.col("main.n")).select("cell", F.col("main.root").alias("main"), (F.col("total") - F.col("main.n")).alias("outside"))
-    return materialise(crowded.drop("main", "outside").join(main, "cell"), "open-members")
+    return materialise(crowded.drop("main", "outside").join(sent_if_small(materialise(main, "open-cells")), "cell"), "open-members")
 
 
 def _next_heads(left: DataFrame, done: DataFrame, number: int | None) -> DataFrame:
     """About ``number`` more heads of each open cell, or all, among the nodes outside its largest component."""
-    fresh = left.where("root <> main").join(done, ["cell", "fp"], "left_anti")
+    fresh = left.where("root <> main").join(sent_if_small(done), ["cell", "fp"], "left_anti")
     if number is not None:
         fresh = fresh.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("outside") <= F.lit(number))
     return materialise(fresh, "next-heads")
@@ -362,8 +376,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     firsts = [F.min_by(c, "key").alias(c) for c in ("key", "n", "sketch", "bands")]
     nodes = materialise(prints.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least"), *firsts), "nodes")
     rooted = roots_of(nodes, slim.select("key", "text"), percent, size)
-    lowest = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    classes = materialise(rooted.join(lowest, "root").select("fp", "component_id"), "classes")
+    lowest = rooted.groupBy("root").agg(F.min("least").alias("lowest"), F.count("*").alias("nodes")).where("nodes > 1").drop("nodes")
+    lowest = sent_if_small(materialise(lowest, "components"))
+    classes = rooted.join(lowest, "root", "left").select("fp", F.coalesce("lowest", "least").alias("component_id"))
     with_set = prints.where("fp is not null").join(classes, "fp").select("doc_id", "n", "component_id")
     without = prints.where("fp is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return with_set.unionByName(without).select(
